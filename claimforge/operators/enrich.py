@@ -25,16 +25,22 @@ def attach_reference(
     claims: DataFrame,
     members: DataFrame,
     providers: DataFrame,
-    hot_members: DataFrame | None = None,
-    hot_providers: DataFrame | None = None,
+    hot: dict[str, list] | None = None,
 ) -> DataFrame:
-    """Plan, group, state and provider attributes; claims without a match stay."""
-    with_members = lookup(
-        claims, members.select(*MEMBERS.names), "member_id", hot_members, "claim_id"
-    )
-    return lookup(
-        with_members, providers.select(*PROVIDERS.names), "provider_npi", hot_providers, "claim_id"
-    )
+    """Plan, group, state and provider attributes; claims without a match stay.
+
+    ``hot`` lists heavy member and provider keys, as ``hot_keys`` reports them.
+    """
+    for dim, schema in ((members, MEMBERS), (providers, PROVIDERS)):
+        claims = _attach(claims, dim, schema.names, hot)
+    return claims
+
+
+def _attach(
+    claims: DataFrame, dim: DataFrame, names: list[str], hot: dict[str, list] | None
+) -> DataFrame:
+    key = names[0]
+    return lookup(claims, dim.select(*names), key, (hot or {}).get(key, ()), "claim_id")
 
 
 def derive(df: DataFrame, normalize_first: bool = False) -> DataFrame:
@@ -59,22 +65,19 @@ def derive(df: DataFrame, normalize_first: bool = False) -> DataFrame:
 
 def attach_dimensions(
     claims: DataFrame,
-    dim_members: DataFrame,
-    dim_providers: DataFrame,
-    hot_members: DataFrame | None = None,
-    hot_providers: DataFrame | None = None,
+    dim_members: DataFrame | None,
+    dim_providers: DataFrame | None,
+    hot: dict[str, list] | None = None,
 ) -> DataFrame:
-    """Warehouse dimension attributes for staged claims."""
-    with_members = lookup(
-        claims, dim_members.select(*DIM_MEMBERS.names), "member_id", hot_members, "claim_id"
-    )
-    return lookup(
-        with_members,
-        dim_providers.select(*DIM_PROVIDERS.names),
-        "provider_npi",
-        hot_providers,
-        "claim_id",
-    )
+    """Warehouse dimension attributes for staged claims.
+
+    An outer join cannot be dropped by the optimizer when its columns go unused, so
+    a caller that needs nothing from a dimension passes ``None`` for it.
+    """
+    for dim, schema in ((dim_members, DIM_MEMBERS), (dim_providers, DIM_PROVIDERS)):
+        if dim is not None:
+            claims = _attach(claims, dim, schema.names, hot)
+    return claims
 
 
 def categorize(df: DataFrame, as_of: dt.date | str | None = None) -> DataFrame:

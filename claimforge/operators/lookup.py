@@ -1,16 +1,19 @@
 """Left outer lookups that hold when a few keys own most of the rows.
 
-``hot_keys`` finds heavy keys with a fixed-size sketch: one column is scanned and
-only sketches are shuffled. ``lookup`` resolves those keys map-side from a
-broadcast of at most ``MAX_HOT_KEYS`` dimension rows and spreads their rows, like
-rows with a NULL key, over all partitions of the regular join. The dimension
-itself carries no hint: Catalyst and AQE broadcast it only when its size is below
-the session threshold, and shuffle it otherwise. Which keys the sketch reports
-changes only the route a row takes, never the result.
+``hot_keys`` finds heavy keys with a fixed-size sketch: the key columns are scanned
+once and only sketches are shuffled. ``lookup`` resolves the rows of those keys
+map-side, from a broadcast of at most ``MAX_HOT_KEYS`` dimension rows, and spreads
+them, like rows with a NULL key, over all partitions of the regular join. The
+dimension itself carries no hint: Catalyst and AQE broadcast it only when its size
+is below the session threshold and shuffle it otherwise. Which keys are reported as
+hot changes only the route a row takes, never the result.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,58 +23,58 @@ SKETCH_MERGERS = 256
 HOT_SHARE = 0.01
 
 
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
-    """Keys holding at least ``share`` of the rows, one column named ``key``."""
-    # Two levels, so that no task merges the sketches of all map tasks: the second
-    # one sees at most SKETCH_MERGERS * MAX_HOT_KEYS entries.
-    top = F.expr(f"approx_top_k(item, {MAX_HOT_KEYS}, {SKETCH_ITEMS})")
-    partial = (
-        df.select(F.col(key).alias("item"))
-        .groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCH_MERGERS)).alias("part"))
-        .agg(top.alias("top"), F.count(F.lit(1)).alias("rows"))
-    )
-    merged = partial.agg(
-        F.flatten(F.collect_list("top")).alias("entries"), F.sum("rows").alias("rows")
-    )
-    return (
-        merged.select("rows", F.inline("entries"))
-        .where(F.col("item").isNotNull())
-        .groupBy("item", "rows")
-        .agg(F.sum("count").alias("n"))
-        .where(F.col("n") >= share * F.col("rows"))
-        .select(F.col("item").alias(key))
+def hot_keys(df: DataFrame, *keys: str, share: float = HOT_SHARE) -> dict[str, list]:
+    """Per key column, the values (NULL among them) that hold at least ``share`` of the rows.
+
+    The sketches of all map tasks are merged by up to ``SKETCH_MERGERS`` tasks, and
+    the driver receives their ``MAX_HOT_KEYS`` heaviest values each.
+    """
+    part = F.pmod(F.spark_partition_id(), F.lit(SKETCH_MERGERS))
+    tops = [
+        F.expr(f"approx_top_k(`{key}`, {MAX_HOT_KEYS}, {SKETCH_ITEMS})").alias(key) for key in keys
+    ]
+    merged = (
+        df.select(*keys, part.alias("_part"))
+        .groupBy("_part")
+        .agg(*tops, F.count(F.lit(1)).alias("_rows"))
+        .collect()
     )
+    least = share * sum(row["_rows"] for row in merged)
+    hot = {}
+    for key in keys:
+        counts = Counter()
+        for row in merged:
+            for entry in row[key]:
+                counts[entry["item"]] += entry["count"]
+        hot[key] = [value for value, n in counts.most_common(MAX_HOT_KEYS) if n >= least]
+    return hot
 
 
 def lookup(
     facts: DataFrame,
     dim: DataFrame,
     key: str,
-    hot: DataFrame | None = None,
+    hot: Sequence = (),
     spread_by: str | None = None,
 ) -> DataFrame:
     """``facts`` left joined to ``dim`` (unique on ``key``), one key column out.
 
-    ``hot`` holds at most ``MAX_HOT_KEYS`` keys, as ``hot_keys`` returns them.
-    ``spread_by`` names a fact column with many values, used to place rows whose
-    key is hot or NULL.
+    ``hot`` lists heavy key values as ``hot_keys`` reports them. ``spread_by`` names
+    a fact column with many values, used to place the rows of hot and NULL keys.
     """
-    if hot is None and spread_by is None:
+    if not hot:
         return facts.join(dim, key, "left")
 
+    columns = [key, *[name for name in facts.columns if name != key]]
     values = [name for name in dim.columns if name != key]
-    route = F.col(key)
-    if hot is not None:
-        heavy = dim.join(F.broadcast(hot.limit(MAX_HOT_KEYS)), key, "left_semi").select(
-            F.col(key).alias("_hot_key"), F.struct(*values).alias("_hot")
-        )
-        facts = facts.join(F.broadcast(heavy), F.col(key) == F.col("_hot_key"), "left")
-        route = F.when(F.col("_hot_key").isNull(), F.col(key))
-
-    spot = F.hash(spread_by or facts.columns[0])
-    facts = facts.withColumn("_route", route).withColumn(
-        "_spot", F.when(F.col("_route").isNull(), spot).otherwise(0)
+    heavy = list(hot)[:MAX_HOT_KEYS]
+    few = dim.where(F.col(key).isin([value for value in heavy if value is not None])).select(
+        F.col(key).alias("_hot_key"), *[F.col(name).alias(f"_hot_{name}") for name in values]
     )
+    facts = facts.join(F.broadcast(few), F.col(key) == F.col("_hot_key"), "left")
+    facts = facts.withColumn("_route", F.when(F.col("_hot_key").isNull(), F.col(key)))
+    spot = F.hash(spread_by or columns[-1])
+    facts = facts.withColumn("_spot", F.when(F.col("_route").isNull(), spot).otherwise(0))
     # pmod(hash, 1) is always 0, but not a constant the optimizer could fold away
     # and so take the spreading column out of the join key.
     side = dim.select(
@@ -79,17 +82,10 @@ def lookup(
         F.pmod(F.hash(key), F.lit(1)).alias("_dim_spot"),
         *[F.col(name).alias(f"_dim_{name}") for name in values],
     )
-    matched: Column = (F.col("_route") == F.col("_dim_key")) & (
-        F.col("_spot") == F.col("_dim_spot")
-    )
-    joined = facts.join(side, matched, "left")
+    same = (F.col("_route") == F.col("_dim_key")) & (F.col("_spot") == F.col("_dim_spot"))
+    return facts.join(side, same, "left").select(*columns, *[_either(name) for name in values])
 
-    def value(name: str) -> Column:
-        cold = F.col(f"_dim_{name}")
-        if hot is None:
-            return cold.alias(name)
-        return F.when(F.col("_hot_key").isNull(), cold).otherwise(F.col(f"_hot.{name}")).alias(name)
 
-    helpers = {"_route", "_spot", "_hot_key", "_hot"}
-    kept = [F.col(name) for name in facts.columns if name not in helpers and name != key]
-    return joined.select(F.col(key), *kept, *[value(name) for name in values])
+def _either(name: str) -> Column:
+    cold, hot = F.col(f"_dim_{name}"), F.col(f"_hot_{name}")
+    return F.when(F.col("_hot_key").isNull(), cold).otherwise(hot).alias(name)

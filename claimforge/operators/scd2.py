@@ -114,7 +114,7 @@ def as_of_join(
     )
     year = F.least(F.year(on_date), last_year)
     placed = facts.withColumn("_slot", _slot(key, year))
-    hot = hot_keys(placed, "_slot") if spread_hot else None
+    hot = hot_keys(placed, "_slot")["_slot"] if spread_hot else ()
     found = lookup(placed, versions, "_slot", hot, spread_by)
     day = F.col(on_date)
     valid = F.filter(

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from claimforge.functions import rate_pct
 from claimforge.operators.median import exact_median
@@ -34,16 +35,24 @@ MEDIAN = "median_paid_per_claim"
 PAYER_KEYS = ["plan_id", "claim_type", "service_year", "service_month"]
 
 
-def _average(name: str) -> Column:
-    """Exact decimal or integer sum first, so the result does not depend on row order."""
-    return F.round(F.try_divide(F.sum(name).cast("double"), F.count(name)), 4)
+def _average(name: str, kind: T.DataType) -> Column:
+    """Four digits, half up. Decimal and whole numbers are divided as decimals, so an
+    exact tie is seen as one and the row order does not matter."""
+    total, n = F.sum(name), F.nullif(F.count(name), F.lit(0))
+    if isinstance(kind, T.FractionalType) and not isinstance(kind, T.DecimalType):
+        return F.round(total / n, 4)
+    exact = total.cast("decimal(28,4)") / n.cast("decimal(14,0)")
+    return F.round(exact, 4).cast("double")
 
 
 def _flagged(name: str) -> Column:
     return F.count_if(F.coalesce(F.col(name), F.lit(False)))
 
 
-def _measure(name: str, claims_unique: bool) -> Column:
+def _measure(name: str, types: T.StructType, claims_unique: bool) -> Column:
+    def average(column: str) -> Column:
+        return _average(column, types[column].dataType)
+
     claims = F.count("claim_id") if claims_unique else F.count_distinct("claim_id")
     return {
         "total_claims": lambda: claims,
@@ -52,14 +61,14 @@ def _measure(name: str, claims_unique: bool) -> Column:
         "total_billed": lambda: F.sum("billed_amount"),
         "total_allowed": lambda: F.sum("allowed_amount"),
         "total_paid": lambda: F.sum("paid_amount"),
-        "avg_paid_per_claim": lambda: _average("paid_amount"),
+        "avg_paid_per_claim": lambda: average("paid_amount"),
         "denied_claims": lambda: _flagged("denied_flag"),
         "high_cost_claims": lambda: _flagged("high_cost_flag"),
         "out_of_network_claims": lambda: _flagged("out_of_network_flag"),
         "denial_rate_pct": lambda: rate_pct(_flagged("denied_flag"), claims),
-        "avg_los_days": lambda: _average("length_of_stay_days"),
-        "avg_cost_ratio": lambda: _average("cost_ratio"),
-        "avg_member_risk_score": lambda: _average("risk_score"),
+        "avg_los_days": lambda: average("length_of_stay_days"),
+        "avg_cost_ratio": lambda: average("cost_ratio"),
+        "avg_member_risk_score": lambda: average("risk_score"),
     }[name]().alias(name)
 
 
@@ -78,7 +87,7 @@ def summarize(
     exact median for a bounded sketch.
     """
     grouped = base.withColumn("_group", F.struct(*keys))
-    plain = [_measure(name, claims_unique) for name in measures if name != MEDIAN]
+    plain = [_measure(name, base.schema, claims_unique) for name in measures if name != MEDIAN]
     if MEDIAN in measures and median == "approx":
         plain.append(F.percentile_approx("paid_amount", 0.5).cast("double").alias(MEDIAN))
     totals = grouped.groupBy("_group").agg(*plain) if plain else None

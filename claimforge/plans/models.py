@@ -47,13 +47,12 @@ def stg_claims(fact: DataFrame) -> DataFrame:
 
 def int_claims(
     stg: DataFrame,
-    dim_members: DataFrame,
-    dim_providers: DataFrame,
+    dim_members: DataFrame | None,
+    dim_providers: DataFrame | None,
     as_of: dt.date | str | None = None,
-    hot_members: DataFrame | None = None,
-    hot_providers: DataFrame | None = None,
+    hot: dict[str, list] | None = None,
 ) -> DataFrame:
-    joined = attach_dimensions(stg, dim_members, dim_providers, hot_members, hot_providers)
+    joined = attach_dimensions(stg, dim_members, dim_providers, hot)
     return categorize(joined, as_of)
 
 
@@ -94,8 +93,7 @@ def run_models(
         dim_members,
         dim_providers,
         today,
-        hot_keys(fresh, "member_id"),
-        hot_keys(fresh, "provider_npi"),
+        hot_keys(fresh, "member_id", "provider_npi"),
     )
     writers.upsert(spark, batch, int_path, schema)
     # The merge key is unique in the stored table, so distinct claims are plain counts.

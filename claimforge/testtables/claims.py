@@ -6,14 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from claimforge.operators.cleaning import mask_members
 from claimforge.operators.lookup import hot_keys, lookup
 
 BAD_DATE = "2024-13-01"
 
 
+_schemas: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The schema is read from the file once; a query may scan a table several times."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def _quantity_is(n: int) -> Column:
@@ -133,17 +142,43 @@ def claims(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     if NEED_ORDERS.intersection(names):
         rows = rows.withColumn("o_orderkey", F.col("l_orderkey"))
         orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
-        hot = hot_keys(table(spark, sf_dir, "lineitem"), "l_orderkey")
-        rows = lookup(
-            rows, orders, "o_orderkey", hot.withColumnRenamed("l_orderkey", "o_orderkey"), "l_partkey"
-        )
+        rows = lookup(rows, orders, "o_orderkey", _hot(spark, sf_dir, "l_orderkey"), "l_partkey")
     if "plan_id" in names:
-        rows = rows.withColumnRenamed("o_custkey", "c_custkey")
-        customers = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
-        rows = rows.join(customers, "c_custkey", "left").withColumnRenamed("c_custkey", "o_custkey")
+        customers = table(spark, sf_dir, "customer").select(
+            F.col("c_custkey").alias("o_custkey"), "c_mktsegment"
+        )
+        rows = lookup(rows, customers, "o_custkey", _hot(spark, sf_dir, "o_custkey"), "l_partkey")
     return rows.select(*[COLUMNS[name]().alias(name) for name in names])
 
 
+_found: dict[tuple[str, str, str], list | dict] = {}
+
+
+def _hot(spark: SparkSession, sf_dir: str, key: str) -> list:
+    """Heavy order and customer keys among the line items, found once per session.
+
+    A stale answer would only route rows less evenly.
+    """
+    place = (spark.sparkContext.applicationId, sf_dir, key)
+    if place not in _found:
+        rows = table(spark, sf_dir, "lineitem")
+        if key == "o_custkey":
+            orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+            rows = rows.select(F.col("l_orderkey").alias("o_orderkey"), "l_partkey")
+            rows = lookup(rows, orders, "o_orderkey", _hot(spark, sf_dir, "l_orderkey"), "l_partkey")
+        _found[place] = hot_keys(rows, key)[key]
+    return _found[place]
+
+
+def hot_claim_keys(spark: SparkSession, sf_dir: str) -> dict[str, list]:
+    """The same for masked members and for providers."""
+    place = (spark.sparkContext.applicationId, sf_dir, "claims")
+    if place not in _found:
+        rows = mask_members(claims(spark, sf_dir, "member_id", "provider_npi"))
+        _found[place] = hot_keys(rows, "member_id", "provider_npi")
+    return _found[place]
+
+
 def raw_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 13 raw columns with dates as text."""
     texts = {"service_date": "service_text", "discharge_date": "discharge_text"}

@@ -15,7 +15,7 @@ from claimforge.operators.latest import latest_per_key
 from claimforge.operators.lookup import hot_keys
 from claimforge.operators.merge import past_mark
 from claimforge.operators.summary import monthly_summary
-from claimforge.schemas import DIM_MEMBERS, DIM_PROVIDERS, FACT_COLUMNS
+from claimforge.schemas import CATEGORIZED, DIM_MEMBERS, DIM_PROVIDERS, FACT_COLUMNS
 from claimforge.sources import files, writers
 
 
@@ -58,10 +58,7 @@ def int_claims(
 
 def int_schema(stg: DataFrame) -> T.StructType:
     return T.StructType(
-        stg.schema.fields
-        + DIM_MEMBERS.fields[1:]
-        + DIM_PROVIDERS.fields[1:]
-        + T.StructType.fromDDL("claim_category string, days_since_service int").fields
+        stg.schema.fields + DIM_MEMBERS.fields[1:] + DIM_PROVIDERS.fields[1:] + CATEGORIZED.fields
     )
 
 

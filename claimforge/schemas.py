@@ -8,72 +8,95 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-RAW_CLAIMS = T.StructType.fromDDL(
-    """
-    claim_id string NOT NULL,
-    member_id string NOT NULL,
-    provider_npi string,
-    service_date string,
-    discharge_date string,
-    diagnosis_code string,
-    procedure_code string,
-    billed_amount double,
-    allowed_amount double,
-    paid_amount double,
-    claim_status string,
-    plan_id string,
-    claim_type string
-    """
+TEXT = T.StringType()
+DOUBLE = T.DoubleType()
+DATE = T.DateType()
+TIMESTAMP = T.TimestampType()
+WHOLE = T.IntegerType()
+FLAG = T.BooleanType()
+MONEY = T.DecimalType(18, 2)
+RATIO = T.DecimalType(8, 4)
+
+
+def _schema(**columns: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
+
+
+# claim_id and member_id are required: the extract step drops rows without them, a
+# file scan itself reports every column as nullable.
+RAW_CLAIMS = _schema(
+    claim_id=TEXT,
+    member_id=TEXT,
+    provider_npi=TEXT,
+    service_date=TEXT,
+    discharge_date=TEXT,
+    diagnosis_code=TEXT,
+    procedure_code=TEXT,
+    billed_amount=DOUBLE,
+    allowed_amount=DOUBLE,
+    paid_amount=DOUBLE,
+    claim_status=TEXT,
+    plan_id=TEXT,
+    claim_type=TEXT,
 )
 
-STAGED_CLAIMS = T.StructType.fromDDL(
-    """
-    claim_id string,
-    member_id string,
-    provider_npi string,
-    service_date date,
-    discharge_date date,
-    diagnosis_code string,
-    procedure_code string,
-    billed_amount double,
-    allowed_amount double,
-    paid_amount double,
-    claim_status string,
-    plan_id string,
-    run_date string,
-    ingested_at timestamp,
-    env string,
-    claim_type string
-    """
+STAGED_CLAIMS = _schema(
+    claim_id=TEXT,
+    member_id=TEXT,
+    provider_npi=TEXT,
+    service_date=DATE,
+    discharge_date=DATE,
+    diagnosis_code=TEXT,
+    procedure_code=TEXT,
+    billed_amount=DOUBLE,
+    allowed_amount=DOUBLE,
+    paid_amount=DOUBLE,
+    claim_status=TEXT,
+    plan_id=TEXT,
+    run_date=TEXT,
+    ingested_at=TIMESTAMP,
+    env=TEXT,
+    claim_type=TEXT,
 )
 
-MEMBERS = T.StructType.fromDDL(
-    "member_id string, plan_type string, group_id string, state string"
+MEMBERS = _schema(
+    member_id=TEXT,
+    plan_type=TEXT,
+    group_id=TEXT,
+    state=TEXT,
 )
-PROVIDERS = T.StructType.fromDDL(
-    "provider_npi string, provider_name string, specialty string, network_flag string"
+PROVIDERS = _schema(
+    provider_npi=TEXT,
+    provider_name=TEXT,
+    specialty=TEXT,
+    network_flag=TEXT,
 )
-DIM_MEMBERS = T.StructType.fromDDL(
-    "member_id string, age_band string, gender string, "
-    "chronic_condition_flag boolean, risk_score decimal(18,2)"
+DIM_MEMBERS = _schema(
+    member_id=TEXT,
+    age_band=TEXT,
+    gender=TEXT,
+    chronic_condition_flag=FLAG,
+    risk_score=MONEY,
 )
-DIM_PROVIDERS = T.StructType.fromDDL(
-    "provider_npi string, provider_tier string, hospital_flag boolean, "
-    "teaching_hospital_flag boolean"
+DIM_PROVIDERS = _schema(
+    provider_npi=TEXT,
+    provider_tier=TEXT,
+    hospital_flag=FLAG,
+    teaching_hospital_flag=FLAG,
 )
 
-DERIVED_CLAIMS = T.StructType.fromDDL(
-    """
-    denied_flag boolean,
-    high_cost_flag boolean,
-    out_of_network_flag boolean,
-    length_of_stay_days int,
-    cost_ratio double,
-    service_year int,
-    service_month int
-    """
+DERIVED_CLAIMS = _schema(
+    denied_flag=FLAG,
+    high_cost_flag=FLAG,
+    out_of_network_flag=FLAG,
+    length_of_stay_days=WHOLE,
+    cost_ratio=DOUBLE,
+    service_year=WHOLE,
+    service_month=WHOLE,
 )
 
+CATEGORIZED = _schema(claim_category=TEXT, days_since_service=WHOLE)
+
 CONFORMED_CLAIMS = T.StructType(
     STAGED_CLAIMS.fields + MEMBERS.fields[1:] + PROVIDERS.fields[1:] + DERIVED_CLAIMS.fields
 )
@@ -117,8 +140,6 @@ DENIED = "DENIED"
 IN_NETWORK = "IN"
 HIGH_COST_ABOVE = 10_000
 DATE_FORMAT = "yyyy-MM-dd"
-MONEY = T.DecimalType(18, 2)
-RATIO = T.DecimalType(8, 4)
 FRESHNESS_WARN_HOURS = 24
 FRESHNESS_ERROR_HOURS = 48
 

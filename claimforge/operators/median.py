@@ -22,7 +22,8 @@ def exact_median(df: DataFrame, group: str, amount: str, scale: int = 2) -> Data
     """``group``, ``median`` (double) for groups with at least one amount.
 
     ``group`` is one column, usually a struct of the grouping columns, so that NULL
-    grouping values compare equal. ``amount`` must fit decimal(18, scale).
+    grouping values compare equal. ``amount`` must fit decimal(18, scale). Both steps
+    read the shuffled counts of the first aggregation; ``df`` is computed once.
     """
     units = (F.col(amount).cast(f"decimal(18,{scale})") * 10**scale).cast("bigint")
     block = F.greatest(
@@ -35,13 +36,14 @@ def exact_median(df: DataFrame, group: str, amount: str, scale: int = 2) -> Data
         .withColumn("block", block)
     )
     whole = Window.partitionBy(group)
+    so_far = (Window.unboundedPreceding, Window.currentRow)
     blocks = (
         cents.groupBy(group, "block")
         .agg(F.sum("n").alias("n"))
         .select(
             group,
             "block",
-            (F.sum("n").over(whole.orderBy("block")) - F.col("n")).alias("before"),
+            (F.sum("n").over(whole.orderBy("block").rowsBetween(*so_far)) - F.col("n")).alias("before"),
             "n",
             F.sum("n").over(whole).alias("total"),
         )
@@ -52,8 +54,10 @@ def exact_median(df: DataFrame, group: str, amount: str, scale: int = 2) -> Data
         (low <= F.col("before") + F.col("n")) & (high > F.col("before"))
     ).select(group, "block", "before", "total")
 
-    upto = F.col("before") + F.sum("n").over(Window.partitionBy(group, "block").orderBy("cent"))
-    placed = cents.join(middle, [group, "block"]).withColumn("upto", upto)
+    in_block = Window.partitionBy(group, "block").orderBy("cent").rowsBetween(*so_far)
+    placed = cents.join(middle, [group, "block"]).withColumn(
+        "upto", F.col("before") + F.sum("n").over(in_block)
+    )
     first = F.col("upto") - F.col("n")
     hits = F.lit(0)
     for rank in (low, high):

@@ -84,7 +84,8 @@ def summarize(
     ``claims_unique`` states that ``claim_id`` is unique in ``base``, as it is after
     a key merge or ``latest_per_key``. The distinct claim count is then a plain
     count, which spares a shuffle of every claim id. ``median="approx"`` swaps the
-    exact median for a bounded sketch.
+    exact median for a bounded sketch. The exact median and the other measures each
+    scan ``base``, so give it from stored data.
     """
     grouped = base.withColumn("_group", F.struct(*keys))
     plain = [_measure(name, base.schema, claims_unique) for name in measures if name != MEDIAN]

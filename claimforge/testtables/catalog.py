@@ -18,7 +18,7 @@ from claimforge.plans.extract import run_extract, stage
 from claimforge.plans.load import fact_rows, run_load
 from claimforge.plans.models import int_claims, int_schema, run_models, stg_claims
 from claimforge.plans.transform import run_transform
-from claimforge.schemas import CONFORMED_CLAIMS
+from claimforge.schemas import CONFORMED_CLAIMS, MART_KEYS
 from claimforge.session import scratch_dir
 from claimforge.sources import readers, writers
 from claimforge.testtables import claims as src
@@ -60,6 +60,22 @@ def plain_types(df: DataFrame) -> DataFrame:
     return df.select(*columns)
 
 
+# What the measures read besides the keys.
+MEASURED = [
+    "claim_id",
+    "member_id",
+    "provider_npi",
+    "billed_amount",
+    "allowed_amount",
+    "paid_amount",
+    "denied_flag",
+    "high_cost_flag",
+    "out_of_network_flag",
+    "length_of_stay_days",
+    "cost_ratio",
+    "risk_score",
+]
+
 # Shared stages ------------------------------------------------------------
 
 
@@ -107,11 +123,22 @@ def mart_base(spark: SparkSession, sf_dir: str, risk: bool) -> DataFrame:
 def measured(spark: SparkSession, sf_dir: str, *measures: str, unique: bool = True) -> DataFrame:
     # latest_per_key made claim_id unique, so the distinct claims are a plain count.
     base = mart_base(spark, sf_dir, "avg_member_risk_score" in measures)
+    if summary.MEDIAN in measures:
+        base = stored(spark, base.select(*MART_KEYS, "claim_id", "paid_amount"), "int")
     return summary.summarize(base, measures=measures, claims_unique=unique)
 
 
+def stored(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
+    """A table in the shared folder, for rows that a query reads more than once."""
+    path = scratch_dir(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def mart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return summary.monthly_summary(mart_base(spark, sf_dir, True), NOW, claims_unique=True)
+    """The enriched claims are a table of their own, so the mart's two scans share one build."""
+    base = mart_base(spark, sf_dir, True).select(*MART_KEYS, *MEASURED)
+    return summary.monthly_summary(stored(spark, base, "int"), NOW, claims_unique=True)
 
 
 def halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -446,12 +473,12 @@ def int_incremental_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "int")
     rows = cleaning.mask_members(cleaned(spark, sf_dir, *src.BATCH))
     joined = enrich.attach_reference(
-        rows, cleaning.mask_members(src.members(spark, sf_dir)), src.providers(spark, sf_dir),
+        rows,
+        cleaning.mask_members(src.members(spark, sf_dir)),
+        src.providers(spark, sf_dir),
         src.hot_claim_keys(spark, sf_dir),
     )
-    # Stored once: both builds scan it.
-    fact_rows(enrich.derive(joined)).write.parquet(f"{root}/fact")
-    fact = spark.read.parquet(f"{root}/fact")
+    fact = stored(spark, fact_rows(enrich.derive(joined)), "fact")
     dims = (
         cleaning.mask_members(src.dim_members(spark, sf_dir)),
         src.dim_providers(spark, sf_dir),
@@ -527,7 +554,8 @@ def mart_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def mart_payer_type_month(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return summary.payer_summary(mart_base(spark, sf_dir, True), claims_unique=True)
+    base = mart_base(spark, sf_dir, True).select(*MART_KEYS, *MEASURED)
+    return summary.payer_summary(stored(spark, base, "int"), claims_unique=True)
 
 
 # Data checks --------------------------------------------------------------

@@ -68,9 +68,20 @@ def write_mart(df: DataFrame, path: str) -> None:
     laid_out.write.mode("overwrite").parquet(path)
 
 
-def register_table(spark: SparkSession, name: str, path: str) -> None:
-    """Expose a stored layer to SQL users under a table name."""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{path}'")
+def register_table(
+    spark: SparkSession,
+    name: str,
+    path: str,
+    schema: T.StructType,
+    partition_by: Sequence[str],
+) -> None:
+    """Expose a stored layer to SQL users under a table name, with the folders it has now."""
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
+        f"PARTITIONED BY ({', '.join(partition_by)}) LOCATION '{path}'"
+    )
+    spark.catalog.recoverPartitions(name)
     spark.catalog.refreshTable(name)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -12,6 +12,14 @@ def digest(value: Column | str) -> Column:
     return F.sha2(col.cast("string"), 256)
 
 
+def register_mask(spark: SparkSession, name: str = "pii_mask") -> None:
+    """The digest as a SQL function for users of SQL text."""
+    spark.sql(
+        f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(value STRING) RETURNS STRING "
+        "RETURN sha2(value, 256)"
+    )
+
+
 def keyed_digest(value: Column | str, key: str) -> Column:
     """Deterministic token: the digest of a caller-held key followed by the value."""
     col = F.col(value) if isinstance(value, str) else value

@@ -20,6 +20,9 @@ from claimforge.functions import (
 from claimforge.operators.lookup import lookup
 from claimforge.schemas import DIM_MEMBERS, DIM_PROVIDERS, MEMBERS, PROVIDERS
 
+# Claims are unique on their id once old copies are gone; the other keys tell copies apart.
+SPREAD_BY = ("claim_id", "member_id", "provider_npi")
+
 
 def attach_reference(
     claims: DataFrame,
@@ -40,7 +43,7 @@ def _attach(
     claims: DataFrame, dim: DataFrame, names: list[str], hot: dict[str, list] | None
 ) -> DataFrame:
     key = names[0]
-    return lookup(claims, dim.select(*names), key, (hot or {}).get(key, ()), "claim_id")
+    return lookup(claims, dim.select(*names), key, (hot or {}).get(key, ()), SPREAD_BY)
 
 
 def derive(df: DataFrame, normalize_first: bool = False) -> DataFrame:

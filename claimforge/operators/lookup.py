@@ -55,12 +55,15 @@ def lookup(
     dim: DataFrame,
     key: str,
     hot: Sequence = (),
-    spread_by: str | None = None,
+    spread_by: Sequence[str] = (),
 ) -> DataFrame:
     """``facts`` left joined to ``dim`` (unique on ``key``), one key column out.
 
     ``hot`` lists heavy key values as ``hot_keys`` reports them. ``spread_by`` names
-    a fact column with many values, used to place the rows of hot and NULL keys.
+    fact columns that tell rows apart, by default all of them; their hash places the
+    rows of hot and NULL keys. A hash rather than a random number, so that a task run
+    again after a lost executor sends every row to the same place. Exact copies of
+    one row stay together there, and AQE splits their partition by size.
     """
     if not hot:
         return facts.join(dim, key, "left")
@@ -73,7 +76,7 @@ def lookup(
     )
     facts = facts.join(F.broadcast(few), F.col(key) == F.col("_hot_key"), "left")
     facts = facts.withColumn("_route", F.when(F.col("_hot_key").isNull(), F.col(key)))
-    spot = F.hash(spread_by or columns[-1])
+    spot = F.hash(*(spread_by or columns))
     facts = facts.withColumn("_spot", F.when(F.col("_route").isNull(), spot).otherwise(0))
     # pmod(hash, 1) is always 0, but not a constant the optimizer could fold away
     # and so take the spreading column out of the join key.

@@ -11,11 +11,13 @@ def merge_by_key(
     source: DataFrame,
     key: str = "claim_id",
     only_if_newer: str | None = None,
+    keys: DataFrame | None = None,
 ) -> DataFrame:
     """Source rows replace target rows with the same key; other rows are kept.
 
     ``source`` must be unique on ``key``. ``only_if_newer`` names a time column and
-    leaves a target row alone when the source row for it is older.
+    leaves a target row alone when the source row for it is older. ``keys`` may hand
+    in the source's keys, for instance marked for broadcast after a size check.
     """
     if only_if_newer:
         held = target.select(key, F.col(only_if_newer).alias("_held"))
@@ -24,7 +26,9 @@ def merge_by_key(
             .where(F.col("_held").isNull() | (F.col(only_if_newer) >= F.col("_held")))
             .drop("_held")
         )
-    kept = target.join(source.select(key), key, "left_anti")
+    if keys is None or only_if_newer:
+        keys = source.select(key)
+    kept = target.join(keys, key, "left_anti")
     return kept.unionByName(source.select(*target.columns))
 
 

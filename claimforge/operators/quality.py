@@ -44,7 +44,7 @@ def accepted_values(name: str, values: Sequence[str]) -> Check:
     return Check("accepted_values", name, ~F.col(name).isin(list(values)))
 
 
-def claim_checks() -> list[Check]:
+def claim_checks(claim_types: Sequence[str] = CLAIM_TYPES) -> list[Check]:
     return [
         not_null("claim_id"),
         not_null("member_id"),
@@ -52,7 +52,7 @@ def claim_checks() -> list[Check]:
         accepted_range("billed_amount", low=0),
         accepted_range("paid_amount", low=0),
         accepted_values("claim_status", CLAIM_STATUSES),
-        accepted_values("claim_type", CLAIM_TYPES),
+        accepted_values("claim_type", claim_types),
     ]
 
 

@@ -82,7 +82,7 @@ def as_of_join(
     history: DataFrame,
     key: str,
     on_date: str,
-    spread_by: str,
+    spread_by: Sequence[str],
     spread_hot: bool = True,
 ) -> DataFrame:
     """Each fact with the attributes of the version valid on its date; facts without one stay.

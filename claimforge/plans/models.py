@@ -62,6 +62,21 @@ def int_schema(stg: DataFrame) -> T.StructType:
     )
 
 
+def publish_views(
+    fact: DataFrame,
+    dim_members: DataFrame,
+    dim_providers: DataFrame,
+    as_of: dt.datetime | str | None = None,
+) -> None:
+    """The three models as temporary views over ``fact``, computed when queried."""
+    today = None if as_of is None else str(as_of)[:10]
+    stg = stg_claims(fact)
+    enriched = int_claims(stg, dim_members, dim_providers, today)
+    stg.createOrReplaceTempView("stg_claims")
+    enriched.createOrReplaceTempView("int_claims_enriched")
+    monthly_summary(enriched, as_of).createOrReplaceTempView("mart_claims_summary")
+
+
 def run_models(
     spark: SparkSession,
     fact: DataFrame,

@@ -13,6 +13,9 @@ from claimforge.operators.quality import require_unique
 from claimforge.schemas import CONFORMED_PARTITION, FACT_PARTITION, STAGING_PARTITION
 from claimforge.sources import files
 
+# A batch's keys are broadcast up to this counted number, about 100 MB of short texts.
+BROADCAST_KEYS = 1_000_000
+
 
 def compacted(df: DataFrame, *columns: str) -> DataFrame:
     """Rows of one partition value together, as few files as their bytes need.
@@ -134,13 +137,17 @@ def upsert(
         require_unique(source, key, "upsert source")
         target = spark.read.schema(schema).parquet(path)
         folder = _folder(partition_by)
-        held = target.join(source.select(key), key, "left_semi").select(folder)
+        # The table's key column need not move when the batch's keys fit every executor.
+        keys = source.select(key)
+        if source.count() <= BROADCAST_KEYS:
+            keys = F.broadcast(keys)
+        held = target.join(keys, key, "left_semi").select(folder)
         found = held.unionByName(source.select(folder)).distinct()
         # One short text per month of data, whatever the number of rows.
         touched = {row.folder for row in found.collect()}
         # Reads partition columns only, so the other partitions are not listed as input.
         affected = target.where(folder.isin(list(touched)))
-        source = merge_by_key(affected, source, key, only_if_newer)
+        source = merge_by_key(affected, source, key, only_if_newer, keys)
     (
         compacted(source, *partition_by)
         # Row groups clustered by run let the load step skip most of a partition.

@@ -13,10 +13,10 @@ from claimforge.functions.amounts import stored_ratio
 from claimforge.operators import cleaning, enrich, merge, quality, scd2, summary
 from claimforge.operators.latest import latest_per_key
 from claimforge.operators.lookup import lookup
+from claimforge.plans import models
 from claimforge.plans.daily import Layout, check_day, run_day
 from claimforge.plans.extract import run_extract, stage
 from claimforge.plans.load import fact_rows, run_load
-from claimforge.plans.models import int_claims, int_schema, run_models, stg_claims
 from claimforge.plans.transform import run_transform
 from claimforge.schemas import CONFORMED_CLAIMS, MART_KEYS
 from claimforge.session import scratch_dir
@@ -100,11 +100,11 @@ def conformed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def staged_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stg_claims(fact_rows(conformed(spark, sf_dir)))
+    return models.stg_claims(fact_rows(conformed(spark, sf_dir)))
 
 
 def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return int_claims(
+    return models.int_claims(
         staged_facts(spark, sf_dir),
         cleaning.mask_members(src.dim_members(spark, sf_dir)),
         src.dim_providers(spark, sf_dir),
@@ -117,7 +117,7 @@ def mart_base(spark: SparkSession, sf_dir: str, risk: bool) -> DataFrame:
     """The enriched claims as far as the mart reads them: no provider dimension."""
     dim = cleaning.mask_members(src.dim_members(spark, sf_dir)) if risk else None
     hot = src.hot_claim_keys(spark, sf_dir)
-    return int_claims(staged_facts(spark, sf_dir), dim, None, RUN_DATE, hot)
+    return models.int_claims(staged_facts(spark, sf_dir), dim, None, RUN_DATE, hot)
 
 
 def measured(spark: SparkSession, sf_dir: str, *measures: str, unique: bool = True) -> DataFrame:
@@ -367,7 +367,7 @@ def business_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
         src.providers(spark, sf_dir).select("provider_npi", "network_flag"),
         "provider_npi",
         src.hot_claim_keys(spark, sf_dir)["provider_npi"],
-        "claim_id",
+        ("claim_id", "provider_npi"),
     )
     return joined.select(
         "claim_id",
@@ -388,7 +388,7 @@ def claim_category(spark: SparkSession, sf_dir: str) -> DataFrame:
         src.providers(spark, sf_dir).select("provider_npi", "network_flag"),
         "provider_npi",
         src.hot_claim_keys(spark, sf_dir)["provider_npi"],
-        "claim_id",
+        ("claim_id", "provider_npi"),
     )
     flagged = joined.withColumns(
         {"high_cost_flag": fn.is_high_cost(), "out_of_network_flag": fn.is_out_of_network()}
@@ -484,8 +484,8 @@ def int_incremental_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
         src.dim_providers(spark, sf_dir),
     )
     for part in (fact.where(F.col("run_date") < HALF), fact):
-        run_models(spark, part, *dims, f"{root}/int", f"{root}/mart", NOW)
-    schema = int_schema(stg_claims(fact))
+        models.run_models(spark, part, *dims, f"{root}/int", f"{root}/mart", NOW)
+    schema = models.int_schema(models.stg_claims(fact))
     return spark.read.schema(schema).parquet(f"{root}/int").select(
         "claim_id", "run_date", "claim_category", "days_since_service", "state", "age_band", "provider_tier"
     )
@@ -495,13 +495,10 @@ def int_incremental_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def stg_claims_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stg_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staged_facts(spark, sf_dir)
 
 
-CATALOG["stg_claims"] = CATALOG.pop("stg_claims_view")
-
-
 @query
 def int_claims_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enriched(spark, sf_dir)
@@ -654,7 +651,7 @@ def scd2_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
 def point_in_time_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts = src.claims(spark, sf_dir, "claim_id", "member_id", "service_date")
     history = scd2.build_history(src.member_changes(spark, sf_dir), **HISTORY)
-    return scd2.as_of_join(facts, history, "member_id", "service_date", "claim_id")
+    return scd2.as_of_join(facts, history, "member_id", "service_date", ("claim_id", "service_date"))
 
 
 # Whole jobs ---------------------------------------------------------------

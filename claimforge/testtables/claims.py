@@ -116,6 +116,7 @@ COLUMNS: dict[str, Callable[[], Column]] = {
     "tie_part": lambda: F.col("l_partkey"),
 }
 TIES = ["tie_price", "tie_part"]
+SPREAD_BY = ("l_partkey", "l_linenumber", "l_shipdate")
 NEED_ORDERS = {"member_id", "claim_type", "plan_id"}
 RAW = [
     "claim_id",
@@ -142,12 +143,12 @@ def claims(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     if NEED_ORDERS.intersection(names):
         rows = rows.withColumn("o_orderkey", F.col("l_orderkey"))
         orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
-        rows = lookup(rows, orders, "o_orderkey", _hot(spark, sf_dir, "l_orderkey"), "l_partkey")
+        rows = lookup(rows, orders, "o_orderkey", _hot(spark, sf_dir, "l_orderkey"), SPREAD_BY)
     if "plan_id" in names:
         customers = table(spark, sf_dir, "customer").select(
             F.col("c_custkey").alias("o_custkey"), "c_mktsegment"
         )
-        rows = lookup(rows, customers, "o_custkey", _hot(spark, sf_dir, "o_custkey"), "l_partkey")
+        rows = lookup(rows, customers, "o_custkey", _hot(spark, sf_dir, "o_custkey"), SPREAD_BY)
     return rows.select(*[COLUMNS[name]().alias(name) for name in names])
 
 
@@ -164,8 +165,8 @@ def _hot(spark: SparkSession, sf_dir: str, key: str) -> list:
         rows = table(spark, sf_dir, "lineitem")
         if key == "o_custkey":
             orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-            rows = rows.select(F.col("l_orderkey").alias("o_orderkey"), "l_partkey")
-            rows = lookup(rows, orders, "o_orderkey", _hot(spark, sf_dir, "l_orderkey"), "l_partkey")
+            rows = rows.select(F.col("l_orderkey").alias("o_orderkey"), *SPREAD_BY)
+            rows = lookup(rows, orders, "o_orderkey", _hot(spark, sf_dir, "l_orderkey"), SPREAD_BY)
         _found[place] = hot_keys(rows, key)[key]
     return _found[place]
 

@@ -51,7 +51,7 @@ def test_route_does_not_change_the_result(spark, skewed, dim, hot, threshold):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     try:
         plain = lookup(skewed, dim, "k")
-        routed = lookup(skewed, dim, "k", hot, "row")
+        routed = lookup(skewed, dim, "k", hot, ["row"])
         assert routed.columns == plain.columns
         assert rows(routed) == rows(plain)
     finally:
@@ -62,7 +62,7 @@ def test_hot_rows_are_spread(spark, skewed, dim):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        routed = lookup(skewed, dim, "k", ["hot", None], "row")
+        routed = lookup(skewed, dim, "k", ["hot", None])
         sizes = [row["count"] for row in routed.groupBy(F.spark_partition_id()).count().collect()]
         assert len(sizes) == 8
         assert max(sizes) < 2 * 9000 / 8
@@ -309,7 +309,7 @@ def test_as_of_join_over_years(spark):
         "claim_id string, member_id string, service_date date",
     )
     for spread in (True, False):
-        out = scd2.as_of_join(facts, history, "member_id", "service_date", "claim_id", spread)
+        out = scd2.as_of_join(facts, history, "member_id", "service_date", ["claim_id"], spread)
         plans = {row.claim_id: row.plan for row in out.collect()}
         assert [plans[f"m{i}"] for i in range(7)] == [None, "A", "A", "B", "C", "C", "C"]
         assert [plans[f"n{i}"] for i in range(7)] == [None, None, "Z", "Z", "Z", "Z", None]

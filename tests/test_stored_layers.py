@@ -6,10 +6,12 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from claimforge.functions.privacy import register_mask
 from claimforge.operators.cleaning import mask_members
 from claimforge.plans.daily import Layout, check_day, run_day
 from claimforge.plans.extract import run_extract
 from claimforge.plans.load import run_load
+from claimforge.plans.models import publish_views
 from claimforge.schemas import CONFORMED_CLAIMS, FACT_COLUMNS, RAW_CLAIMS
 from claimforge.session import scratch_dir
 from claimforge.sources import files, readers, writers
@@ -287,3 +289,12 @@ def test_masked_dimension_matches(spark, dims):
     members = mask_members(dims[0])
     claims = mask_members(spark.createDataFrame([("M1",)], "member_id string"))
     assert claims.join(members, "member_id").count() == 1
+
+
+def test_sql_views(spark, table, dims):
+    publish_views(readers.conformed_claims(spark, table).select(*FACT_COLUMNS), *dims[2:], "2024-02-01 00:00:00")
+    # No member ids in this table, so the staging filter leaves nothing.
+    assert spark.sql("select count(*) as n from mart_claims_summary").first().n == 0
+    register_mask(spark)
+    expected = "ca978112ca1bbdcafac231b39a23dc4da786eff8147c4e72b9807785afee48bb"
+    assert spark.sql("select pii_mask('a') as m").first().m == expected

@@ -33,8 +33,10 @@ def attach_reference(
     """Plan, group, state and provider attributes; claims without a match stay.
 
     ``hot`` lists heavy member and provider keys, as ``hot_keys`` reports them.
+    Members come last here and first in ``attach_dimensions``: when both run in one
+    plan, the second member join finds the claims already placed by member.
     """
-    for dim, schema in ((members, MEMBERS), (providers, PROVIDERS)):
+    for dim, schema in ((providers, PROVIDERS), (members, MEMBERS)):
         claims = _attach(claims, dim, schema.names, hot)
     return claims
 

@@ -17,10 +17,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_HOT_KEYS = 128
-SKETCH_ITEMS = 1024
+MAX_HOT_KEYS = 512
+SKETCH_ITEMS = 4096
 SKETCH_MERGERS = 256
-HOT_SHARE = 0.01
+HOT_SHARE = 0.002
 
 
 def hot_keys(df: DataFrame, *keys: str, share: float = HOT_SHARE) -> dict[str, list]:

@@ -9,10 +9,12 @@ from pyspark.sql import SparkSession
 
 # AQE does the runtime part of the scale story: it sizes shuffle partitions from
 # real bytes, splits skewed join and rebalance partitions, and turns a shuffle
-# join into a broadcast join only when the measured side is below the threshold.
+# join into a broadcast join only when the measured side is below the threshold. A
+# skewed join is split even where the next join would reuse its placement.
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.ui.enabled": "false",

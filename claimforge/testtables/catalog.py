@@ -88,13 +88,19 @@ def latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_per_key(rows, ties=src.TIES).drop(*src.TIES)
 
 
+def heavy_keys(spark: SparkSession, sf_dir: str) -> dict[str, list]:
+    """Heavy keys of cleaned claims, which all have a member."""
+    hot = src.hot_claim_keys(spark, sf_dir)
+    return hot | {"member_id": [key for key in hot["member_id"] if key is not None]}
+
+
 def conformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Masked, deduplicated, enriched claims of all runs."""
     joined = enrich.attach_reference(
         cleaning.mask_members(latest(spark, sf_dir)),
         cleaning.mask_members(src.members(spark, sf_dir)),
         src.providers(spark, sf_dir),
-        src.hot_claim_keys(spark, sf_dir),
+        heavy_keys(spark, sf_dir),
     )
     return enrich.derive(joined)
 
@@ -109,14 +115,14 @@ def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
         cleaning.mask_members(src.dim_members(spark, sf_dir)),
         src.dim_providers(spark, sf_dir),
         RUN_DATE,
-        src.hot_claim_keys(spark, sf_dir),
+        heavy_keys(spark, sf_dir),
     )
 
 
 def mart_base(spark: SparkSession, sf_dir: str, risk: bool) -> DataFrame:
     """The enriched claims as far as the mart reads them: no provider dimension."""
     dim = cleaning.mask_members(src.dim_members(spark, sf_dir)) if risk else None
-    hot = src.hot_claim_keys(spark, sf_dir)
+    hot = heavy_keys(spark, sf_dir)
     return models.int_claims(staged_facts(spark, sf_dir), dim, None, RUN_DATE, hot)
 
 
@@ -476,7 +482,7 @@ def int_incremental_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows,
         cleaning.mask_members(src.members(spark, sf_dir)),
         src.providers(spark, sf_dir),
-        src.hot_claim_keys(spark, sf_dir),
+        heavy_keys(spark, sf_dir),
     )
     fact = stored(spark, fact_rows(enrich.derive(joined)), "fact")
     dims = (

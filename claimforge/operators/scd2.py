@@ -90,21 +90,20 @@ def as_of_join(
     The versions of a key are folded into one row per key and calendar year they
     touch, so the join is a plain equality, a fact meets only the versions of its
     own year (at most one per day), and one key's facts are spread over the years.
-    A fact dated after the last year that starts a version uses that year.
+    A fact dated after the last year that starts a version uses that year. ``history``
+    is read twice, first for that year alone.
     """
     attributes = [
         name
         for name in history.columns
         if name not in (key, "valid_from", "valid_to", "is_current")
     ]
-    last_year = history.agg(F.max(F.year("valid_from"))).scalar()
-    final = F.when(
-        F.col("valid_to").isNotNull(),
-        F.least(F.year(F.date_sub("valid_to", 1)), F.col("_last_year")),
-    ).otherwise(F.col("_last_year"))
+    newest = history.agg(F.max(F.year("valid_from")).alias("year")).first()
+    last_year = F.lit(newest.year).cast("int")
+    # The least of a year and nothing is the year: an open version has no end.
+    final = F.least(F.year(F.date_sub("valid_to", 1)), last_year)
     versions = (
-        history.withColumn("_last_year", last_year)
-        .select(
+        history.select(
             key,
             F.struct("valid_from", "valid_to", *attributes).alias("version"),
             F.explode(F.sequence(F.year("valid_from"), final)).alias("year"),

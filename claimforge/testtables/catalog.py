@@ -649,14 +649,17 @@ def scd2_build(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def scd2_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     changes = src.member_changes(spark, sf_dir)
-    first = scd2.build_history(changes.where(F.col("change_day") < HISTORY_UNTIL), **HISTORY)
+    early = changes.where(F.col("change_day") < HISTORY_UNTIL)
+    first = stored(spark, scd2.build_history(early, **HISTORY), "history")
     return scd2.apply_changes(first, changes.where(F.col("change_day") >= HISTORY_UNTIL), **HISTORY)
 
 
 @query
 def point_in_time_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts = src.claims(spark, sf_dir, "claim_id", "member_id", "service_date")
-    history = scd2.build_history(src.member_changes(spark, sf_dir), **HISTORY)
+    history = stored(
+        spark, scd2.build_history(src.member_changes(spark, sf_dir), **HISTORY), "history"
+    )
     return scd2.as_of_join(facts, history, "member_id", "service_date", ("claim_id", "service_date"))
 
 

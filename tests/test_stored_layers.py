@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from claimforge.functions.privacy import register_mask
 from claimforge.operators.cleaning import mask_members
-from claimforge.plans.daily import Layout, check_day, run_day
+from claimforge.plans.daily import Layout, check_day, check_freshness, load_trend, run_day
 from claimforge.plans.extract import run_extract
 from claimforge.plans.load import run_load
 from claimforge.plans.models import publish_views
@@ -262,6 +262,10 @@ def test_two_days(spark, tmp_path, dims):
     assert report.pop(("stg_claims", "unique", "claim_id")) == 1
     assert set(report.values()) == {0} and len(report) == 9
 
+    assert check_freshness(spark, layout, "2024-02-03 06:00:00").first().status == "warn"
+    trend = {str(r.day): (r.rows, r.avg_before, r.suspicious) for r in load_trend(spark, layout, 0.6).collect()}
+    assert trend == {"2024-02-01": (4, None, None), "2024-02-02": (2, 4.0, True)}
+
 
 def test_repeated_dimension_key_is_refused(spark, tmp_path, dims):
     layout = Layout(*[str(tmp_path / name) for name in ("raw", "staging", "conformed", "fact", "int", "mart")])

@@ -37,13 +37,14 @@ def exact_median(df: DataFrame, group: str, amount: str, scale: int = 2) -> Data
     )
     whole = Window.partitionBy(group)
     so_far = (Window.unboundedPreceding, Window.currentRow)
+    upto_block = F.sum("n").over(whole.orderBy("block").rowsBetween(*so_far))
     blocks = (
         cents.groupBy(group, "block")
         .agg(F.sum("n").alias("n"))
         .select(
             group,
             "block",
-            (F.sum("n").over(whole.orderBy("block").rowsBetween(*so_far)) - F.col("n")).alias("before"),
+            (upto_block - F.col("n")).alias("before"),
             "n",
             F.sum("n").over(whole).alias("total"),
         )
@@ -62,9 +63,10 @@ def exact_median(df: DataFrame, group: str, amount: str, scale: int = 2) -> Data
     hits = F.lit(0)
     for rank in (low, high):
         hits = hits + ((rank > first) & (rank <= F.col("upto"))).cast("int")
+    both = F.sum(F.col("cent") * F.col("hits")).cast("double")
     return (
         placed.select(group, "cent", hits.alias("hits"))
         .where("hits > 0")
         .groupBy(group)
-        .agg((F.sum(F.col("cent") * F.col("hits")).cast("double") / (2 * 10**scale)).alias("median"))
+        .agg((both / (2 * 10**scale)).alias("median"))
     )

@@ -149,11 +149,12 @@ def row_count_trend(
     the count is below that share of the average.
     """
     targets = F.sequence(F.date_add("day", 1), F.date_add("day", days))
+    average = F.try_divide(F.sum("rows").cast("double"), F.count("rows"))
     before = (
         counts.where(F.col("day").isNotNull())
         .select(F.explode(targets).alias("day"), "rows")
         .groupBy("day")
-        .agg(F.round(F.try_divide(F.sum("rows").cast("double"), F.count("rows")), 4).alias("avg_before"))
+        .agg(F.round(average, 4).alias("avg_before"))
     )
     low = F.lit(None).cast("boolean")
     if min_share is not None:

@@ -121,9 +121,9 @@ def as_of_join(
         lambda v: (v["valid_from"] <= day) & (v["valid_to"].isNull() | (day < v["valid_to"])),
     )
     picked = found.withColumn("_version", F.get(valid, F.lit(0)))
+    shown = [*attributes, "valid_from", "valid_to"]
     return picked.select(
-        *facts.columns,
-        *[F.col(f"_version.{name}").alias(name) for name in (*attributes, "valid_from", "valid_to")],
+        *facts.columns, *[F.col(f"_version.{name}").alias(name) for name in shown]
     )
 
 

@@ -154,9 +154,9 @@ def halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     rows = rows.withColumns(
         {"service_year": F.year("service_date"), "service_month": F.month("service_date")}
     )
+    early = F.col("service_date") < HALF
     old, new = (
-        latest_per_key(half, ties=src.TIES).drop(*src.TIES)
-        for half in (rows.where(F.col("service_date") < HALF), rows.where(F.col("service_date") >= HALF))
+        latest_per_key(rows.where(part), ties=src.TIES).drop(*src.TIES) for part in (early, ~early)
     )
     return old, new
 
@@ -238,7 +238,7 @@ def filter_required_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def filter_required_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = src.claims(spark, sf_dir, "claim_id", "service_text", "billed_amount")
-    typed = cleaning.type_dates(rows, "service_text").withColumnRenamed("service_text", "service_date")
+    typed = cleaning.type_dates(rows.withColumnRenamed("service_text", "service_date"), "service_date")
     return cleaning.require(typed, *cleaning.REQUIRED_FIELDS)
 
 
@@ -332,9 +332,8 @@ def days_since_service(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def days_to_payment(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = src.claims(spark, sf_dir, "claim_id", "service_date", "discharge_date", "paid_amount")
-    paid_on = F.when(
-        F.col("paid_amount") > 0, F.date_add("service_date", 10 + F.pmod(F.floor("paid_amount"), F.lit(20)).cast("int"))
-    )
+    wait = 10 + F.pmod(F.floor("paid_amount"), F.lit(20)).cast("int")
+    paid_on = F.when(F.col("paid_amount") > 0, F.date_add("service_date", wait))
     return rows.withColumn("payment_date", paid_on).select(
         "claim_id",
         "payment_date",
@@ -386,9 +385,8 @@ def business_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def claim_category(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = cleaned(
-        spark, sf_dir, "claim_id", "member_id", "provider_npi", "billed_amount", "paid_amount", "claim_type"
-    )
+    keys = ["claim_id", "member_id", "provider_npi"]
+    rows = cleaned(spark, sf_dir, *keys, "billed_amount", "paid_amount", "claim_type")
     joined = lookup(
         rows,
         src.providers(spark, sf_dir).select("provider_npi", "network_flag"),
@@ -421,7 +419,9 @@ def dedup_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest(spark, sf_dir)
 
 
-def upserted(spark: SparkSession, label: str, *batches: DataFrame, newer: str | None = None) -> DataFrame:
+def upserted(
+    spark: SparkSession, label: str, *batches: DataFrame, newer: str | None = None
+) -> DataFrame:
     path = scratch_dir(spark, label)
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in batches[0].schema.fields])
     for batch in batches:
@@ -493,7 +493,13 @@ def int_incremental_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
         models.run_models(spark, part, *dims, f"{root}/int", f"{root}/mart", NOW)
     schema = models.int_schema(models.stg_claims(fact))
     return spark.read.schema(schema).parquet(f"{root}/int").select(
-        "claim_id", "run_date", "claim_category", "days_since_service", "state", "age_band", "provider_tier"
+        "claim_id",
+        "run_date",
+        "claim_category",
+        "days_since_service",
+        "state",
+        "age_band",
+        "provider_tier",
     )
 
 
@@ -523,9 +529,8 @@ def agg_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def agg_averages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return measured(
-        spark, sf_dir, "avg_paid_per_claim", "avg_los_days", "avg_cost_ratio", "avg_member_risk_score"
-    )
+    names = ["avg_paid_per_claim", "avg_los_days", "avg_cost_ratio", "avg_member_risk_score"]
+    return measured(spark, sf_dir, *names)
 
 
 @query
@@ -660,7 +665,8 @@ def point_in_time_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     history = stored(
         spark, scd2.build_history(src.member_changes(spark, sf_dir), **HISTORY), "history"
     )
-    return scd2.as_of_join(facts, history, "member_id", "service_date", ("claim_id", "service_date"))
+    apart = ("claim_id", "service_date")
+    return scd2.as_of_join(facts, history, "member_id", "service_date", apart)
 
 
 # Whole jobs ---------------------------------------------------------------
@@ -681,15 +687,15 @@ def transform_run(spark: SparkSession, sf_dir: str) -> DataFrame:
         doubles(staged_raw(spark, sf_dir)), readers.staging_path(f"{root}/staging", RUN_DATE)
     )
     members = cleaning.mask_members(src.members(spark, sf_dir))
-    run_transform(
-        spark, f"{root}/staging", f"{root}/conformed", RUN_DATE, members, src.providers(spark, sf_dir)
-    )
+    providers = src.providers(spark, sf_dir)
+    run_transform(spark, f"{root}/staging", f"{root}/conformed", RUN_DATE, members, providers)
     return readers.conformed_claims(spark, f"{root}/conformed")
 
 
 def one_day(spark: SparkSession, sf_dir: str) -> Layout:
     root = scratch_dir(spark, "day")
-    layout = Layout(*[f"{root}/{x}" for x in ("raw", "staging", "conformed", "fact", "int", "mart")])
+    folders = ("raw", "staging", "conformed", "fact", "int", "mart")
+    layout = Layout(*[f"{root}/{folder}" for folder in folders])
     landed(spark, sf_dir, layout.raw)
     run_day(
         spark,

@@ -222,7 +222,8 @@ def dim_members(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = table(spark, sf_dir, "supplier").where(F.col("s_suppkey") % 7 != 0)
-    return known.withColumn("provider_npi", F.concat(F.lit("NPI"), F.col("s_suppkey").cast("string")))
+    npi = F.concat(F.lit("NPI"), F.col("s_suppkey").cast("string"))
+    return known.withColumn("provider_npi", npi)
 
 
 def providers(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from claimforge.llm.byte_bpe import op5_byte_bpe
 from claimforge.llm.mixing import OP3_SQL, op3_mixing
 from claimforge.llm.quality_rules import OP9_SQL, op9_rules
 from claimforge.llm.shards import op2_shards
@@ -9,6 +10,7 @@ from claimforge.llm.shards import op2_shards
 QUERIES = {
     "op2_shards": op2_shards,
     "op3_mixing": op3_mixing,
+    "op5_byte_bpe": op5_byte_bpe,
     "op9_rules": op9_rules,
 }
 ORACLES = {

@@ -6,11 +6,13 @@ from claimforge.llm.byte_bpe import op5_byte_bpe
 from claimforge.llm.mixing import OP3_SQL, op3_mixing
 from claimforge.llm.quality_rules import OP9_SQL, op9_rules
 from claimforge.llm.shards import op2_shards
+from claimforge.llm.token_files import op7_token_files
 
 QUERIES = {
     "op2_shards": op2_shards,
     "op3_mixing": op3_mixing,
     "op5_byte_bpe": op5_byte_bpe,
+    "op7_token_files": op7_token_files,
     "op9_rules": op9_rules,
 }
 ORACLES = {

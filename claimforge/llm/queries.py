@@ -7,6 +7,7 @@ from claimforge.llm.mixing import OP3_SQL, op3_mixing
 from claimforge.llm.quality_rules import OP9_SQL, op9_rules
 from claimforge.llm.shards import op2_shards
 from claimforge.llm.token_files import op7_token_files
+from claimforge.llm.toxicity import op10_toxicity
 
 QUERIES = {
     "op2_shards": op2_shards,
@@ -14,6 +15,7 @@ QUERIES = {
     "op5_byte_bpe": op5_byte_bpe,
     "op7_token_files": op7_token_files,
     "op9_rules": op9_rules,
+    "op10_toxicity": op10_toxicity,
 }
 ORACLES = {
     "op3_mixing": OP3_SQL,

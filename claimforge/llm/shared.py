@@ -43,3 +43,25 @@ def let(value: Column, body) -> Column:
 def words_of(text: Column) -> Column:
     """The words of a text, in order."""
     return F.filter(F.split(text, GAP), lambda word: word != F.lit(""))
+
+
+def fold(doc_id: str, folds: int) -> Column:
+    """crc32 of the id's decimal text, modulo ``folds``."""
+    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % folds
+
+
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, label: str, keep: Column, per_class: int
+) -> DataFrame:
+    """``doc_id, text, label`` of at most ``per_class`` rows of each label 0 and 1.
+
+    The rows with the least hashes of their id among the labels that pass ``keep``; the
+    chosen ids, at most twice ``per_class``, are broadcast to one scan of the texts.
+    """
+    usable = labels.where(keep & F.col("doc_id").isNotNull()).select("doc_id", F.col(label).alias("label"))
+    place = F.xxhash64(F.lit(11), "doc_id")
+    parts = [
+        usable.where(F.col("label") == value).orderBy(place, "doc_id").limit(per_class) for value in (0, 1)
+    ]
+    chosen = parts[0].unionByName(parts[1]).dropDuplicates(["doc_id"])
+    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")

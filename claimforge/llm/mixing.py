@@ -22,7 +22,7 @@ REPEATS = 2
 SEED = "mix-1"
 SYMBOLS = "#*$%&|<>!"
 # Rows that one key range of a source is meant to hold.
-RANGE_ROWS = 20_000
+RANGE_ROWS = 4_000
 
 
 def word_count(text: str = "text") -> Column:
@@ -106,7 +106,7 @@ def mix(
     targets = targets.join(
         sizes.select(F.col("source").alias("_source"), "n"), F.col("source").eqNullSafe(F.col("_source"))
     )
-    ranges = F.greatest(F.lit(16), F.ceil(F.col("n") / RANGE_ROWS))
+    ranges = F.greatest(F.lit(64), F.ceil(F.col("n") / RANGE_ROWS))
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     targets = targets.select(
         F.col("source").alias("_source"), "source_size", "rank", "target", ranges.alias("ranges"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from claimforge.llm.byte_bpe import op5_byte_bpe
+from claimforge.llm.knn_quality import op4_knn_quality
 from claimforge.llm.mixing import OP3_SQL, op3_mixing
 from claimforge.llm.quality_rules import OP9_SQL, op9_rules
 from claimforge.llm.shards import op2_shards
@@ -12,6 +13,7 @@ from claimforge.llm.toxicity import op10_toxicity
 QUERIES = {
     "op2_shards": op2_shards,
     "op3_mixing": op3_mixing,
+    "op4_knn_quality": op4_knn_quality,
     "op5_byte_bpe": op5_byte_bpe,
     "op7_token_files": op7_token_files,
     "op9_rules": op9_rules,

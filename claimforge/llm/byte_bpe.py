@@ -3,10 +3,12 @@
 1. Documents are split by the tokenizer's pattern, a block of documents at a time. A
    block explodes into one row per distinct word of it, numbered by first occurrence;
    where a word stands is kept as one array of word numbers per document. So a word
-   that is everywhere makes one row per block, not one per occurrence.
-2. All (block, number, word) rows are shuffled and sorted by word: equal words of all
-   blocks are neighbours in one task, which encodes each distinct word once.
-3. The ids go back to their block and number, the blocks' arrays come along, and every
+   that is everywhere makes one row per block, not one per occurrence. Arrays and words
+   are written to a table bucketed by block.
+2. All (place, word) rows, a place being block and number, are shuffled and sorted by
+   word: equal words of all blocks are neighbours in one task, which encodes each
+   distinct word once.
+3. The ids join their block's arrays, which lie bucketed and are not moved, and every
    document is put together by position.
 4. Decoding replaces ids by the bytes of the vocabulary's token table.
 
@@ -17,6 +19,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import itertools
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -31,8 +34,10 @@ from claimforge.session import scratch_dir
 # Characters of a block; a longer document is a block of its own.
 BLOCK_CHARS = 32 << 20
 DOCUMENT, WORD = 0, 1
-SPLIT = "kind int, block long, item long, id long, data binary"
-CODED = "block long, item long, data binary"
+SPLIT = "kind int, block long, place long, id long, data binary"
+CODED = "block long, items binary, sizes binary, ids binary"
+# Encoded words that a task holds before it hands them on.
+HELD_WORDS = 1 << 21
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -71,9 +76,9 @@ def split_words(docs: DataFrame, pattern: str, block_chars: int = BLOCK_CHARS) -
         import regex
 
         find = regex.compile(pattern).findall
-        schema = pa.schema([("kind", pa.int32()), ("block", pa.int64()), ("item", pa.int64()),
+        schema = pa.schema([("kind", pa.int32()), ("block", pa.int64()), ("place", pa.int64()),
                             ("id", pa.int64()), ("data", pa.binary())])
-        block = TaskContext.get().partitionId() << 32
+        block = TaskContext.get().partitionId() << 10
 
         def flush(ids: list, codes: list, numbers: dict) -> pa.RecordBatch:
             n, m = len(ids), len(numbers)
@@ -81,7 +86,7 @@ def split_words(docs: DataFrame, pattern: str, block_chars: int = BLOCK_CHARS) -
                 [
                     pa.array(np.repeat(np.int32([DOCUMENT, WORD]), [n, m])),
                     pa.array(np.full(n + m, block)),
-                    pa.array(np.concatenate((np.arange(n), np.arange(m)))),
+                    pa.array((block << 32) + np.concatenate((np.arange(n), np.arange(m)))),
                     pa.array(ids + [None] * m, pa.int64()),
                     pa.array(codes + [word.encode() for word in numbers], pa.binary()),
                 ],
@@ -109,21 +114,45 @@ def split_words(docs: DataFrame, pattern: str, block_chars: int = BLOCK_CHARS) -
 
 
 def encode_words(words: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
-    """``block, item, data`` with ids in place of the word; each distinct word is encoded once."""
+    """``place, data`` to rows of ``CODED``: per block some word numbers and their ids.
+
+    Each distinct word is encoded once: its rows are neighbours.
+    """
     shared = words.sparkSession.sparkContext.broadcast(ranks)
 
+    def by_block(places: list, which: list, codes: list) -> pa.RecordBatch:
+        places = np.concatenate(places)
+        order = np.argsort(places)
+        places, which = places[order], np.array(which)[order]
+        starts, values = offsets(map(len, codes)), np.fromiter(itertools.chain.from_iterable(codes), np.uint32)
+        blocks, first = np.unique(places >> 32, return_index=True)
+        rows = []
+        for block, a, b in zip(blocks, first, [*first[1:], len(places)], strict=True):
+            items, own = places[a:b] & 0xFFFFFFFF, which[a:b]
+            steps, sizes = np.diff(items, prepend=0), np.diff(starts)[own]
+            rows.append((block, pack(steps), pack(sizes), pack(gather(own, starts, values))))
+        columns = zip(*rows, strict=True)
+        kinds = (pa.int64(), pa.binary(), pa.binary(), pa.binary())
+        return pa.record_batch(
+            [pa.array(column, kind) for column, kind in zip(columns, kinds, strict=True)],
+            names=["block", "items", "sizes", "ids"],
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _piece_encoder(shared.value, pattern)
-        last, data = None, b""
+        last, places, which, codes = None, [], [], []
         for batch in batches:
-            out = []
-            for word in batch.column(2).to_pylist():
-                if word != last:
-                    last, data = word, np.array(encode(word), "<u4").tobytes()
-                out.append(data)
-            yield pa.record_batch(
-                [batch.column(0), batch.column(1), pa.array(out, pa.binary())], names=["block", "item", "data"]
-            )
+            for word in batch.column(1).to_pylist():
+                if word != last or not codes:
+                    last = word
+                    codes.append(encode(word))
+                which.append(len(codes) - 1)
+            places.append(batch.column(0).to_numpy())
+            if len(which) >= HELD_WORDS:
+                yield by_block(places, which, codes)
+                places, which, codes = [], [], []
+        if which:
+            yield by_block(places, which, codes)
 
     return words.repartition("data").sortWithinPartitions("data").mapInArrow(run, CODED)
 
@@ -139,12 +168,14 @@ def assemble(split: DataFrame, coded: DataFrame) -> DataFrame:
     """``doc_id, ids`` (little-endian 32-bit) of every document, block by block."""
 
     def run(docs: pa.Table, words: pa.Table) -> pa.Table:
-        order = np.argsort(words["item"].to_numpy())
-        data = words["data"].combine_chunks().take(pa.array(order)).to_pylist()
-        starts = offsets(len(x) // 4 for x in data)
-        values = np.frombuffer(b"".join(data), "<u4")
+        items = [np.cumsum(unpack(x), dtype=np.int64) for x in words["items"].to_pylist()]
+        order = np.argsort(np.concatenate([*items, np.empty(0, np.int64)]))
+        sizes = np.concatenate([*map(unpack, words["sizes"].to_pylist()), np.empty(0, np.uint32)])
+        values = np.concatenate([*map(unpack, words["ids"].to_pylist()), np.empty(0, np.uint32)])
+        values = gather(order, offsets(sizes), values)
+        starts = offsets(sizes[order])
         codes = docs["data"].to_pylist()
-        ids = [gather(unpack(x).astype(np.int64), starts, values).tobytes() for x in codes]
+        ids = [gather(unpack(x).astype(np.int64), starts, values).astype("<u4").tobytes() for x in codes]
         return pa.table({"doc_id": docs["id"], "ids": pa.array(ids, pa.binary())})
 
     docs = split.where(F.col("kind") == DOCUMENT).select("block", "id", "data").groupBy("block")
@@ -162,10 +193,13 @@ def encode(
     """
     spark = docs.sparkSession
     path = scratch_dir(spark, "bpe")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
     split = split_words(docs.select(F.col("doc_id").cast("long"), "text"), pattern, block_chars)
-    split.write.option("compression", "zstd").partitionBy("kind").parquet(path)
-    split = spark.read.schema(split.schema).parquet(path)
-    words = split.where(F.col("kind") == WORD).select("block", "item", "data")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    write = split.write.option("compression", "zstd").option("path", path).partitionBy("kind")
+    write.bucketBy(buckets, "block").saveAsTable(name)
+    split = spark.table(name)
+    words = split.where(F.col("kind") == WORD).select("place", "data")
     return assemble(split, encode_words(words, ranks, pattern))
 
 

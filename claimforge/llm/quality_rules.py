@@ -165,7 +165,9 @@ def judge(docs: DataFrame, key: str = "doc_id") -> DataFrame:
              "base_failed", "kept", "rejected_by", "_words", "_lines"}
     docs = docs.drop(*[name for name in docs.columns if name.lower() in names])
     tests = rules()
-    sample = stored(base_measures(sample_of(docs.select(key, "text"), key)).where(~base_failed()), "rules")
+    # Stored before it is measured: else every row would be measured to pick the sample.
+    sample = stored(sample_of(docs.select(key, "text"), key), "rules")
+    sample = stored(base_measures(sample).where(~base_failed()), "rules")
     order = [name for name, _, _ in cascade_order(sample, tests)]
     measured = base_measures(docs).withColumn("base_failed", base_failed())
     found = F.when(F.col("base_failed"), F.lit("base")).otherwise(cascade(tests, order))

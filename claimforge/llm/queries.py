@@ -5,6 +5,7 @@ from __future__ import annotations
 from claimforge.llm.byte_bpe import op5_byte_bpe
 from claimforge.llm.knn_quality import op4_knn_quality
 from claimforge.llm.mixing import OP3_SQL, op3_mixing
+from claimforge.llm.pseudonyms import op6_pseudonyms
 from claimforge.llm.quality_rules import OP9_SQL, op9_rules
 from claimforge.llm.shards import op2_shards
 from claimforge.llm.token_files import op7_token_files
@@ -15,6 +16,7 @@ QUERIES = {
     "op3_mixing": op3_mixing,
     "op4_knn_quality": op4_knn_quality,
     "op5_byte_bpe": op5_byte_bpe,
+    "op6_pseudonyms": op6_pseudonyms,
     "op7_token_files": op7_token_files,
     "op9_rules": op9_rules,
     "op10_toxicity": op10_toxicity,

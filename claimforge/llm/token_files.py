@@ -13,9 +13,13 @@ a file's ids begin in the whole is a prefix sum over the files' counts.
 
 from __future__ import annotations
 
+import itertools
+import re
 import struct
+import sys
+import types
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +36,9 @@ BLOCK = 128
 PERCENTILE = 90
 # Ids of a file; a longer document is a file of its own.
 FILE_IDS = 4 << 20
-# Distinct chunks that a task keeps the ids of before it starts afresh.
-CACHE_CHUNKS = 1 << 20
+# Distinct chunks and pre-tokens whose ids a worker keeps before it starts afresh, and the
+# characters it cuts into chunks at a time.
+MAX_CHUNKS, MAX_PIECES, SLICE_CHARS = 400_000, 800_000, 4 << 20
 HEADER = "<8sQQQ"
 FILES = "part long, file long, n_docs long, n_ids long, data binary"
 
@@ -68,8 +73,10 @@ def pack_blocks(values: np.ndarray) -> bytes:
     for w in np.unique(width):
         if w:
             own = np.nonzero(width == w)[0]
-            bits = (rest[own][:, :, None] >> np.arange(w, dtype=np.uint32)) & 1
-            data = np.packbits(bits.astype(np.uint8).reshape(len(own), -1), axis=1, bitorder="little")
+            kind = 16 if w <= 16 else 32
+            bits = np.unpackbits(rest[own].astype(f">u{kind // 8}").view(np.uint8), axis=1)
+            bits = bits.reshape(len(own), BLOCK, kind)[:, :, kind - w :]
+            data = np.packbits(bits.reshape(len(own), -1), axis=1)
             packed[starts[own][:, None] + np.arange(data.shape[1])] = data
     exceptions = offsets(np.bincount(rows, minlength=blocks))
     return b"".join(
@@ -115,9 +122,11 @@ def unpack_blocks(data: memoryview, first: int = 0, last: int | None = None) ->
         if w:
             own = low + np.nonzero(width[low:high] == w)[0]
             size = int(w) * BLOCK // 8
-            bits = np.unpackbits(packed[starts[own][:, None] + np.arange(size)], axis=1, bitorder="little")
-            powers = np.uint32(1) << np.arange(w, dtype=np.uint32)
-            out[own - low] = (bits.reshape(len(own), BLOCK, int(w)) * powers).sum(2, dtype=np.uint32)
+            kind = 16 if w <= 16 else 32
+            bits = np.zeros((len(own), BLOCK, kind), np.uint8)
+            found = np.unpackbits(packed[starts[own][:, None] + np.arange(size)], axis=1)
+            bits[:, :, kind - w :] = found.reshape(len(own), BLOCK, int(w))
+            out[own - low] = np.packbits(bits.reshape(len(own), -1), axis=1).view(f">u{kind // 8}")
     from_, to = exceptions[low], exceptions[high]
     rows = np.repeat(np.arange(high - low), np.diff(exceptions[low : high + 1]))
     out[rows, places[from_:to]] = outliers[from_:to]
@@ -152,59 +161,140 @@ def read_file(data: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
 
 # Tokenizing -----------------------------------------------------------------
 
+# Lower-case texts made of these only are cut into pre-tokens here; all others are left
+# to the library. The letters are ASCII and Latin-1 to Latin Extended-A, which composition
+# leaves alone; lower-casing them gives one letter each (I with a dot excepted).
+LETTERS = "a-z\u00df-\u00f6\u00f8-\u012f\u0131-\u017f"
+PLAIN = rf"[!-@\[-~{LETTERS}]+"
+PIECES = rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[!-/:-@\[-`{{-~]+"
+WORD_END = "</w>"
+
+
+class Numbers(dict):
+    """Numbers its keys in the order in which they are first looked up."""
+
+    def __missing__(self, key):
+        number = self[key] = len(self)
+        return number
+
+
+class Coded:
+    """Ids of numbered things: things come in order, their ids lie one after the other."""
+
+    def __init__(self):
+        self.starts, self.values = np.zeros(1, np.int64), np.empty(0, np.uint32)
+
+    def add(self, sizes: np.ndarray, values: np.ndarray) -> None:
+        self.starts = np.concatenate((self.starts, self.starts[-1] + np.cumsum(sizes)))
+        self.values = np.concatenate((self.values, values))
+
+    def of(self, numbers: np.ndarray) -> np.ndarray:
+        return gather(numbers, self.starts, self.values)
+
 
 class ChunkEncoder:
     """Ids of whole texts by a tokenizer that never joins text across white space.
 
-    A text is cut at ASCII white space, each distinct chunk is encoded once by the
-    library, and a text's ids are those of its chunks in order. ASCII chunks are
-    lower-cased first, which the tokenizer does anyway, unless a special token's mark
-    is in the text, whose case counts.
+    A text is cut at ASCII white space and each distinct chunk is encoded once. A plain
+    chunk is cut further into the tokenizer's pre-tokens; distinct pre-tokens go to the
+    library many at a time, joined by spaces, and the ids that end a word tell them
+    apart. Chunks with any other character, or with a special token's mark, go to the
+    library as they are. ASCII chunks are lower-cased first, which the tokenizer does
+    anyway.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self._forget()
-
-    def _forget(self) -> None:
-        self.numbers: dict[bytes, int] = {}
-        self.sizes: list[np.ndarray] = []
-        self.values: list[np.ndarray] = []
+        size = self.library.get_vocab_size()
+        self.ends = np.zeros(size, bool)
+        for token, number in self.library.get_vocab().items():
+            self.ends[number] = token.endswith(WORD_END)
+        self.is_plain, self.pieces_of = re.compile(PLAIN).fullmatch, re.compile(PIECES).findall
+        self.beyond = re.compile("[^\0-\u017f]").search
+        self.chunks = self.pieces = None
 
     def _chunks(self, text: str) -> list[bytes]:
         data = text.encode()
         if b"<|" in data:
             return data.split()
-        if len(data) == len(text):
+        # Beyond Latin Extended-A a mark may join the letter before it, by its case.
+        if len(data) == len(text) or not self.beyond(text):
             return data.lower().split()
         return [x.lower() if x.isascii() else x for x in data.split()]
 
-    def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.numbers) > CACHE_CHUNKS:
-            self._forget()
-        numbers, known, coded = self.numbers, len(self.numbers), []
-        for text in texts:
-            chunks = self._chunks(text)
-            for chunk in chunks:
-                if chunk not in numbers:
-                    numbers[chunk] = len(numbers)
-            coded.append(np.fromiter(map(numbers.__getitem__, chunks), np.int64, len(chunks)))
-        new = [chunk.decode() for chunk in list(numbers)[known:]]
-        for at in range(0, len(new), 20_000):
-            found = [x.ids for x in self.library.encode_batch_fast(new[at : at + 20_000], add_special_tokens=False)]
-            self.sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
-            self.values.append(np.concatenate([np.array(x, np.uint32) for x in found]))
-        self.sizes = [np.concatenate(self.sizes)] if self.sizes else []
-        self.values = [np.concatenate(self.values)] if self.values else []
-        starts = offsets(self.sizes[0] if self.sizes else ())
-        values = self.values[0] if self.values else np.empty(0, np.uint32)
-        return [gather(codes, starts, values) for codes in coded]
+    def __call__(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """The ids of each text; a few MB of text at a time are held as chunks."""
+        at = 0
+        while at < len(texts):
+            some, held = [], 0
+            while at < len(texts) and (not some or held < SLICE_CHARS):
+                some.append(texts[at])
+                held += len(texts[at])
+                at += 1
+            if self.chunks is None or len(self.chunks) > MAX_CHUNKS:
+                self.chunks, self.chunk_ids = Numbers(), Coded()
+            if self.pieces is None or len(self.pieces) > MAX_PIECES:
+                self.pieces, self.piece_ids = Numbers(), Coded()
+            known, look_up = len(self.chunks), self.chunks.__getitem__
+            coded = [
+                np.fromiter(map(look_up, chunks), np.int64, len(chunks)) for chunks in map(self._chunks, some)
+            ]
+            self._learn(list(itertools.islice(self.chunks, known, None)))
+            yield from map(self.chunk_ids.of, coded)
+
+    def _learn(self, chunks: list[bytes]) -> None:
+        known, look_up = len(self.pieces), self.pieces.__getitem__
+        parts, counts, odd = [], np.ones(len(chunks), np.int64), []
+        for i, chunk in enumerate(chunks):
+            if chunk.isalpha():
+                parts.append(look_up(chunk.decode()))
+                continue
+            text = chunk.decode().lower()
+            if "<|" not in text and "\u0130" not in text and self.is_plain(text):
+                found = self.pieces_of(text)
+                parts.extend(map(look_up, found))
+                counts[i] = len(found)
+            else:
+                odd.append(i)
+                counts[i] = 0
+        self._encode(list(itertools.islice(self.pieces, known, None)))
+        parts = np.array(parts, np.int64)
+        bounds = offsets(counts)
+        lengths = np.diff(self.piece_ids.starts)[parts] if len(parts) else parts
+        sizes = np.diff(offsets(lengths)[bounds])
+        values = self.piece_ids.of(parts)
+        if odd:
+            found = [x.ids for x in self.library.encode_batch_fast([chunks[i].decode() for i in odd], add_special_tokens=False)]
+            places = np.repeat(offsets(sizes)[odd], list(map(len, found)))
+            values = np.insert(values, places, np.fromiter(itertools.chain.from_iterable(found), np.uint32))
+            sizes[odd] = list(map(len, found))
+        self.chunk_ids.add(sizes, values)
+
+    def _encode(self, pieces: list[str]) -> None:
+        sizes, values = [np.empty(0, np.int64)], [np.empty(0, np.uint32)]
+        for at in range(0, len(pieces), 1000):
+            some = pieces[at : at + 1000]
+            ids = np.array(self.library.encode(" ".join(some), add_special_tokens=False).ids, np.uint32)
+            ends = np.nonzero(self.ends[ids])[0]
+            if len(ends) != len(some) or ends[-1] != len(ids) - 1:
+                raise ValueError("the tokenizer cuts pre-tokens otherwise than expected")
+            sizes.append(np.diff(ends, prepend=-1))
+            values.append(ids)
+        self.piece_ids.add(np.concatenate(sizes), np.concatenate(values))
+
+
+def worker_encoder(path: str) -> ChunkEncoder:
+    """This worker process's encoder, kept from task to task for its known chunks."""
+    state = sys.modules.setdefault("claimforge_worker_state", types.ModuleType("claimforge_worker_state"))
+    if getattr(state, "path", None) != path:
+        state.path, state.encoder = path, ChunkEncoder(path)
+    return state.encoder
 
 
 def write_tokens(
-    docs: DataFrame, encoder: Callable[[], Callable[[list[str]], list[np.ndarray]]], end_id: int
+    docs: DataFrame, encoder: Callable[[], Callable[[list[str]], Iterable[np.ndarray]]], end_id: int
 ) -> DataFrame:
     """Encode ``doc_id, text`` and write the files; returns the table of files.
 
@@ -287,5 +377,5 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = public_tokenizers.path("word_bpe_49k.json")
-    files = write_tokens(table(spark, sf_dir, "documents"), lambda: ChunkEncoder(path), 1)
+    files = write_tokens(table(spark, sf_dir, "documents"), lambda: worker_encoder(path), 1)
     return read_tokens(files, crc_of, "long").withColumnRenamed("value", "ids_crc32")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from claimforge.llm.byte_bpe import op5_byte_bpe
+from claimforge.llm.imatch import op1_imatch
 from claimforge.llm.knn_quality import op4_knn_quality
 from claimforge.llm.mixing import OP3_SQL, op3_mixing
 from claimforge.llm.pseudonyms import op6_pseudonyms
@@ -12,6 +13,7 @@ from claimforge.llm.token_files import op7_token_files
 from claimforge.llm.toxicity import op10_toxicity
 
 QUERIES = {
+    "op1_imatch": op1_imatch,
     "op2_shards": op2_shards,
     "op3_mixing": op3_mixing,
     "op4_knn_quality": op4_knn_quality,

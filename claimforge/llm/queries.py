@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from claimforge.llm.byte_bpe import op5_byte_bpe
 from claimforge.llm.imatch import op1_imatch
+from claimforge.llm.jaccard_join import OP8_SQL, op8_jaccard_join
 from claimforge.llm.knn_quality import op4_knn_quality
 from claimforge.llm.mixing import OP3_SQL, op3_mixing
 from claimforge.llm.pseudonyms import op6_pseudonyms
@@ -20,10 +21,12 @@ QUERIES = {
     "op5_byte_bpe": op5_byte_bpe,
     "op6_pseudonyms": op6_pseudonyms,
     "op7_token_files": op7_token_files,
+    "op8_jaccard_join": op8_jaccard_join,
     "op9_rules": op9_rules,
     "op10_toxicity": op10_toxicity,
 }
 ORACLES = {
     "op3_mixing": OP3_SQL,
+    "op8_jaccard_join": OP8_SQL,
     "op9_rules": OP9_SQL,
 }

@@ -24,9 +24,9 @@ from pyspark.sql import functions as F
 
 from claimforge.llm.shared import let, table, text_or_empty
 
-# Band of document shares: idf = -ln(share) between 3.9 and 6.9.
-LEAST_SHARE, MOST_SHARE = 0.001, 0.02
-MAP_BITS = 20
+# Band of document shares: idf = -ln(share) between 2.3 and 5.3.
+LEAST_SHARE, MOST_SHARE = 0.005, 0.1
+MAP_BITS = 16
 SEED = 4242
 # One subset of all terms, then some of every 8th, 32nd, 64th and 128th term.
 SUBSETS = [0] + [3] * 3 + [5] * 6 + [6] * 6 + [7] * 8
@@ -149,8 +149,7 @@ def with_next(docs: DataFrame, order: str, *carried: str) -> DataFrame:
 
 def _range_of(key: Column, points: list[float]) -> Column:
     """How many points are not above the key, in two short searches."""
-    if not points:
-        return F.lit(0)
+    points = points or [math.inf]
     step = max(1, math.isqrt(len(points)))
     every = F.array(*[F.lit(p) for p in points])
     coarse = F.array(*[F.lit(p) for p in points[step - 1 :: step]])

@@ -127,24 +127,31 @@ def with_next(docs: DataFrame, order: str, *carried: str) -> DataFrame:
     if ranges > 1:
         shares = [i / ranges for i in range(1, ranges)]
         points = sorted(set(keys.select(F.percentile_approx("key", shares, 10_000)).first()[0]))
-    rows = docs.withColumn("_tie", tie).withColumn("_range", _range_of(key, points))
-    heads = rows.groupBy("_range").agg(F.min(F.struct(order, "_tie")).alias("_head"))
+    # A struct keeps the columns of the rows apart from those that are added here.
+    rows = docs.select(
+        F.struct("*").alias("row"), F.struct(F.col(order).alias("at"), tie.alias("tie")).alias("place"),
+        _range_of(key, points).alias("range"),
+    )
+    heads = rows.groupBy("range").agg(F.min("place").alias("head"))
     # At most MOST_RANGES rows; the range before the first is the last.
-    alone = W.orderBy("_range")
-    last = F.max("_range").over(W.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
-    heads = heads.withColumn("_before", F.coalesce(F.lag("_range").over(alone), last))
-    placed = rows.join(F.broadcast(heads), "_range")
-    first = F.struct(F.col(order), F.col("_tie")).eqNullSafe(F.col("_head"))
+    alone = W.orderBy("range")
+    last = F.max("range").over(W.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
+    heads = heads.withColumn("before", F.coalesce(F.lag("range").over(alone), last))
+    placed = rows.join(F.broadcast(heads), "range")
     at = F.array_compact(
         F.array(
-            F.struct(F.col("_range").alias("range"), F.lit(0).alias("guest")),
-            F.when(first, F.struct(F.col("_before").alias("range"), F.lit(1).alias("guest"))),
+            F.struct(F.col("range").alias("range"), F.lit(0).alias("guest")),
+            F.when(
+                F.col("place").eqNullSafe(F.col("head")), F.struct(F.col("before").alias("range"), F.lit(1).alias("guest"))
+            ),
         )
     )
-    placed = placed.select(*docs.columns, "_tie", F.inline(at).alias("_range", "_guest"))
-    follow = W.partitionBy("_range").orderBy("_guest", F.col(order).asc_nulls_first(), "_tie")
-    found = placed.select("*", *[F.lead(c).over(follow).alias(f"next_{c}") for c in carried])
-    return found.where(F.col("_guest") == 0).drop("_tie", "_range", "_guest")
+    placed = placed.select("row", "place", F.inline(at).alias("range", "guest"))
+    follow = W.partitionBy("range").orderBy("guest", "place")
+    added = {f"next_{c}": F.lead(F.col("row")[c]).over(follow) for c in carried}
+    found = placed.select("row", "guest", *[value.alias(name) for name, value in added.items()])
+    kept = [F.col("row")[c].alias(c) for c in docs.columns if c not in added]
+    return found.where(F.col("guest") == 0).select(*kept, *added)
 
 
 def _range_of(key: Column, points: list[float]) -> Column:

@@ -226,10 +226,11 @@ def pseudonymize(docs: DataFrame, column: str = "text", key: str = KEY) -> DataF
     part of the plan: keep event logs as safe as the key.
     """
     names = [name for name in docs.columns if name.lower() not in {"pii_found", "pii_changed"}]
-    text = F.col(f"`{column}`")
-    found = F.when(text.rlike(POSSIBLE), F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0)))
+    given = F.col(f"`{column}`")
+    found = F.when(given.rlike(POSSIBLE), F.regexp_extract_all(given, F.lit(PATTERN), F.lit(0)))
     # One array of structs grows field by field; a step's lambda sees its own element only.
-    rows = docs.select(*[F.col(f"`{name}`") for name in names], found.alias("_pii"))
+    rows = docs.select(F.struct("*").alias("row"), found.alias("pii"))
+    text = F.col("row")[column]
     secret = F.lit(key)
     steps = [
         lambda m: {"match": m, "kind": kind_of(m)},
@@ -254,16 +255,16 @@ def pseudonymize(docs: DataFrame, column: str = "text", key: str = KEY) -> DataF
         },
     ]
     for step in steps:
-        rows = rows.withColumn("_pii", F.transform("_pii", _struct_of(step)))
+        rows = rows.withColumn("pii", F.transform("pii", _struct_of(step)))
     between = F.split(text, PATTERN, -1)
     whole = F.array_join(
-        F.zip_with(between, F.col("_pii")["text"], lambda part, new: F.concat(part, F.coalesce(new, F.lit("")))), ""
+        F.zip_with(between, F.col("pii")["text"], lambda part, new: F.concat(part, F.coalesce(new, F.lit("")))), ""
     )
-    changed = F.size(F.filter("_pii", lambda x: x["kind"].isNotNull()))
-    count = F.coalesce(F.size("_pii"), F.lit(0))
+    changed = F.size(F.filter("pii", lambda x: x["kind"].isNotNull()))
+    count = F.coalesce(F.size("pii"), F.lit(0))
     return rows.select(
         *[
-            F.when(F.size("_pii") > 0, whole).otherwise(text).alias(name) if name == column else F.col(f"`{name}`")
+            (F.when(F.size("pii") > 0, whole).otherwise(text) if name == column else F.col("row")[name]).alias(name)
             for name in names
         ],
         F.greatest(count, F.lit(0)).cast("long").alias("pii_found"),

@@ -1,0 +1,56 @@
+from __future__ import annotations
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from claimforge.llm import knn_quality
+
+CHECKED = "/root/testdata/sf0.01"
+
+
+def naive_score(space, text):
+    """One text, all labelled vectors, sorted in full."""
+    rows = next(knn_quality.counts([text]))
+    cosines = (space.project(rows) @ space.vectors.T)[0]
+    near = np.argsort(-cosines, kind="stable")[: knn_quality.NEIGHBOURS]
+    votes = np.maximum(cosines[near], 1e-3) ** knn_quality.SHARPNESS
+    return float((votes * space.labels[near]).sum() / votes.sum())
+
+
+@pytest.fixture(scope="module")
+def space(spark):
+    docs, labels = (spark.read.parquet(f"{CHECKED}/{name}.parquet") for name in ("documents", "labels"))
+    return knn_quality.fit(docs, labels)
+
+
+def test_held_out_accuracy(spark, space):
+    labels = spark.read.parquet(f"{CHECKED}/labels.parquet").select("doc_id", "quality")
+    found = knn_quality.op4_knn_quality(spark, CHECKED).where("held_out").join(labels, "doc_id").collect()
+    assert len(found) > 50
+    assert np.mean([r.predicted == r.quality for r in found]) >= 0.95
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in found)
+
+
+def test_blocks_equal_one_by_one(spark, space, monkeypatch):
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").orderBy("doc_id").take(40)]
+    monkeypatch.setattr(knn_quality, "BLOCK_BYTES", 5_000)
+    assert space.score(texts) == pytest.approx([naive_score(space, text) for text in texts], abs=1e-3)
+
+
+def test_held_out_rows_are_not_learned_from(spark):
+    docs, labels = (spark.read.parquet(f"{CHECKED}/{name}.parquet") for name in ("documents", "labels"))
+    turned = labels.withColumn(
+        "quality", F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, 1 - F.col("quality")).otherwise(F.col("quality"))
+    )
+    a, b = knn_quality.fit(docs, labels), knn_quality.fit(docs, turned)
+    assert np.array_equal(a.vectors, b.vectors) and np.array_equal(a.labels, b.labels)
+
+
+def test_odd_rows(spark, space, odd, none):
+    rows = knn_quality.rate(odd, space).collect()
+    assert len(rows) == odd.count() and all(0 <= r.score <= 1 for r in rows)
+    assert {r.score for r in rows if r.doc_id in (1, 2, 3)} == {space.prior}
+    assert knn_quality.rate(none, space).collect() == []
+    blank = knn_quality.fit_space(["", " "], [1, 0])
+    assert blank.score(["some text", None]).tolist() == [0.5, 0.5]

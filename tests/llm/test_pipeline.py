@@ -1,0 +1,63 @@
+from __future__ import annotations
+
+from collections import Counter
+
+import public_tokenizers
+import pytest
+import tiktoken
+
+import corpus_pipeline
+from claimforge.llm import byte_bpe, jaccard_join, toxicity
+from tests.llm.test_jaccard_join import naive_join
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def test_stages_one_by_one(spark):
+    """Each stage against plain Python over what the stage before kept."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    assert list(stages) == ["toxicity", "near_duplicates", "personal_data", "mixing", "encoding"]
+    rows = {r.doc_id: r for r in docs.collect()}
+
+    kept = stages["toxicity"](spark, docs, SMALL)
+    grammar = toxicity.fit(docs, spark.read.parquet(f"{SMALL}/labels.parquet"))
+    reader = toxicity.Reader(grammar)
+    clean = {i for i, r in rows.items() if grammar.score(reader.total(r.text)[0]) < toxicity.THRESHOLD}
+    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == clean
+
+    single = stages["near_duplicates"](spark, kept, SMALL)
+    firsts = {c for _, _, c in naive_join([(i, rows[i].text) for i in sorted(clean)])}
+    assert single.columns == docs.columns and {r.doc_id for r in single.collect()} == firsts
+
+    private = stages["personal_data"](spark, single, SMALL)
+    hidden = {r.doc_id: r.text for r in private.collect()}
+    assert private.columns == docs.columns and set(hidden) == firsts
+    for i, text in hidden.items():
+        assert len(text) == len(rows[i].text) and (text == rows[i].text or any(c.isdigit() or c == "@" for c in text))
+
+    mixed = stages["mixing"](spark, private, SMALL)
+    times = Counter(r.doc_id for r in mixed.collect())
+    assert mixed.columns == docs.columns and set(times) <= firsts and max(times.values()) <= 2
+    words = {i: len(rows[i].text.split()) for i in firsts}
+    assert sum(words[i] * n for i, n in times.items()) == pytest.approx(1.5 * sum(words.values()), rel=0.1)
+
+    ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    whole = tiktoken.Encoding("x", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    found = stages["encoding"](spark, mixed, SMALL).collect()
+    assert Counter(r.doc_id for r in found) == times
+    assert all(r.n_tokens == len(whole.encode_ordinary(hidden[r.doc_id])) for r in found)
+
+
+def test_run_on_odd_rows(spark, odd, tmp_path):
+    odd.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    found = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    groups = {r.component_id for r in jaccard_join.join(odd).collect() if r.doc_id is not None}
+    assert {r.doc_id for r in found} <= groups | {None}
+
+
+def test_run_on_an_empty_table(spark, none, tmp_path):
+    none.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []

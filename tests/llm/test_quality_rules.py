@@ -1,0 +1,68 @@
+from __future__ import annotations
+
+import random
+import re
+
+import pytest
+
+from claimforge.llm import quality_rules
+from claimforge.llm.queries import ORACLES
+from tests.compare import connect, differences
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def naive(text):
+    w = re.findall(r"[^\x20\x09-\x0D]+", text)
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    windows = [tuple(w[i : i + 8]) for i in range(len(w) - 7)]
+    twice = {x for x in windows if windows.count(x) > 1}
+    covered = {i + k for i, x in enumerate(windows) if x in twice for k in range(8)}
+    return (len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(covered))
+
+
+def test_measures_equal_brute_force(documents):
+    rng = random.Random(3)
+    texts = [
+        "".join(rng.choice(["a ", "b ", "c\n", "#", "é| ", "\n", " \t", "word word "]) for _ in range(rng.randrange(120)))
+        for _ in range(120)
+    ]
+    texts += ["x " * 8, "x " * 9, "a b c d e f g h " * 3, "", "\n\n", " ".join(map(str, range(30))) * 2]
+    rows = quality_rules.judge(documents(enumerate(texts))).orderBy("doc_id").collect()
+    for r, text in zip(rows, texts, strict=True):
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == naive(text)
+        assert r.base_failed == (r.n_words < 20 or 100 * r.n_repeat_words > 30 * r.n_words)
+
+
+@pytest.mark.parametrize("name", ["op3_mixing", "op8_jaccard_join", "op9_rules"])
+def test_queries_equal_sql(spark, name):
+    import __spark_entry__ as driver
+
+    assert differences(driver.queries()[name](spark, SMALL), connect(SMALL), ORACLES[name]) == []
+
+
+def test_order_by_rejections_per_cost(spark, documents):
+    docs = quality_rules.base_measures(documents([(i, f"word{i} " * 30) for i in range(50)]))
+    from pyspark.sql import functions as F
+
+    tests = {"never": F.lit(False), "often": F.col("doc_id") % 10 > 0, "seldom": F.col("doc_id") % 10 == 0}
+    order = quality_rules.cascade_order(docs, tests)
+    assert {name: share for name, share, _ in order} == {"never": 0.0, "often": 0.9, "seldom": 0.1}
+    assert order[-1][0] == "never" and all(cost > 0 for _, _, cost in order)
+    for names in (["never", "often", "seldom"], ["seldom", "often", "never"]):
+        found = docs.select(quality_rules.cascade(tests, names).isNull().alias("kept")).collect()
+        assert not any(r.kept for r in found)
+
+
+def test_junk_goes_and_prose_stays(documents):
+    prose = "The quick brown fox jumps over the lazy dog while seven wise men look on from the far side of town, quietly."
+    junk = [prose.replace(" ", "### "), prose.replace(" ", " | "), prose.upper().replace(" ", "!! "), "buy now " * 30, "short"]
+    rows = quality_rules.judge(documents(enumerate([prose, *junk]))).orderBy("doc_id").collect()
+    assert [r.kept for r in rows] == [True] + [False] * len(junk)
+
+
+def test_odd_rows(odd, none):
+    rows = quality_rules.judge(odd).collect()
+    assert len(rows) == odd.count()
+    assert all(r.n_words == 0 and r.base_failed and not r.kept for r in rows if not (r.text or "").strip())
+    assert quality_rules.judge(none).collect() == []

@@ -1,0 +1,60 @@
+from __future__ import annotations
+
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from claimforge.llm import shards
+
+
+def slots(rows):
+    found = defaultdict(list)
+    for r in rows:
+        found[r.shard].append(r.slot)
+    return found
+
+
+@pytest.mark.parametrize("bucket_bytes", [1 << 30, 2_000])
+def test_all_records_once_in_balanced_gapless_shards(spark, odd, tmp_path, bucket_bytes):
+    odd.write.parquet(str(tmp_path / "in"))
+
+    def shuffled(name):
+        out = shards.shuffle_into_shards(
+            spark, str(tmp_path / "in"), str(tmp_path / name), 4, shards.document_size(), bucket_bytes
+        )
+        return out.select("record.*", "shard", "slot").orderBy("shard", "slot").collect()
+
+    rows = shuffled("a")
+    assert Counter(r.text for r in rows) == Counter(r.text for r in odd.collect())
+    found = slots(rows)
+    assert all(sorted(s) == list(range(len(s))) for s in found.values())
+    assert max(map(len, found.values())) - min(map(len, found.values())) <= 1
+    assert rows == shuffled("b")
+
+
+def test_empty_table(spark, none, tmp_path):
+    none.write.parquet(str(tmp_path / "in"))
+    out = shards.shuffle_into_shards(spark, str(tmp_path / "in"), str(tmp_path / "out"), 3, F.lit(1))
+    assert out.collect() == []
+
+
+def test_order_is_shuffled(spark, tmp_path):
+    spark.range(5000).repartition(3).write.parquet(str(tmp_path / "in"))
+    out = shards.shuffle_into_shards(spark, str(tmp_path / "in"), str(tmp_path / "out"), 5, F.lit(8), 4_000)
+    ids = [r.id for r in out.select("record.id", "shard", "slot").orderBy("shard", "slot").collect()]
+    assert sorted(ids) == list(range(5000))
+    # About half of all neighbours ascend, and shards hold ids from everywhere.
+    assert 2300 < sum(a < b for a, b in zip(ids, ids[1:], strict=False)) < 2700
+    assert all(min(ids[k : k + 1000]) < 50 and max(ids[k : k + 1000]) > 4950 for k in range(0, 5000, 1000))
+
+
+def test_prefix_starts_over_several_spans(spark, monkeypatch):
+    monkeypatch.setattr(shards, "SPAN", 4)
+    counts = spark.createDataFrame([(i, i % 5 + 1) for i in range(23) if i != 8], "bucket long, n long")
+    start, expected = 0, {}
+    for i in range(23):
+        if i != 8:
+            expected[i] = start
+            start += i % 5 + 1
+    assert {r.bucket: r.start for r in shards.prefix_starts(counts).collect()} == expected

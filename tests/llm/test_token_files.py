@@ -1,0 +1,78 @@
+from __future__ import annotations
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from claimforge.llm import token_files
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+LIBRARY = Tokenizer.from_file(PATH)
+ENCODER = token_files.ChunkEncoder(PATH)
+PARTS = list("aAzZéÉßΣσς İıŉ.,'!|<>#1٣中\x01\x1c\x85 ́‍\n\t ") + [
+    "<|endoftext|>", "<|EndOfText|>", "'s", "don't", "H̱", "Word", "word,", "\r\n", "ǰ", "J̌",
+]
+
+
+@given(st.lists(st.lists(st.sampled_from(PARTS)).map("".join), max_size=6))
+def test_chunks_encode_as_the_library_does(texts):
+    expected = [LIBRARY.encode(text, add_special_tokens=False).ids for text in texts]
+    assert [ids.tolist() for ids in ENCODER(texts)] == expected
+
+
+def test_caches_start_afresh(monkeypatch):
+    monkeypatch.setattr(token_files, "MAX_CHUNKS", 3)
+    monkeypatch.setattr(token_files, "MAX_PIECES", 5)
+    monkeypatch.setattr(token_files, "SLICE_CHARS", 20)
+    texts = [f"some words{i}, and {i}% more é!" for i in range(30)]
+    expected = [LIBRARY.encode(text, add_special_tokens=False).ids for text in texts]
+    assert [ids.tolist() for ids in token_files.ChunkEncoder(PATH)(texts)] == expected
+
+
+numbers = st.lists(st.one_of(st.integers(0, 300), st.integers(0, 2**32 - 1)), max_size=700)
+
+
+@given(numbers, st.data())
+def test_blocks_round_trip_whole_and_in_part(values, data):
+    packed = memoryview(token_files.pack_blocks(np.array(values, np.uint32)))
+    found, size = token_files.unpack_blocks(packed)
+    assert found.tolist() == values and size == len(packed)
+    first = data.draw(st.integers(0, len(values)))
+    last = data.draw(st.integers(first, len(values)))
+    assert token_files.unpack_blocks(packed, first, last)[0].tolist() == values[first:last]
+
+
+def test_outliers_cost_little():
+    values = np.arange(1280, dtype=np.uint32) % 7 + 1_000_000
+    plain = len(token_files.pack_blocks(values))
+    values[5] = 4_000_000_000
+    assert len(token_files.pack_blocks(values)) <= plain + 5
+
+
+def test_a_damaged_file_is_refused():
+    data = token_files.write_file([1], [3], np.arange(3, dtype=np.uint32))
+    with pytest.raises(ValueError, match="not a token file"):
+        token_files.read_file(b"X" + data[1:])
+
+
+@pytest.mark.parametrize("file_ids", [1 << 22, 64])
+def test_documents_come_back_in_order(spark, odd, monkeypatch, file_ids):
+    monkeypatch.setattr(token_files, "FILE_IDS", file_ids)
+    files = token_files.write_tokens(odd, lambda: token_files.ChunkEncoder(PATH), 1)
+    rows = token_files.read_tokens(files, lambda ids: ids.astype("<u4").tobytes(), "binary").collect()
+    nulls_first = lambda x: (x[0] is not None, x[0] or 0, x[1] is not None, x[1] or "")
+    expected = sorted(((r.doc_id, r.text) for r in odd.collect()), key=nulls_first)
+    start = 0
+    for row, (doc_id, text) in zip(sorted(rows, key=lambda r: r.start), expected, strict=True):
+        ids = [*LIBRARY.encode(text or "", add_special_tokens=False).ids, 1]
+        assert (row.doc_id, row.start, row.n_tokens) == (doc_id, start, len(ids))
+        assert np.frombuffer(row.value, "<u4").tolist() == ids
+        start += len(ids)
+
+
+def test_empty_table(spark, none):
+    files = token_files.write_tokens(none, lambda: token_files.ChunkEncoder(PATH), 1)
+    assert token_files.read_tokens(files, len, "long").collect() == []

@@ -7,6 +7,8 @@ import os
 import time
 from collections.abc import Callable
 
+from pyspark.sql import functions as F
+
 from claimforge.operators.cleaning import mask_members
 from claimforge.plans.extract import run_extract
 from claimforge.plans.load import run_load
@@ -63,10 +65,10 @@ def main() -> None:
     raw, staging, conformed, fact, enriched, mart = paths
     run = catalog.RUN_DATE
 
-    def transform() -> None:
-        run_transform(spark, staging, conformed, run, members, providers)
+    def transform(date: str = run) -> None:
+        run_transform(spark, staging, conformed, date, members, providers, "run_date")
 
-    def models() -> None:
+    def models(date: str = run) -> None:
         run_models(
             spark,
             readers.fact_claims(spark, fact),
@@ -75,6 +77,7 @@ def main() -> None:
             enriched,
             mart,
             catalog.NOW,
+            run_date=date,
         )
 
     timed("extract", lambda: run_extract(spark, raw, staging, run, "bench", catalog.NOW))
@@ -82,6 +85,14 @@ def main() -> None:
     timed("transform_replay", transform)
     timed("load", lambda: run_load(spark, conformed, fact, run))
     timed("models", models)
+    # A later run of one claim in a hundred, into the tables that are filled now.
+    late = catalog.LATE_RUN
+    few = src.raw_claims(spark, sf_dir).where(F.pmod(F.xxhash64("claim_id"), F.lit(100)) == 0)
+    catalog.landed(spark, sf_dir, f"{root}/raw", rows=few, run_date=late)
+    run_extract(spark, raw, staging, late, "bench", catalog.NOW)
+    timed("small_transform", lambda: transform(late))
+    timed("small_load", lambda: run_load(spark, conformed, fact, late))
+    timed("small_models", lambda: models(late))
     for name in HEADLINE:
         query = catalog.CATALOG[name]
         timed(name, lambda q=query: q(spark, sf_dir).write.format("noop").mode("overwrite").save())

@@ -9,7 +9,8 @@ from claimforge.schemas import MONEY, RATIO
 
 
 def money(name: str) -> Column:
-    return F.col(name).cast(MONEY)
+    """An amount that does not fit becomes NULL; the extract step drops such rows and counts them."""
+    return F.col(name).try_cast(MONEY)
 
 
 def stored_ratio(name: str) -> Column:

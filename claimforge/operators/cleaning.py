@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimforge.functions import digest, keyed_digest, parse_date
+from claimforge.schemas import AMOUNT_LIMIT
 
 REQUIRED_KEYS = ("claim_id", "member_id")
 # The documented variant of the required-field check.
@@ -24,10 +25,14 @@ def present(*names: str) -> Column:
 
 
 def non_negative(*names: str) -> Column:
-    """NULL when an amount is NULL, so a filter on it drops the row."""
+    """Amounts from 0 to below the limit of the money type.
+
+    NaN and Infinity are above every limit. NULL when an amount is NULL, so a filter
+    on it drops the row.
+    """
     cond = F.lit(True)
     for name in names:
-        cond = cond & (F.col(name) >= 0)
+        cond = cond & (F.col(name) >= 0) & (F.col(name) < AMOUNT_LIMIT)
     return cond
 
 

@@ -1,72 +1,68 @@
 """Exact median per group without holding a group in one task.
 
 The built-in median keeps every distinct value of a group in one aggregation
-buffer. Here the amounts become whole cents and are counted twice: per cent value
-and per block of 2**20 cents. The block that holds the middle rank is found first,
-then the cent within it. Rows are combined map-side before the shuffle and a large
-group is spread by value. A task orders at most 2**20 cents of one block, and per
-group one entry per block, at most 2**21 of them: amounts of 2**40 cents and more,
-of either sign, share the two outermost blocks.
+buffer. Here the amounts become whole cents and are counted per cent value. The
+middle ranks are then located in three steps: among blocks of 2**40 cents, within
+the found block among blocks of 2**20 cents, and within that among cents. Rows are
+combined map-side before the shuffle and a large group is spread by value. A task
+orders at most 2**21 entries of one group and step, whatever the amounts are.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-BLOCK_BITS = 20
-OUTERMOST = 2**BLOCK_BITS
+# Low bits of a cent value that a step leaves open.
+STEPS = (40, 20, 0)
 
 
 def exact_median(df: DataFrame, group: str, amount: str, scale: int = 2) -> DataFrame:
     """``group``, ``median`` (double) for groups with at least one amount.
 
     ``group`` is one column, usually a struct of the grouping columns, so that NULL
-    grouping values compare equal. ``amount`` must fit decimal(18, scale). Both steps
-    read the shuffled counts of the first aggregation; ``df`` is computed once.
+    grouping values compare equal. ``amount`` must be whole numbers or decimals that
+    fit decimal(18, scale); other types are refused, as rounding would change the
+    result. All steps read the shuffled counts of the first aggregation; ``df`` is
+    computed once.
     """
+    _require_exact(df.schema[amount].dataType, amount, scale)
     units = (F.col(amount).cast(f"decimal(18,{scale})") * 10**scale).cast("bigint")
-    block = F.greatest(
-        F.lit(-OUTERMOST), F.least(F.lit(OUTERMOST), F.shiftright("cent", BLOCK_BITS))
-    )
     cents = (
         df.where(F.col(amount).isNotNull())
         .groupBy(group, units.alias("cent"))
         .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("block", block)
-    )
-    whole = Window.partitionBy(group)
-    so_far = (Window.unboundedPreceding, Window.currentRow)
-    upto_block = F.sum("n").over(whole.orderBy("block").rowsBetween(*so_far))
-    blocks = (
-        cents.groupBy(group, "block")
-        .agg(F.sum("n").alias("n"))
-        .select(
-            group,
-            "block",
-            (upto_block - F.col("n")).alias("before"),
-            "n",
-            F.sum("n").over(whole).alias("total"),
-        )
     )
+    totals = cents.groupBy(group).agg(F.sum("n").alias("total"))
     # The two middle ranks, counted from 1; the same rank when the total is odd.
     low, high = F.expr("(total + 1) div 2"), F.expr("(total + 2) div 2")
-    middle = blocks.where(
-        (low <= F.col("before") + F.col("n")) & (high > F.col("before"))
-    ).select(group, "block", "before", "total")
-
-    in_block = Window.partitionBy(group, "block").orderBy("cent").rowsBetween(*so_far)
-    placed = cents.join(middle, [group, "block"]).withColumn(
-        "upto", F.col("before") + F.sum("n").over(in_block)
-    )
-    first = F.col("upto") - F.col("n")
+    found = totals.select(group, "total", F.lit(0).cast("bigint").alias("before"), F.lit(0).alias("place"))
+    last = None
+    for step in STEPS:
+        place = F.lit(0) if last is None else F.shiftright("cent", last)
+        counts = cents.groupBy(group, place.alias("place"), F.shiftright("cent", step).alias("block"))
+        counts = counts.agg(F.sum("n").alias("n")).join(found, [group, "place"])
+        ordered = Window.partitionBy(group, "place").orderBy("block")
+        upto = F.sum("n").over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        counts = counts.withColumn("upto", F.col("before") + upto).withColumn("first", F.col("upto") - F.col("n"))
+        kept = counts.where((low <= F.col("upto")) & (high > F.col("first")))
+        found = kept.select(group, "total", F.col("first").alias("before"), F.col("block").alias("place"), "upto")
+        found = found if step == STEPS[-1] else found.drop("upto")
+        last = step
     hits = F.lit(0)
     for rank in (low, high):
-        hits = hits + ((rank > first) & (rank <= F.col("upto"))).cast("int")
-    both = F.sum(F.col("cent") * F.col("hits")).cast("double")
+        hits = hits + ((rank > F.col("before")) & (rank <= F.col("upto"))).cast("int")
+    both = F.sum(F.col("place") * F.col("hits")).cast("double")
     return (
-        placed.select(group, "cent", hits.alias("hits"))
-        .where("hits > 0")
+        found.select(group, "place", hits.alias("hits"))
         .groupBy(group)
         .agg((both / (2 * 10**scale)).alias("median"))
     )
+
+
+def _require_exact(kind: T.DataType, name: str, scale: int) -> None:
+    whole = isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType))
+    fits = isinstance(kind, T.DecimalType) and kind.scale <= scale and kind.precision - kind.scale <= 18 - scale
+    if not (whole or fits):
+        raise TypeError(f"{name} is {kind.simpleString()}, not a number that fits decimal(18,{scale})")

@@ -47,6 +47,7 @@ def build_history(
 
 def apply_changes(
     history: DataFrame,
+    log: DataFrame,
     changes: DataFrame,
     key: str,
     day: str,
@@ -55,51 +56,52 @@ def apply_changes(
 ) -> DataFrame:
     """History after a batch of changes; only keys in the batch are rebuilt.
 
-    A change on a day that already starts a version replaces it, a re-sent value
-    adds nothing, and a late change splits the version it falls into.
+    ``log`` holds all earlier changes: a version forgets re-sent values, and a late
+    change that falls between two equal ones needs them. Append ``changes`` to the log
+    afterwards. The result is what building from all changes gives, in any order.
     """
     touched = changes.select(key).distinct()
     untouched = history.join(touched, key, "left_anti")
-    no_order = F.lit(None).cast(changes.schema[order].dataType)
-    known = history.join(touched, key, "left_semi").select(
-        key,
-        F.col("valid_from").alias(day),
-        F.struct(F.lit(0).alias("batch"), no_order.alias("order")).alias("_rank"),
-        *attributes,
-    )
-    sent = changes.select(
-        key,
-        day,
-        F.struct(F.lit(1).alias("batch"), F.col(order).alias("order")).alias("_rank"),
-        *attributes,
-    )
-    rebuilt = build_history(known.unionByName(sent), key, day, attributes, "_rank")
+    columns = [key, day, order, *attributes]
+    known = log.join(touched, key, "left_semi").select(*columns)
+    rebuilt = build_history(known.unionByName(changes.select(*columns)), key, day, attributes, order)
     return untouched.unionByName(rebuilt)
 
 
+def hot_slots(facts: DataFrame, history: DataFrame, key: str, on_date: str) -> list:
+    """Heavy key-and-year pairs for ``as_of_join``; scans these two columns of stored facts."""
+    year = F.least(F.year(on_date), F.lit(_last_year(history)).cast("int"))
+    return hot_keys(facts.select(_slot(key, year).alias("_slot")), "_slot")["_slot"]
+
+
+def _last_year(history: DataFrame) -> int | None:
+    return history.agg(F.max(F.year("valid_from")).alias("year")).first().year
+
+
 def as_of_join(
     facts: DataFrame,
     history: DataFrame,
     key: str,
     on_date: str,
     spread_by: Sequence[str],
-    spread_hot: bool = True,
+    hot: Sequence = (),
 ) -> DataFrame:
     """Each fact with the attributes of the version valid on its date; facts without one stay.
 
     The versions of a key are folded into one row per key and calendar year they
     touch, so the join is a plain equality, a fact meets only the versions of its
     own year (at most one per day), and one key's facts are spread over the years.
-    A fact dated after the last year that starts a version uses that year. ``history``
-    is read twice, first for that year alone.
+    A fact dated after the last year that starts a version uses that year. ``hot`` lists
+    heavy pairs, as ``hot_slots`` finds them. ``history`` is read once for that year
+    alone, once for the join, and once more for the hot pairs if there are any; facts
+    are read once.
     """
     attributes = [
         name
         for name in history.columns
         if name not in (key, "valid_from", "valid_to", "is_current")
     ]
-    newest = history.agg(F.max(F.year("valid_from")).alias("year")).first()
-    last_year = F.lit(newest.year).cast("int")
+    last_year = F.lit(_last_year(history)).cast("int")
     # The least of a year and nothing is the year: an open version has no end.
     final = F.least(F.year(F.date_sub("valid_to", 1)), last_year)
     versions = (
@@ -113,7 +115,6 @@ def as_of_join(
     )
     year = F.least(F.year(on_date), last_year)
     placed = facts.withColumn("_slot", _slot(key, year))
-    hot = hot_keys(placed, "_slot")["_slot"] if spread_hot else ()
     found = lookup(placed, versions, "_slot", hot, spread_by)
     day = F.col(on_date)
     valid = F.filter(

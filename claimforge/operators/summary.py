@@ -37,27 +37,30 @@ PAYER_KEYS = ["plan_id", "claim_type", "service_year", "service_month"]
 
 def _average(name: str, kind: T.DataType) -> Column:
     """Four digits, half up. Decimal and whole numbers are divided as decimals, so an
-    exact tie is seen as one and the row order does not matter."""
+    exact tie is seen as one and the row order does not matter. A group may have up to
+    10^14 rows; beyond that, or where a sum outgrows its type, the job fails."""
     total, n = F.sum(name), F.nullif(F.count(name), F.lit(0))
     if isinstance(kind, T.FractionalType) and not isinstance(kind, T.DecimalType):
         return F.round(total / n, 4)
-    exact = total.cast("decimal(28,4)") / n.cast("decimal(14,0)")
-    return F.round(exact, 4).cast("double")
+    if not isinstance(kind, T.DecimalType):
+        total = total.cast("decimal(20,0)")
+    return F.round(total / n.cast("decimal(14,0)"), 4).cast("double")
 
 
 def _flagged(name: str) -> Column:
     return F.count_if(F.coalesce(F.col(name), F.lit(False)))
 
 
-def _measure(name: str, types: T.StructType, claims_unique: bool) -> Column:
+def _measure(name: str, types: T.StructType, claims_unique: bool, distinct: str) -> Column:
     def average(column: str) -> Column:
         return _average(column, types[column].dataType)
 
-    claims = F.count("claim_id") if claims_unique else F.count_distinct("claim_id")
+    count = {"exact": F.count_distinct, "approx": F.approx_count_distinct}[distinct]
+    claims = F.count("claim_id") if claims_unique else count("claim_id")
     return {
         "total_claims": lambda: claims,
-        "unique_members": lambda: F.count_distinct("member_id"),
-        "unique_providers": lambda: F.count_distinct("provider_npi"),
+        "unique_members": lambda: count("member_id"),
+        "unique_providers": lambda: count("provider_npi"),
         "total_billed": lambda: F.sum("billed_amount"),
         "total_allowed": lambda: F.sum("allowed_amount"),
         "total_paid": lambda: F.sum("paid_amount"),
@@ -78,17 +81,18 @@ def summarize(
     measures: Sequence[str] = MEASURES,
     claims_unique: bool = False,
     median: str = "exact",
+    distinct: str = "exact",
 ) -> DataFrame:
     """Measures per group; NULL is a group of its own.
 
     ``claims_unique`` states that ``claim_id`` is unique in ``base``, as it is after
     a key merge or ``latest_per_key``. The distinct claim count is then a plain
     count, which spares a shuffle of every claim id. ``median="approx"`` swaps the
-    exact median for a bounded sketch. The exact median and the other measures each
+    exact median for a bounded sketch, ``distinct="approx"`` the distinct counts. The exact median and the other measures each
     scan ``base``, so give it from stored data.
     """
     grouped = base.withColumn("_group", F.struct(*keys))
-    plain = [_measure(name, base.schema, claims_unique) for name in measures if name != MEDIAN]
+    plain = [_measure(name, base.schema, claims_unique, distinct) for name in measures if name != MEDIAN]
     if MEDIAN in measures and median == "approx":
         plain.append(F.percentile_approx("paid_amount", 0.5).cast("double").alias(MEDIAN))
     totals = grouped.groupBy("_group").agg(*plain) if plain else None

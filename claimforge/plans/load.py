@@ -18,9 +18,10 @@ def fact_rows(conformed: DataFrame, run_date: str | None = None) -> DataFrame:
 def run_load(spark: SparkSession, conformed: str, fact: str, run_date: str) -> int:
     """Replace one run's slice of the fact table and report its rows.
 
-    The count reads the footers of the written slice, so a re-run task cannot
+    A run without rows, for instance after all of them were resubmitted, empties its
+    slice. The count reads the footers of the written slice, so a re-run task cannot
     count twice.
     """
     rows = fact_rows(readers.conformed_claims(spark, conformed), run_date)
-    writers.load_slices(rows, fact)
+    writers.load_slice(rows, fact, "run_date", run_date)
     return readers.fact_claims(spark, fact).where(f"run_date = '{run_date}'").count()

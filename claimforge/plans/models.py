@@ -14,8 +14,9 @@ from claimforge.operators.enrich import attach_dimensions, categorize
 from claimforge.operators.latest import latest_per_key
 from claimforge.operators.lookup import hot_keys
 from claimforge.operators.merge import past_mark
+from claimforge.operators.quality import require_unique
 from claimforge.operators.summary import monthly_summary
-from claimforge.schemas import CATEGORIZED, DIM_MEMBERS, DIM_PROVIDERS, FACT_COLUMNS
+from claimforge.schemas import CATEGORIZED, DIM_MEMBERS, DIM_PROVIDERS, FACT_COLUMNS, MART_PARTITION
 from claimforge.sources import files, writers
 
 
@@ -71,7 +72,10 @@ def publish_views(
     """The three models as temporary views over ``fact``, computed when queried."""
     today = None if as_of is None else str(as_of)[:10]
     stg = stg_claims(fact)
-    enriched = int_claims(stg, dim_members, dim_providers, today)
+    # The stored model keeps the latest run of a claim; so does the view.
+    latest = latest_per_key(stg, newest="run_date")
+    hot = hot_keys(fact, "member_id", "provider_npi")
+    enriched = int_claims(latest, dim_members, dim_providers, today, hot)
     stg.createOrReplaceTempView("stg_claims")
     enriched.createOrReplaceTempView("int_claims_enriched")
     monthly_summary(enriched, as_of).createOrReplaceTempView("mart_claims_summary")
@@ -86,19 +90,31 @@ def run_models(
     mart_path: str,
     as_of: dt.datetime | str | None = None,
     inclusive: bool = False,
+    run_date: str | None = None,
+    rebuild_mart: bool = False,
 ) -> None:
-    """Merge new fact rows into the enriched claims and rebuild the mart.
+    """Merge new fact rows into the enriched claims and rebuild the mart's touched months.
 
-    A claim sent in several runs has one fact row per run: the latest run in the
-    batch goes into the merge.
+    With ``run_date`` the batch is that run's slice, so a run that is corrected or
+    loaded late arrives too; rows of a newer run are left alone. Without, it is all
+    runs past the greatest one that the enriched claims hold. A claim sent in several
+    runs has one fact row per run: the latest run in the batch goes into the merge.
+    Both dimensions must be unique on their key. The mart is partitioned by month, and
+    so are the enriched claims: only months that the merge touched are aggregated,
+    unless ``rebuild_mart`` asks for all.
     """
+    require_unique(dim_members, "member_id", "dim_members")
+    require_unique(dim_providers, "provider_npi", "dim_providers")
     stg = stg_claims(fact)
     schema = int_schema(stg)
     writers.finish_upsert(spark, int_path)
-    target = None
-    if files.exists(spark, int_path):
-        target = spark.read.schema(schema).parquet(int_path)
-    fresh = past_mark(stg, target, inclusive=inclusive, all_when_empty=True)
+    if run_date is not None:
+        fresh = stg.where(F.col("run_date") == run_date)
+    else:
+        target = None
+        if files.exists(spark, int_path):
+            target = spark.read.schema(schema).parquet(int_path)
+        fresh = past_mark(stg, target, inclusive=inclusive, all_when_empty=True)
     today = None if as_of is None else str(as_of)[:10]
     batch = int_claims(
         latest_per_key(fresh, newest="run_date"),
@@ -107,7 +123,11 @@ def run_models(
         today,
         hot_keys(fresh, "member_id", "provider_npi"),
     )
-    writers.upsert(spark, batch, int_path, schema)
+    touched = writers.upsert(spark, batch, int_path, schema, only_if_newer="run_date")
     # The merge key is unique in the stored table, so distinct claims are plain counts.
     base = spark.read.schema(schema).parquet(int_path)
-    writers.write_mart(monthly_summary(base, as_of, claims_unique=True), mart_path)
+    if rebuild_mart or not files.exists(spark, mart_path):
+        writers.write_mart(monthly_summary(base, as_of, claims_unique=True), mart_path)
+    else:
+        months = base.where(writers.folder_of(MART_PARTITION).isin(touched))
+        writers.write_mart_months(monthly_summary(months, as_of, claims_unique=True), mart_path, touched)

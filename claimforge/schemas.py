@@ -16,6 +16,7 @@ WHOLE = T.IntegerType()
 FLAG = T.BooleanType()
 MONEY = T.DecimalType(18, 2)
 RATIO = T.DecimalType(8, 4)
+SCORE = T.DecimalType(18, 6)
 
 
 def _schema(**columns: T.DataType) -> T.StructType:
@@ -76,7 +77,7 @@ DIM_MEMBERS = _schema(
     age_band=TEXT,
     gender=TEXT,
     chronic_condition_flag=FLAG,
-    risk_score=MONEY,
+    risk_score=SCORE,
 )
 DIM_PROVIDERS = _schema(
     provider_npi=TEXT,
@@ -139,6 +140,8 @@ STANDARD_CLAIM_TYPES = ["MEDICAL", "PHARMACY", "DENTAL", "VISION", "BEHAVIORAL"]
 DENIED = "DENIED"
 IN_NETWORK = "IN"
 HIGH_COST_ABOVE = 10_000
+# Amounts from here on do not fit the money type: such a row is invalid, as are NaN and Infinity.
+AMOUNT_LIMIT = 10**16
 DATE_FORMAT = "yyyy-MM-dd"
 FRESHNESS_WARN_HOURS = 24
 FRESHNESS_ERROR_HOURS = 48
@@ -147,6 +150,7 @@ FRESHNESS_ERROR_HOURS = 48
 STAGING_PARTITION = ["claim_type"]
 CONFORMED_PARTITION = ["service_year", "service_month"]
 FACT_PARTITION = ["run_date"]
+MART_PARTITION = ["service_year", "service_month"]
 
 MART_KEYS = [
     "service_year",
@@ -156,3 +160,28 @@ MART_KEYS = [
     "claim_category",
     "state",
 ]
+
+MART_CLAIMS = _schema(
+    service_year=WHOLE,
+    service_month=WHOLE,
+    plan_id=TEXT,
+    claim_type=TEXT,
+    claim_category=TEXT,
+    state=TEXT,
+    total_claims=T.LongType(),
+    unique_members=T.LongType(),
+    unique_providers=T.LongType(),
+    total_billed=T.DecimalType(28, 2),
+    total_allowed=T.DecimalType(28, 2),
+    total_paid=T.DecimalType(28, 2),
+    avg_paid_per_claim=DOUBLE,
+    median_paid_per_claim=DOUBLE,
+    denied_claims=T.LongType(),
+    high_cost_claims=T.LongType(),
+    out_of_network_claims=T.LongType(),
+    denial_rate_pct=DOUBLE,
+    avg_los_days=DOUBLE,
+    avg_cost_ratio=DOUBLE,
+    avg_member_risk_score=DOUBLE,
+    updated_at=TIMESTAMP,
+)

@@ -18,6 +18,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop)
 
 
+def ensure(spark: SparkSession, path: str) -> None:
+    fs, hadoop = _open(spark, path)
+    fs.mkdirs(hadoop)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     fs, hadoop = _open(spark, path)
     fs.delete(hadoop, True)

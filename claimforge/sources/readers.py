@@ -1,4 +1,8 @@
-"""Scans with declared schemas; a reader never infers one."""
+"""Scans with declared schemas.
+
+The claim layers and the mart are ours: their types are declared and never inferred.
+Dimension files come from elsewhere: their columns are cast to the declared types.
+"""
 
 from __future__ import annotations
 
@@ -11,6 +15,7 @@ from claimforge.schemas import (
     DIM_MEMBERS,
     DIM_PROVIDERS,
     FACT_CLAIMS,
+    MART_CLAIMS,
     MEMBERS,
     PROVIDERS,
     RAW_CLAIMS,
@@ -30,11 +35,12 @@ def staging_path(root: str, run_date: str) -> str:
 def raw_claims(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
     """Raw claims from CSV with a header row, or from JSON lines or Parquet.
 
-    Text that is no number becomes NULL.
+    Text that is no number becomes NULL. A CSV header in another order is an error:
+    columns would be taken by position.
     """
     reader = spark.read.schema(RAW_CLAIMS)
     if fmt == "csv":
-        reader = reader.option("header", True)
+        reader = reader.option("header", True).option("enforceSchema", False)
     return reader.format(fmt).load(path)
 
 
@@ -51,6 +57,10 @@ def fact_claims(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(FACT_CLAIMS).parquet(path)
 
 
+def mart_claims(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(MART_CLAIMS).parquet(path)
+
+
 def _columns(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
 

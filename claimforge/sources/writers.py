@@ -10,13 +10,9 @@ from pyspark.sql import types as T
 
 from claimforge.operators.merge import merge_by_key
 from claimforge.operators.quality import require_unique
-from claimforge.schemas import CONFORMED_PARTITION, FACT_PARTITION, STAGING_PARTITION
+from claimforge.schemas import CONFORMED_PARTITION, MART_PARTITION, STAGING_PARTITION
 from claimforge.sources import files
 
-# A batch's keys are broadcast up to this counted number, about 100 MB of short texts.
-BROADCAST_KEYS = 1_000_000
-
-
 def compacted(df: DataFrame, *columns: str) -> DataFrame:
     """Rows of one partition value together, as few files as their bytes need.
 
@@ -47,17 +43,12 @@ def write_staging_by_month(df: DataFrame, path: str) -> None:
     write_staging(df.withColumn("service_month", month), path, ["service_month"], compact=True)
 
 
-def load_slices(
-    df: DataFrame, path: str, partition_by: Sequence[str] = tuple(FACT_PARTITION)
-) -> None:
-    """Replace the partitions present in ``df`` and leave the others; a re-run adds nothing."""
-    (
-        compacted(df, *partition_by)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by)
-        .parquet(path)
-    )
+def load_slice(df: DataFrame, path: str, column: str, value: str) -> None:
+    """Replace one partition of ``path`` by ``df``, also when ``df`` is empty; a re-run adds nothing.
+
+    ``df`` holds the rows of that partition; the column itself lives in the folder name.
+    """
+    compacted(df.drop(column)).write.mode("overwrite").parquet(f"{path.rstrip('/')}/{column}={value}")
 
 
 def load_jdbc(df: DataFrame, url: str, table: str, **options: str) -> None:
@@ -66,9 +57,33 @@ def load_jdbc(df: DataFrame, url: str, table: str, **options: str) -> None:
 
 
 def write_mart(df: DataFrame, path: str) -> None:
-    """Full rebuild, clustered by plan and sorted by period."""
-    laid_out = compacted(df, "plan_id").sortWithinPartitions("service_year", "service_month")
-    laid_out.write.mode("overwrite").parquet(path)
+    """Full rebuild, one folder per month, clustered by plan."""
+    _mart_files(df).mode("overwrite").parquet(path)
+
+
+def write_mart_months(df: DataFrame, path: str, months: Sequence[str]) -> None:
+    """Replace the month folders named in ``months`` by ``df``, which holds no other month.
+
+    Months that ``df`` has no row of are removed. A month is replaced by the rename of a
+    complete folder.
+    """
+    spark = df.sparkSession
+    pending = f"{path.rstrip('/')}__pending"
+    files.remove(spark, pending)
+    _mart_files(df).parquet(pending)
+    written = set(files.partition_dirs(spark, pending, len(MART_PARTITION)))
+    for month in months:
+        if month in written:
+            files.move_into(spark, f"{pending}/{month}", f"{path}/{month}")
+        else:
+            files.remove(spark, f"{path}/{month}")
+    files.remove(spark, pending)
+    spark.catalog.refreshByPath(path)
+
+
+def _mart_files(df: DataFrame):
+    laid_out = compacted(df, *MART_PARTITION).sortWithinPartitions(*MART_PARTITION, "plan_id")
+    return laid_out.write.partitionBy(*MART_PARTITION)
 
 
 def register_table(
@@ -88,8 +103,13 @@ def register_table(
     spark.catalog.refreshTable(name)
 
 
-def analyze(spark: SparkSession, table: str) -> None:
-    spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR ALL COLUMNS")
+def analyze(spark: SparkSession, table: str, partition: dict[str, str] | None = None) -> None:
+    """Row counts of one partition, or, over all of the table, of every column as well."""
+    if partition:
+        spec = ", ".join(f"{name} = '{value}'" for name, value in partition.items())
+        spark.sql(f"ANALYZE TABLE {table} PARTITION ({spec}) COMPUTE STATISTICS")
+    else:
+        spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR ALL COLUMNS")
 
 
 def merge_into_table(source: DataFrame, table: str, key: str = "claim_id") -> None:
@@ -115,39 +135,42 @@ def upsert(
     partition_by: Sequence[str] = tuple(CONFORMED_PARTITION),
     cluster_by: str = "run_date",
     only_if_newer: str | None = None,
-) -> None:
-    """Key upsert into a Parquet folder partitioned by calendar columns.
+) -> list[str]:
+    """Key upsert into a Parquet folder partitioned by calendar columns; returns the touched folders.
 
     Only touched partitions are rewritten: those of the source rows, and those that
     hold a row to be replaced, which may be others because the partition follows the
-    service date. The new partitions are written in full next to the table and then
-    moved in, so losing an executor or the driver while writing leaves the table as
-    it was. Once the new partitions and the list of emptied ones are complete, an
-    interrupted move is finished by the next call. There is one writer at a time,
-    and a reader sees the partitions change one by one.
+    service date. The source is cast to ``schema`` and must be unique on ``key``, also
+    on the first write; a refused source leaves nothing behind. The new partitions are
+    written in full next to the table and then moved in, so losing an executor or the
+    driver while writing leaves the table as it was. Once the new partitions and the
+    list of emptied ones are complete, an interrupted move is finished by the next
+    call. There is one writer at a time, and a reader sees the partitions change one
+    by one.
     """
     pending = f"{path.rstrip('/')}__pending"
     finish_upsert(spark, path, partition_by)
-    source = source.select(*schema.names)
-    touched: set[str] = set()
-    if files.exists(spark, path):
-        # The batch is needed for its keys, its partitions and its rows: compute it once.
-        source.write.mode("overwrite").parquet(f"{pending}/source")
-        source = spark.read.schema(schema).parquet(f"{pending}/source")
+    # The batch is needed for its keys, its partitions and its rows: compute it once.
+    typed = source.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+    typed.write.mode("overwrite").parquet(f"{pending}/source")
+    source = spark.read.schema(schema).parquet(f"{pending}/source")
+    try:
         require_unique(source, key, "upsert source")
+    except ValueError:
+        files.remove(spark, pending)
+        raise
+    folder = folder_of(partition_by).alias("folder")
+    found = source.select(folder)
+    if files.exists(spark, path):
         target = spark.read.schema(schema).parquet(path)
-        folder = _folder(partition_by)
-        # The table's key column need not move when the batch's keys fit every executor.
-        keys = source.select(key)
-        if source.count() <= BROADCAST_KEYS:
-            keys = F.broadcast(keys)
-        held = target.join(keys, key, "left_semi").select(folder)
-        found = held.unionByName(source.select(folder)).distinct()
+        held = target.join(source.select(key), key, "left_semi").select(folder)
         # One short text per month of data, whatever the number of rows.
-        touched = {row.folder for row in found.collect()}
+        touched = {row.folder for row in found.unionByName(held).distinct().collect()}
         # Reads partition columns only, so the other partitions are not listed as input.
         affected = target.where(folder.isin(list(touched)))
-        source = merge_by_key(affected, source, key, only_if_newer, keys)
+        source = merge_by_key(affected, source, key, only_if_newer)
+    else:
+        touched = {row.folder for row in found.distinct().collect()}
     (
         compacted(source, *partition_by)
         # Row groups clustered by run let the load step skip most of a partition.
@@ -160,6 +183,7 @@ def upsert(
     emptied = [(name,) for name in sorted(touched - kept)]
     spark.createDataFrame(emptied, "folder string").write.parquet(f"{pending}/emptied")
     finish_upsert(spark, path, partition_by)
+    return sorted(touched)
 
 
 def finish_upsert(
@@ -174,11 +198,13 @@ def finish_upsert(
             files.remove(spark, f"{path}/{row.folder}")
         for folder in files.partition_dirs(spark, f"{pending}/data", len(partition_by)):
             files.move_into(spark, f"{pending}/data/{folder}", f"{path}/{folder}")
+        # A table whose first batch is empty exists all the same.
+        files.ensure(spark, path)
     files.remove(spark, pending)
     spark.catalog.refreshByPath(path)
 
 
-def _folder(partition_by: Sequence[str]) -> Column:
+def folder_of(partition_by: Sequence[str]) -> Column:
     """A row's partition folder, for integer and date partition columns."""
     parts = [
         F.concat(
@@ -187,4 +213,4 @@ def _folder(partition_by: Sequence[str]) -> Column:
         )
         for name in partition_by
     ]
-    return F.concat_ws("/", *parts).alias("folder")
+    return F.concat_ws("/", *parts)

@@ -14,7 +14,7 @@ from claimforge.operators import cleaning, enrich, merge, quality, scd2, summary
 from claimforge.operators.latest import latest_per_key
 from claimforge.operators.lookup import lookup
 from claimforge.plans import models
-from claimforge.plans.daily import Layout, check_day, run_day
+from claimforge.plans.daily import SEVERITY, Layout, run_day
 from claimforge.plans.extract import run_extract, stage
 from claimforge.plans.load import fact_rows, run_load
 from claimforge.plans.transform import run_transform
@@ -28,7 +28,7 @@ RUN_DATE = "2002-01-01"
 NOW = "2002-01-01 06:00:00"
 LOADED_RUN = "1998-06-15"
 HALF = "2000-01-01"
-HISTORY_UNTIL = "1998-01-01"
+LATE_RUN = "2002-01-02"
 TOKEN_KEY = "k1"
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -109,6 +109,23 @@ def staged_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.stg_claims(fact_rows(conformed(spark, sf_dir)))
 
 
+def all_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fact rows with all copies of a claim, as several runs send them."""
+    joined = enrich.attach_reference(
+        cleaning.mask_members(cleaned(spark, sf_dir, *src.BATCH)),
+        cleaning.mask_members(src.members(spark, sf_dir)),
+        src.providers(spark, sf_dir),
+        heavy_keys(spark, sf_dir),
+    )
+    return fact_rows(enrich.derive(joined))
+
+
+def with_copies(spark: SparkSession, sf_dir: str, *measures: str) -> DataFrame:
+    """Measures over all copies: distinct counts differ from rows, rates may pass 100."""
+    base = models.int_claims(models.stg_claims(all_facts(spark, sf_dir)), None, None, RUN_DATE)
+    return summary.summarize(base, measures=measures)
+
+
 def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.int_claims(
         staged_facts(spark, sf_dir),
@@ -126,12 +143,12 @@ def mart_base(spark: SparkSession, sf_dir: str, risk: bool) -> DataFrame:
     return models.int_claims(staged_facts(spark, sf_dir), dim, None, RUN_DATE, hot)
 
 
-def measured(spark: SparkSession, sf_dir: str, *measures: str, unique: bool = True) -> DataFrame:
+def measured(spark: SparkSession, sf_dir: str, *measures: str) -> DataFrame:
     # latest_per_key made claim_id unique, so the distinct claims are a plain count.
     base = mart_base(spark, sf_dir, "avg_member_risk_score" in measures)
     if summary.MEDIAN in measures:
         base = stored(spark, base.select(*MART_KEYS, "claim_id", "paid_amount"), "int")
-    return summary.summarize(base, measures=measures, claims_unique=unique)
+    return summary.summarize(base, measures=measures, claims_unique=True)
 
 
 def stored(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
@@ -147,24 +164,36 @@ def mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary.monthly_summary(stored(spark, base, "int"), NOW, claims_unique=True)
 
 
-def halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Latest claims served before and from a day on; many ids are in both."""
+def batch_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = ["claim_id", "service_date", "paid_amount", "ingested_at", "run_date", *src.TIES]
     rows = src.claims(spark, sf_dir, *names)
-    rows = rows.withColumns(
+    return rows.withColumns(
         {"service_year": F.year("service_date"), "service_month": F.month("service_date")}
     )
-    early = F.col("service_date") < HALF
+
+
+def halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Latest claims served before and from a day on; many ids are in both."""
+    rows = batch_rows(spark, sf_dir)
+    early = F.coalesce(F.col("service_date") < HALF, F.lit(False))
     old, new = (
         latest_per_key(rows.where(part), ties=src.TIES).drop(*src.TIES) for part in (early, ~early)
     )
     return old, new
 
 
-def landed(spark: SparkSession, sf_dir: str, root: str, fmt: str = "csv") -> str:
+def landed(
+    spark: SparkSession,
+    sf_dir: str,
+    root: str,
+    fmt: str = "csv",
+    rows: DataFrame | None = None,
+    run_date: str = RUN_DATE,
+) -> str:
     """Raw claims as the files of one run; the folder holding them."""
-    path = readers.raw_path(root, RUN_DATE)
-    writer = src.raw_claims(spark, sf_dir).write.mode("overwrite")
+    path = readers.raw_path(root, run_date)
+    rows = src.raw_claims(spark, sf_dir) if rows is None else rows
+    writer = rows.write.mode("overwrite")
     if fmt == "csv":
         writer = writer.options(
             header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
@@ -214,16 +243,17 @@ def staging_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def dim_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "members")
-    both = src.members(spark, sf_dir).join(src.dim_members(spark, sf_dir), "member_id")
-    both.write.parquet(path)
+    # A file with more columns, in another order, than the reader asks for.
+    rows = src.members(spark, sf_dir, whole=True).withColumn("extra", F.lit(1))
+    rows.select(*reversed(rows.columns)).write.parquet(path)
     return readers.members(spark, path)
 
 
 @query
 def dim_providers(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "providers")
-    both = src.providers(spark, sf_dir).join(src.dim_providers(spark, sf_dir), "provider_npi")
-    both.write.parquet(path)
+    rows = src.providers(spark, sf_dir, whole=True).withColumn("extra", F.lit(1))
+    rows.select(*reversed(rows.columns)).write.parquet(path)
     return readers.providers(spark, path)
 
 
@@ -431,8 +461,8 @@ def upserted(
 
 @query
 def upsert_initial(spark: SparkSession, sf_dir: str) -> DataFrame:
-    old, _ = halves(spark, sf_dir)
-    return upserted(spark, "upsert-initial", old)
+    rows = latest_per_key(batch_rows(spark, sf_dir), ties=src.TIES).drop(*src.TIES)
+    return upserted(spark, "upsert-initial", rows)
 
 
 @query
@@ -477,14 +507,7 @@ def doubles(rows: DataFrame) -> DataFrame:
 def int_incremental_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two builds of the enriched claims; the second sees only the runs after the first."""
     root = scratch_dir(spark, "int")
-    rows = cleaning.mask_members(cleaned(spark, sf_dir, *src.BATCH))
-    joined = enrich.attach_reference(
-        rows,
-        cleaning.mask_members(src.members(spark, sf_dir)),
-        src.providers(spark, sf_dir),
-        heavy_keys(spark, sf_dir),
-    )
-    fact = stored(spark, fact_rows(enrich.derive(joined)), "fact")
+    fact = stored(spark, all_facts(spark, sf_dir), "fact")
     dims = (
         cleaning.mask_members(src.dim_members(spark, sf_dir)),
         src.dim_providers(spark, sf_dir),
@@ -518,8 +541,7 @@ def int_claims_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def agg_distinct_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = ["total_claims", "unique_members", "unique_providers"]
-    return measured(spark, sf_dir, *names, unique=False)
+    return with_copies(spark, sf_dir, "total_claims", "unique_members", "unique_providers")
 
 
 @query
@@ -545,7 +567,7 @@ def agg_conditional_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def agg_denial_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return measured(spark, sf_dir, "denial_rate_pct", unique=False)
+    return with_copies(spark, sf_dir, "denial_rate_pct")
 
 
 @query
@@ -557,7 +579,16 @@ def mart_claims_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mart_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "mart")
     writers.write_mart(mart(spark, sf_dir), path)
-    return spark.read.parquet(path)
+    return readers.mart_claims(spark, path)
+
+
+@query
+def model_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mart view over facts with all copies; it agrees with the stored models."""
+    fact = stored(spark, all_facts(spark, sf_dir), "fact")
+    dims = cleaning.mask_members(src.dim_members(spark, sf_dir)), src.dim_providers(spark, sf_dir)
+    models.publish_views(fact, *dims, NOW)
+    return spark.table("mart_claims_summary")
 
 
 @query
@@ -613,7 +644,7 @@ def dq_accepted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dq_mart_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rates = measured(spark, sf_dir, "total_claims", "denial_rate_pct")
+    rates = with_copies(spark, sf_dir, "total_claims", "denial_rate_pct")
     return quality.count_failures(rates, quality.mart_checks())
 
 
@@ -653,10 +684,12 @@ def scd2_build(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def scd2_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches by order key: the second holds changes before, between and after the first's."""
     changes = src.member_changes(spark, sf_dir)
-    early = changes.where(F.col("change_day") < HISTORY_UNTIL)
-    first = stored(spark, scd2.build_history(early, **HISTORY), "history")
-    return scd2.apply_changes(first, changes.where(F.col("change_day") >= HISTORY_UNTIL), **HISTORY)
+    second = F.coalesce(F.col("o_orderkey") % 3 == 0, F.lit(False))
+    log = changes.where(~second)
+    first = stored(spark, scd2.build_history(log, **HISTORY), "history")
+    return scd2.apply_changes(first, log, changes.where(second), **HISTORY)
 
 
 @query
@@ -666,7 +699,8 @@ def point_in_time_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark, scd2.build_history(src.member_changes(spark, sf_dir), **HISTORY), "history"
     )
     apart = ("claim_id", "service_date")
-    return scd2.as_of_join(facts, history, "member_id", "service_date", apart)
+    # Claims without a member are spread; those of a member are by year.
+    return scd2.as_of_join(facts, history, "member_id", "service_date", apart, [None])
 
 
 # Whole jobs ---------------------------------------------------------------
@@ -692,30 +726,97 @@ def transform_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.conformed_claims(spark, f"{root}/conformed")
 
 
-def one_day(spark: SparkSession, sf_dir: str) -> Layout:
+@query
+def extract_odd_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed files with NaN, Infinity and amounts beyond the money type: dropped and counted."""
+    root = scratch_dir(spark, "odd")
+    texts = {"service_date": "service_text", "discharge_date": "discharge_text"}
+    rows = src.claims(spark, sf_dir, *[texts.get(name, name) for name in src.RAW], "quantity")
+    rows = rows.withColumnsRenamed({text: name for name, text in texts.items()})
+    odd = F.create_map(*[F.lit(x) for x in (6, "NaN", 7, "Infinity", 8, "1e20")])
+    billed = F.coalesce(F.get(F.array(odd), F.lit(0))[F.col("quantity").cast("int")], F.col("billed_amount").cast("string"))
+    landed(spark, sf_dir, f"{root}/raw", rows=rows.withColumn("billed_amount", billed).select(*src.RAW))
+    report = run_extract(spark, f"{root}/raw", f"{root}/staging", RUN_DATE, "test", NOW)
+    staged = readers.staged_claims(spark, readers.staging_path(f"{root}/staging", RUN_DATE))
+    totals = staged.agg(F.count(F.lit(1)).alias("staged"), F.max("billed_amount").alias("most_billed"))
+    return totals.select("*", *[F.lit(count).cast("long").alias(name) for name, count in report.items()])
+
+
+def new_layout(spark: SparkSession) -> Layout:
     root = scratch_dir(spark, "day")
-    folders = ("raw", "staging", "conformed", "fact", "int", "mart")
-    layout = Layout(*[f"{root}/{folder}" for folder in folders])
-    landed(spark, sf_dir, layout.raw)
+    folders = ("raw", "staging", "conformed", "fact", "int", "mart", "checks")
+    return Layout(*[f"{root}/{folder}" for folder in folders])
+
+
+def run_one(spark: SparkSession, sf_dir: str, layout: Layout, run_date: str = RUN_DATE) -> None:
+    """One run through all steps. The test tables hold a claim type that is not accepted."""
     run_day(
         spark,
         layout,
-        RUN_DATE,
+        run_date,
         src.members(spark, sf_dir),
         src.providers(spark, sf_dir),
         src.dim_members(spark, sf_dir),
         src.dim_providers(spark, sf_dir),
         "test",
         NOW,
+        severity=SEVERITY | {"accepted_values": "warn"},
     )
+
+
+def one_day(spark: SparkSession, sf_dir: str) -> Layout:
+    layout = new_layout(spark)
+    landed(spark, sf_dir, layout.raw)
+    run_one(spark, sf_dir, layout)
     return layout
 
 
 @query
 def daily_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(one_day(spark, sf_dir).mart)
+    return readers.mart_claims(spark, one_day(spark, sf_dir).mart)
+
+
+@query
+def daily_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A day with wrong amounts and missing claims, landed again and repeated."""
+    layout = new_layout(spark)
+    rows = src.raw_claims(spark, sf_dir)
+    wrong = rows.where(F.coalesce(F.col("claim_type") != "dental", F.lit(True)))
+    landed(spark, sf_dir, layout.raw, rows=wrong.withColumn("paid_amount", F.col("paid_amount") * 2))
+    run_one(spark, sf_dir, layout)
+    landed(spark, sf_dir, layout.raw, rows=rows)
+    run_one(spark, sf_dir, layout)
+    return readers.mart_claims(spark, layout.mart)
+
+
+@query
+def daily_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that comes after a later one: it adds its claims and replaces no newer row."""
+    layout = new_layout(spark)
+    rows = src.raw_claims(spark, sf_dir)
+    # Both halves land, each in its own run; the later run first.
+    early = F.coalesce(F.col("service_date") < HALF, F.lit(False))
+    for run_date, part in ((LATE_RUN, early), (RUN_DATE, ~early)):
+        landed(spark, sf_dir, layout.raw, rows=rows.where(part), run_date=run_date)
+        run_one(spark, sf_dir, layout, run_date)
+    return readers.mart_claims(spark, layout.mart)
+
+
+@query
+def load_fact_emptied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All claims of a loaded run are resubmitted with another: the first one's slice goes."""
+    root = scratch_dir(spark, "emptied")
+    rows = stored(spark, doubles(conformed(spark, sf_dir).withColumn("env", F.lit("test"))), "conformed")
+    writers.upsert(spark, rows, f"{root}/conformed", CONFORMED_CLAIMS)
+    run_load(spark, f"{root}/conformed", f"{root}/fact", LOADED_RUN)
+    again = rows.where(F.col("run_date") == LOADED_RUN).withColumn("run_date", F.lit(RUN_DATE))
+    writers.upsert(spark, again, f"{root}/conformed", CONFORMED_CLAIMS)
+    for run_date in (LOADED_RUN, RUN_DATE):
+        run_load(spark, f"{root}/conformed", f"{root}/fact", run_date)
+    return readers.fact_claims(spark, f"{root}/fact")
 
 
 @query
 def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return check_day(spark, one_day(spark, sf_dir))
+    """The checks that the day itself stored."""
+    return spark.read.parquet(one_day(spark, sf_dir).checks)

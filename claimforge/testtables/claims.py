@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from claimforge.operators.cleaning import mask_members
 from claimforge.operators.lookup import hot_keys, lookup
+from claimforge.schemas import RAW_CLAIMS
 
 BAD_DATE = "2024-13-01"
 
@@ -106,6 +107,7 @@ COLUMNS: dict[str, Callable[[], Column]] = {
     "claim_type": _claim_type,
     "ingested_at": lambda: F.col("l_shipdate").cast("timestamp"),
     "run_date": lambda: _shipped().cast("string"),
+    "quantity": lambda: F.col("l_quantity"),
     # The dates as a raw file holds them, some of them no date at all.
     "service_text": lambda: F.when(_quantity_is(3), BAD_DATE).otherwise(
         _shipped().cast("string")
@@ -118,21 +120,7 @@ COLUMNS: dict[str, Callable[[], Column]] = {
 TIES = ["tie_price", "tie_part"]
 SPREAD_BY = ("l_partkey", "l_linenumber", "l_shipdate")
 NEED_ORDERS = {"member_id", "claim_type", "plan_id"}
-RAW = [
-    "claim_id",
-    "member_id",
-    "provider_npi",
-    "service_date",
-    "discharge_date",
-    "diagnosis_code",
-    "procedure_code",
-    "billed_amount",
-    "allowed_amount",
-    "paid_amount",
-    "claim_status",
-    "plan_id",
-    "claim_type",
-]
+RAW = RAW_CLAIMS.names
 BATCH = [*RAW, "ingested_at", "run_date"]
 
 
@@ -191,14 +179,17 @@ def _pick(number: Column, *labels: str) -> Column:
     return F.element_at(F.array(*[F.lit(x) for x in labels]), (number + 1).cast("int"))
 
 
-def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    known = table(spark, sf_dir, "customer").where(F.col("c_custkey") % 10 != 0)
+def _customers(spark: SparkSession, sf_dir: str, whole: bool) -> DataFrame:
+    """One member in ten has no dimension row in the joins; ``whole`` is the full table."""
+    known = table(spark, sf_dir, "customer")
+    if not whole:
+        known = known.where(F.col("c_custkey") % 10 != 0)
     return known.withColumn("member_id", F.concat(F.lit("M"), F.col("c_custkey").cast("string")))
 
 
-def members(spark: SparkSession, sf_dir: str) -> DataFrame:
+def members(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
     nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    joined = _customers(spark, sf_dir).join(
+    joined = _customers(spark, sf_dir, whole).join(
         nations, F.col("c_nationkey") == F.col("n_nationkey"), "left"
     )
     return joined.select(
@@ -211,23 +202,25 @@ def members(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dim_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("c_custkey")
-    return _customers(spark, sf_dir).select(
+    return _customers(spark, sf_dir, False).select(
         "member_id",
         _pick(key % 5, "0-17", "18-34", "35-49", "50-64", "65+").alias("age_band"),
         _pick(key % 2, "F", "M").alias("gender"),
         (key % 4 == 0).alias("chronic_condition_flag"),
-        F.col("c_acctbal").cast("decimal(18,2)").alias("risk_score"),
+        (F.col("c_acctbal").cast("decimal(18,2)") / 100).cast("decimal(18,6)").alias("risk_score"),
     )
 
 
-def _suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    known = table(spark, sf_dir, "supplier").where(F.col("s_suppkey") % 7 != 0)
+def _suppliers(spark: SparkSession, sf_dir: str, whole: bool) -> DataFrame:
+    known = table(spark, sf_dir, "supplier")
+    if not whole:
+        known = known.where(F.col("s_suppkey") % 7 != 0)
     npi = F.concat(F.lit("NPI"), F.col("s_suppkey").cast("string"))
     return known.withColumn("provider_npi", npi)
 
 
-def providers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _suppliers(spark, sf_dir).select(
+def providers(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
+    return _suppliers(spark, sf_dir, whole).select(
         "provider_npi",
         F.col("s_name").alias("provider_name"),
         _pick(
@@ -239,7 +232,7 @@ def providers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dim_providers(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("s_suppkey")
-    return _suppliers(spark, sf_dir).select(
+    return _suppliers(spark, sf_dir, False).select(
         "provider_npi",
         _pick(key % 3, "tier1", "tier2", "tier3").alias("provider_tier"),
         (key % 2 == 0).alias("hospital_flag"),

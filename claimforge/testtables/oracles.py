@@ -1,4 +1,7 @@
-"""The catalog's queries as ANSI SQL over the same tables."""
+"""The catalog's queries as ANSI SQL over the same tables.
+
+Fixed values: the category rule and the rate, as the data contract states them.
+"""
 
 from __future__ import annotations
 
@@ -6,6 +9,7 @@ RUN_DATE = "2002-01-01"
 NOW = "2002-01-01 06:00:00"
 LOADED_RUN = "1998-06-15"
 HALF = "2000-01-01"
+LATE_RUN = "2002-01-02"
 TOKEN_KEY = "k1"
 
 MONEY = ("billed_amount", "allowed_amount", "paid_amount")
@@ -63,7 +67,7 @@ claims as (
     cast(day as timestamp) as ingested_at,
     cast(day as varchar) as run_date,
     case when l_quantity = 3 then '2024-13-01' else cast(day as varchar) end as service_text,
-    l_extendedprice as tie_price, l_partkey as tie_part
+    l_extendedprice as tie_price, l_partkey as tie_part, l_quantity as quantity
   from lines
   left join orders on l_orderkey = o_orderkey
   left join customer on o_custkey = c_custkey
@@ -99,7 +103,7 @@ dim_members as (
       when 3 then '50-64' else '65+' end as age_band,
     case c_custkey % 2 when 0 then 'F' else 'M' end as gender,
     c_custkey % 4 = 0 as chronic_condition_flag,
-    cast(c_acctbal as decimal(18,2)) as risk_score
+    cast(cast(c_acctbal as decimal(18,2)) * 0.01 as decimal(18,6)) as risk_score
   from customer where c_custkey % 10 <> 0
 )"""
 
@@ -183,6 +187,29 @@ TO_CONFORMED = [*BASE, CLEAN, LATEST, *REFERENCE, conformed("conformed", "latest
 TO_STG = [*TO_CONFORMED, stg("conformed")]
 TO_INT = [*TO_STG, DIM_MEMBERS, DIM_PROVIDERS, INT]
 
+TO_INT_COPIES = [
+    *BASE,
+    CLEAN,
+    *REFERENCE,
+    conformed("conformed", "clean"),
+    stg("conformed"),
+    DIM_MEMBERS,
+    DIM_PROVIDERS,
+    INT,
+]
+# The latest run of a claim; other columns, in stored order, decide between copies of one run.
+LATEST_RUN = """
+int_claims as (
+  select * exclude (rn) from (
+    select *, row_number() over (partition by claim_id order by run_date desc,
+      member_id desc nulls last, provider_npi desc nulls last, service_date desc nulls last,
+      discharge_date desc nulls last, diagnosis_code desc nulls last,
+      procedure_code desc nulls last, billed_amount desc nulls last,
+      allowed_amount desc nulls last, paid_amount desc nulls last,
+      claim_status desc nulls last) as rn
+    from int_all) where rn = 1
+)"""
+
 STG_OUT = f"""claim_id, member_id, provider_npi, {txt('service_date', 'discharge_date')},
   diagnosis_code, procedure_code, {dbl(*MONEY)}, claim_status, claim_type, plan_id, denied_flag,
   high_cost_flag, out_of_network_flag, {big('length_of_stay_days')}, {dbl('cost_ratio')},
@@ -298,6 +325,23 @@ TO_DAY = [
     INT,
 ]
 
+# Two runs: the later one holds the earlier half of the claims.
+TO_BACKFILL = [
+    *BASE,
+    CLEAN,
+    RAW_STAGED.replace(
+        f"'{RUN_DATE}' as run_date",
+        f"case when service_text < '{HALF}' then '{LATE_RUN}' else '{RUN_DATE}' end as run_date",
+    ),
+    RAW_LATEST.replace("order by sha256", "order by run_date desc, sha256"),
+    *REFERENCE,
+    conformed("conformed", "raw_latest"),
+    stg("conformed"),
+    DIM_MEMBERS,
+    DIM_PROVIDERS,
+    INT,
+]
+
 CHANGES = """
 daily as (
   select member_id, day, plan_type from (
@@ -387,9 +431,13 @@ ORACLES = {
         """select strftime(service_date, '%Y-%m') as service_month, count(*) as claims,
         cast(sum(paid_amount) as double) as paid from raw_staged group by 1""",
     ),
-    "dim_members": sql([MEMBERS], "select member_id, plan_type, group_id, state from members"),
+    "dim_members": sql(
+        [MEMBERS.replace("where c_custkey % 10 <> 0", "")],
+        "select member_id, plan_type, group_id, state from members",
+    ),
     "dim_providers": sql(
-        [PROVIDERS], "select provider_npi, provider_name, specialty, network_flag from providers"
+        [PROVIDERS.replace("where s_suppkey % 7 <> 0", "")],
+        "select provider_npi, provider_name, specialty, network_flag from providers",
     ),
     "filter_required_keys": from_claims(
         "select claim_id, member_id from claims where claim_id is not null and member_id is not null"
@@ -492,7 +540,7 @@ ORACLES = {
         diagnosis_code, procedure_code, {dbl(*MONEY)}, claim_status, plan_id, claim_type,
         {stamp('ingested_at')}, run_date from latest""",
     ),
-    "upsert_initial": sql([*BASE, HALVES], f"select {HALF_OUT} from old_rows"),
+    "upsert_initial": sql([*BASE, LATEST.replace("from clean", "from claims")], f"select {HALF_OUT} from latest"),
     "upsert_merge": sql(
         [*BASE, HALVES],
         f"""select {HALF_OUT} from (select * from new_rows union all
@@ -514,16 +562,7 @@ ORACLES = {
         f"""select {STG_OUT} from conformed where run_date = '{LOADED_RUN}'""",
     ),
     "int_incremental_merge": sql(
-        [
-            *BASE,
-            CLEAN,
-            *REFERENCE,
-            conformed("conformed", "clean"),
-            stg("conformed"),
-            DIM_MEMBERS,
-            DIM_PROVIDERS,
-            INT,
-        ],
+        TO_INT_COPIES,
         """select claim_id, run_date, claim_category, days_since_service, state, age_band,
           provider_tier
         from (select *, row_number() over (partition by claim_id order by run_date desc,
@@ -542,7 +581,7 @@ ORACLES = {
         days_since_service from int_claims""",
     ),
     "agg_distinct_counts": sql(
-        TO_INT, grouped(["total_claims", "unique_members", "unique_providers"])
+        TO_INT_COPIES, grouped(["total_claims", "unique_members", "unique_providers"])
     ),
     "agg_sums": sql(TO_INT, grouped(["total_billed", "total_allowed", "total_paid"])),
     "agg_averages": sql(
@@ -553,7 +592,7 @@ ORACLES = {
     "agg_conditional_counts": sql(
         TO_INT, grouped(["denied_claims", "high_cost_claims", "out_of_network_claims"])
     ),
-    "agg_denial_rate": sql(TO_INT, grouped(["denial_rate_pct"])),
+    "agg_denial_rate": sql(TO_INT_COPIES, grouped(["denial_rate_pct"])),
     "mart_claims_summary": sql(TO_INT, MART),
     "mart_payer_type_month": sql(
         TO_INT,
@@ -571,7 +610,7 @@ ORACLES = {
     "dq_not_null": from_claims(failures("not_null")),
     "dq_accepted_range": from_claims(failures("accepted_range")),
     "dq_accepted_values": from_claims(failures("accepted_values")),
-    "dq_mart_range": sql([*TO_INT, f"mart as ({MART})"], mart_failures()),
+    "dq_mart_range": sql([*TO_INT_COPIES, f"mart as ({MART})"], mart_failures()),
     "dq_freshness": FRESHNESS,
     "dq_row_count_trend": TREND,
     "scd2_build": f"with {CHANGES} {HISTORY_OUT}",
@@ -588,6 +627,25 @@ ORACLES = {
         f"select {STG_OUT}, env, plan_type, group_id from conformed",
     ),
     "daily_run": sql(TO_DAY, MART),
+    "daily_rerun": sql(TO_DAY, MART),
+    "daily_backfill": sql(TO_BACKFILL, MART),
+    "load_fact_emptied": sql(
+        [*TO_CONFORMED, f"""moved as (select * replace ('{RUN_DATE}' as run_date) from conformed
+        where run_date = '{LOADED_RUN}')"""],
+        f"select {STG_OUT} from moved",
+    ),
+    "extract_odd_amounts": sql(
+        [*BASE, CLEAN],
+        """select count(*) filter (where quantity not in (6, 7, 8)) as staged,
+        cast(max(billed_amount) filter (where quantity not in (6, 7, 8)) as double) as most_billed,
+        (select count(*) from claims) as rows_in,
+        count(*) filter (where quantity not in (6, 7, 8)) as rows_valid,
+        (select count(*) from claims) - count(*) filter (where quantity not in (6, 7, 8)) as rows_dropped
+        from clean""",
+    ),
+    "model_views": sql(
+        [*TO_INT_COPIES[:-1], INT.replace("int_claims as", "int_all as"), LATEST_RUN], MART
+    ),
     "dq_report": sql(
         [*TO_DAY, f"mart as ({MART})"],
         f"""select 'stg_claims' as table_name, 'unique' as rule, 'claim_id' as column_name,

@@ -15,11 +15,18 @@ def ids(df):
 
 
 def test_required_keys(sample):
-    assert ids(cleaning.require(sample)) == {"C001", "C002", "C004", "C005"}
+    assert ids(cleaning.require(sample)) == {"A-1", "A-2", "A-3", "A-5", "A-6", "A-7"}
 
 
-def test_negative_billed(sample):
-    assert ids(cleaning.drop_negative(sample, "billed_amount")) == {"C001", "C002", "C003", "C005"}
+def test_amounts_below_zero_missing_or_no_number(sample):
+    assert ids(cleaning.drop_negative(sample, "billed_amount")) == {"A-1", "A-2", "A-3", "A-4", "A-7"}
+
+
+def test_amounts_beyond_the_money_type(spark):
+    texts = ["NaN", "Infinity", "-Infinity", "1e16", "999999999999999", "1e20"]
+    df = spark.createDataFrame([(t, float(t)) for t in texts], "claim_id string, billed_amount double")
+    assert ids(cleaning.drop_negative(df, "billed_amount")) == {"999999999999999"}
+    assert [r.m for r in df.select(fn.money("billed_amount").alias("m")).collect()].count(None) == 5
 
 
 def test_negative_or_missing_amount_drops_the_row(spark):
@@ -39,10 +46,10 @@ def test_clean_keeps_valid_rows(sample):
     texts = sample.withColumns(
         {name: F.col(name).cast("string") for name in ("service_date", "discharge_date")}
     )
-    out = cleaning.clean(texts, "2024-01-15", "test", "2024-01-15 01:00:00")
-    assert ids(out) == {"C001", "C002", "C005"}
-    row = out.where("claim_id = 'C001'").first()
-    assert (row.run_date, row.env, str(row.ingested_at)) == ("2024-01-15", "test", "2024-01-15 01:00:00")
+    out = cleaning.clean(texts, "2023-06-01", "test", "2023-06-01 01:00:00")
+    assert ids(out) == {"A-1", "A-2", "A-3"} and out.count() == 4
+    row = out.where("claim_id = 'A-2'").first()
+    assert (row.run_date, row.env, str(row.ingested_at)) == ("2023-06-01", "test", "2023-06-01 01:00:00")
 
 
 def test_bad_date_becomes_null(spark):
@@ -55,20 +62,24 @@ def reference_flags(sample):
     return derive(sample.withColumn("network_flag", F.lit(None).cast("string")))
 
 
+def by_month(df):
+    return {(row.claim_id, row.service_month): row for row in df.collect()}
+
+
 def test_flags(sample):
-    rows = {row.claim_id: row for row in reference_flags(sample).collect()}
-    assert {k for k, row in rows.items() if row.denied_flag} == {"C002"}
-    assert {k for k, row in rows.items() if row.high_cost_flag} == {"C005"}
+    rows = by_month(reference_flags(sample))
+    assert {k for k, row in rows.items() if row.denied_flag} == {("A-3", 4), ("A-1", 5)}
+    assert {k for k, row in rows.items() if row.high_cost_flag} == {("A-2", 3)}
     assert all(row.out_of_network_flag is None for row in rows.values())
 
 
 def test_stay_ratio_and_period(sample):
-    rows = {row.claim_id: row for row in reference_flags(sample).collect()}
-    assert rows["C001"].length_of_stay_days == 2
-    assert rows["C005"].length_of_stay_days == 6
-    assert rows["C002"].length_of_stay_days is None
-    assert (rows["C001"].cost_ratio, rows["C005"].cost_ratio) == (0.8, 0.88)
-    assert (rows["C001"].service_year, rows["C001"].service_month) == (2024, 1)
+    rows = by_month(reference_flags(sample))
+    stays = {k: row.length_of_stay_days for k, row in rows.items() if row.length_of_stay_days is not None}
+    assert stays == {("A-1", 3): 3, ("A-2", 3): 0, ("A-1", 5): -2}
+    assert rows["A-1", 3].cost_ratio == 0.8333 and rows["A-1", 5].cost_ratio == 0.25
+    assert rows["A-3", 4].cost_ratio is None and rows["A-5", 4].cost_ratio is None
+    assert {row.service_year for row in rows.values()} == {2023}
 
 
 def test_threshold_is_strict_and_zero_billed_has_no_ratio(spark):
@@ -110,7 +121,7 @@ def test_mask(sample):
     found = {row.member_id for row in masked.collect()}
     assert None in found
     found.discard(None)
-    assert found == {hashlib.sha256(m.encode()).hexdigest() for m in ("M001", "M002", "M004", "M005")}
+    assert found == {hashlib.sha256(m.encode()).hexdigest() for m in ("P10", "P11", "P12", "P13")}
     assert {len(value) for value in found} == {64}
     keyed = {row.member_id for row in cleaning.mask_members(sample, "k").collect()}
     assert not found & keyed

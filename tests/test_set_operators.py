@@ -5,6 +5,7 @@ import statistics
 from decimal import Decimal
 
 import pytest
+from pyspark.errors import PySparkException
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -71,6 +72,28 @@ def test_hot_rows_are_spread(spark, skewed, dim):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
+def test_a_hot_key_that_the_dimension_lacks_is_spread(spark, dim):
+    facts = spark.range(9000).select(
+        F.when(F.col("id") % 3 < 2, "absent").otherwise((F.col("id") % 40).cast("string")).alias("k"), F.col("id").alias("row")
+    )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        routed = lookup(facts, dim, "k", ["absent"], ["row"])
+        sizes = [row["count"] for row in routed.groupBy(F.spark_partition_id()).count().collect()]
+        assert len(sizes) == 8 and max(sizes) < 2 * 9000 / 8
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_a_hot_key_that_the_dimension_repeats_fails(spark, skewed, dim):
+    with pytest.raises(PySparkException, match="repeated k in a dimension"):
+        lookup(skewed, dim.unionByName(dim), "k", ["hot"], ["row"]).collect()
+    with pytest.raises(ValueError, match="hot keys"):
+        lookup(skewed, dim, "k", [str(i) for i in range(5000)])
+
+
 # Latest -------------------------------------------------------------------
 
 
@@ -164,6 +187,34 @@ def test_median_of_one_large_group(spark):
     assert exact_median(df, "g", "amount").first()["median"] == 100000.0
 
 
+def test_median_of_very_large_amounts(spark):
+    """Amounts far beyond 2^40 cents, of both signs, in one group."""
+    cents = [2**45, 2**45 + 1, 2**45 + 2**21, -(2**50), -(2**50) + 3, 10**17, 7]
+    df = spark.createDataFrame([("a", Decimal(c).scaleb(-2)) for c in cents], "g string, amount decimal(18,2)")
+    assert exact_median(df, "g", "amount").first()["median"] == 2**45 / 100
+    even = df.where(df.amount != Decimal(7).scaleb(-2))
+    assert exact_median(even, "g", "amount").first()["median"] == (2**46 + 1) / 200
+
+
+def test_median_refuses_what_it_would_round(spark):
+    for kind in ("decimal(18,3)", "decimal(20,2)", "double"):
+        df = spark.range(3).select(F.lit(1).alias("g"), F.col("id").cast(kind).alias("amount"))
+        with pytest.raises(TypeError, match="not a number that fits"):
+            exact_median(df, "g", "amount")
+    assert exact_median(df.select("g", F.col("amount").cast("int")), "g", "amount").first()["median"] == 1.0
+
+
+def test_approximate_distinct_counts(spark):
+    rows = spark.range(20_000).select(
+        F.lit(1).alias("service_year"), F.col("id").cast("string").alias("claim_id"),
+        (F.col("id") % 500).cast("string").alias("member_id"), F.lit("n").alias("provider_npi"),
+    )
+    names = ["total_claims", "unique_members", "unique_providers"]
+    row = summary.summarize(rows, ["service_year"], names, distinct="approx").first()
+    assert row.total_claims == pytest.approx(20_000, rel=0.15) and row.unique_members == pytest.approx(500, rel=0.15)
+    assert row.unique_providers == 1
+
+
 @pytest.fixture(scope="module")
 def base(spark):
     money = Decimal
@@ -280,11 +331,22 @@ def test_apply_changes(spark):
     first = scd2.build_history(changes(spark, (1, "A", 1), (10, "B", 2)), **SPEC)
     other = scd2.build_history(changes(spark, (1, "X", 1)).withColumn("member_id", F.lit("other")), **SPEC)
     history = first.unionByName(other)
+    log = changes(spark, (1, "A", 1), (10, "B", 2))
+    log = log.unionByName(changes(spark, (1, "X", 1)).withColumn("member_id", F.lit("other")))
     batch = changes(spark, (5, "C", 3), (10, "D", 4), (12, "D", 5))
-    applied = scd2.apply_changes(history, batch, **SPEC)
+    applied = scd2.apply_changes(history, log, batch, **SPEC)
     expected = [("A", 1, 5, False), ("C", 5, 10, False), ("D", 10, None, True), ("X", 1, None, True)]
     assert versions(applied) == expected
-    assert versions(scd2.apply_changes(applied, batch, **SPEC)) == expected
+    assert versions(scd2.apply_changes(applied, log.unionByName(batch), batch, **SPEC)) == expected
+
+
+def test_a_late_change_between_equal_ones(spark):
+    """A on day 1, A again on day 5, then B for day 3: the second A is a version after all."""
+    log = changes(spark, (1, "A", 1), (5, "A", 2))
+    late = changes(spark, (3, "B", 3))
+    applied = scd2.apply_changes(scd2.build_history(log, **SPEC), log, late, **SPEC)
+    expected = [("A", 1, 3, False), ("B", 3, 5, False), ("A", 5, None, True)]
+    assert versions(applied) == versions(scd2.build_history(log.unionByName(late), **SPEC)) == expected
 
 
 def test_first_value_null_is_a_version(spark):
@@ -308,8 +370,9 @@ def test_as_of_join_over_years(spark):
         + [("null", None, dt.date(2021, 1, 1)), ("nodate", "m", None)],
         "claim_id string, member_id string, service_date date",
     )
-    for spread in (True, False):
-        out = scd2.as_of_join(facts, history, "member_id", "service_date", ["claim_id"], spread)
+    assert scd2.hot_slots(facts, history, "member_id", "service_date")
+    for hot in ((), [None], ["m@2022", "n@2021", None], scd2.hot_slots(facts, history, "member_id", "service_date")):
+        out = scd2.as_of_join(facts, history, "member_id", "service_date", ["claim_id"], hot)
         plans = {row.claim_id: row.plan for row in out.collect()}
         assert [plans[f"m{i}"] for i in range(7)] == [None, "A", "A", "B", "C", "C", "C"]
         assert [plans[f"n{i}"] for i in range(7)] == [None, None, "Z", "Z", "Z", "Z", None]

@@ -8,11 +8,20 @@ from pyspark.sql import functions as F
 
 from claimforge.functions.privacy import register_mask
 from claimforge.operators.cleaning import mask_members
-from claimforge.plans.daily import Layout, check_day, check_freshness, load_trend, run_day
+from claimforge.plans.daily import (
+    SEVERITY,
+    CheckFailed,
+    Layout,
+    check_day,
+    check_freshness,
+    gate_load,
+    load_trend,
+    run_day,
+)
 from claimforge.plans.extract import run_extract
 from claimforge.plans.load import run_load
-from claimforge.plans.models import publish_views
-from claimforge.schemas import CONFORMED_CLAIMS, FACT_COLUMNS, RAW_CLAIMS
+from claimforge.plans.models import publish_views, run_models
+from claimforge.schemas import CONFORMED_CLAIMS, FACT_COLUMNS, MART_CLAIMS, RAW_CLAIMS
 from claimforge.session import scratch_dir
 from claimforge.sources import files, readers, writers
 
@@ -73,7 +82,7 @@ def test_extract_counts_and_rerun(spark, tmp_path):
 def test_staging_by_month(spark, tmp_path, sample):
     path = str(tmp_path / "month")
     writers.write_staging_by_month(sample, path)
-    assert files.partition_dirs(spark, path, 1) == ["service_month=2024-01"]
+    assert sorted(files.partition_dirs(spark, path, 1)) == [f"service_month=2023-0{m}" for m in (3, 4, 5)]
 
 
 # Upsert -------------------------------------------------------------------
@@ -149,6 +158,43 @@ def test_repeated_source_key_is_refused(spark, table):
     assert len(held(spark, table)) == 4
 
 
+def test_a_refused_first_write_leaves_nothing(spark):
+    path = scratch_dir(spark, "refused")
+    with pytest.raises(ValueError, match="upsert source is not unique"):
+        writers.upsert(spark, batch(spark, SECOND[0], SECOND[0]), path, CONFORMED_CLAIMS)
+    assert not files.exists(spark, path) and not files.exists(spark, f"{path}__pending")
+
+
+def test_an_empty_first_batch_makes_an_empty_table(spark):
+    path = scratch_dir(spark, "empty")
+    assert writers.upsert(spark, batch(spark, *FIRST).where("false"), path, CONFORMED_CLAIMS) == []
+    assert held(spark, path) == []
+    assert writers.upsert(spark, batch(spark, *FIRST), path, CONFORMED_CLAIMS) == sorted(
+        ["service_year=2024/service_month=1", "service_year=2024/service_month=2",
+         "service_year=__HIVE_DEFAULT_PARTITION__/service_month=__HIVE_DEFAULT_PARTITION__"]
+    )
+    assert len(held(spark, path)) == 4
+
+
+def test_an_upsert_casts_to_the_layer(spark, table):
+    other = batch(spark, *SECOND).withColumns(
+        {"paid_amount": F.col("paid_amount").cast("decimal(12,3)"), "service_month": F.col("service_month").cast("long")}
+    )
+    writers.upsert(spark, other, table, CONFORMED_CLAIMS)
+    assert held(spark, table) == MERGED
+    assert spark.read.parquet(table).schema["paid_amount"].dataType == CONFORMED_CLAIMS["paid_amount"].dataType
+
+
+@pytest.mark.parametrize("threshold", ["10485760", "-1"])
+def test_an_upsert_with_and_without_broadcast(spark, table, threshold):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        writers.upsert(spark, batch(spark, *SECOND), table, CONFORMED_CLAIMS)
+        assert held(spark, table) == MERGED
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_empty_source_changes_nothing(spark, table):
     before = held(spark, table)
     writers.upsert(spark, batch(spark, *SECOND).where("false"), table, CONFORMED_CLAIMS)
@@ -200,10 +246,22 @@ def test_load_replaces_its_slice(spark, table, tmp_path):
     assert loaded.columns == FACT_COLUMNS and loaded.count() == 7
 
 
+def test_an_emptied_slice_goes(spark, table, tmp_path):
+    fact = str(tmp_path / "fact")
+    assert run_load(spark, table, fact, "r1") == 4
+    writers.upsert(spark, batch(spark, *FIRST, run="r2"), table, CONFORMED_CLAIMS)
+    assert run_load(spark, table, fact, "r1") == 0 and run_load(spark, table, fact, "r2") == 4
+    assert {r.run_date for r in readers.fact_claims(spark, fact).collect()} == {"r2"}
+
+
 def test_register_and_analyze(spark, table):
     writers.register_table(
         spark, "conformed_for_test", table, CONFORMED_CLAIMS, ["service_year", "service_month"]
     )
+    writers.analyze(spark, "conformed_for_test", {"service_year": "2024", "service_month": "1"})
+    january = "DESCRIBE EXTENDED conformed_for_test PARTITION (service_year = 2024, service_month = 1)"
+    described = {r.col_name: r.data_type for r in spark.sql(january).collect()}
+    assert "2 rows" in described["Partition Statistics"]
     writers.analyze(spark, "conformed_for_test")
     assert spark.table("conformed_for_test").count() == 4
     described = {r.col_name: r.data_type for r in spark.sql("DESCRIBE EXTENDED conformed_for_test").collect()}
@@ -241,7 +299,7 @@ def test_two_days(spark, tmp_path, dims):
     )
     first = run_day(spark, layout, "2024-02-01", *dims, env="test", as_of="2024-02-01 05:00:00", fact_table="fact_for_test")
     assert first == {"rows_in": 5, "rows_valid": 5, "rows_dropped": 0, "rows_loaded": 4}
-    mart = {(r.claim_type, r.claim_category): r for r in spark.read.parquet(layout.mart).collect()}
+    mart = {(r.claim_type, r.claim_category): r for r in readers.mart_claims(spark, layout.mart).collect()}
     # The greater amount of the tied copies stays; the claim without a date is no usable row.
     assert set(mart) == {("medical", "high_cost_medical"), ("dental", "out_of_network"), ("pharmacy", "pharmacy")}
     assert mart["pharmacy", "pharmacy"].state is None and mart["medical", "high_cost_medical"].avg_member_risk_score == 1.5
@@ -250,7 +308,7 @@ def test_two_days(spark, tmp_path, dims):
     land(layout.raw, "2024-02-02", claim("c1", day="2024-02-05", paid="0", status="DENIED"), claim("c5"))
     second = run_day(spark, layout, "2024-02-02", *dims, env="test", as_of="2024-02-02 05:00:00", fact_table="fact_for_test")
     assert second["rows_loaded"] == 2
-    mart = {(r.service_month, r.claim_type, r.claim_category): r for r in spark.read.parquet(layout.mart).collect()}
+    mart = {(r.service_month, r.claim_type, r.claim_category): r for r in readers.mart_claims(spark, layout.mart).collect()}
     assert set(mart) == {
         (1, "dental", "out_of_network"), (1, "pharmacy", "pharmacy"), (1, "medical", "standard"), (2, "medical", "standard"),
     }
@@ -267,6 +325,112 @@ def test_two_days(spark, tmp_path, dims):
     assert trend == {"2024-02-01": (4, None, None), "2024-02-02": (2, 4.0, True)}
 
 
+def day_layout(tmp_path):
+    return Layout(*[str(tmp_path / n) for n in ("raw", "staging", "conformed", "fact", "int", "mart", "checks")])
+
+
+def mart_sums(spark, layout):
+    """Month to claims and paid amount of the mart."""
+    found = {}
+    for r in readers.mart_claims(spark, layout.mart).collect():
+        claims, paid = found.get(r.service_month, (0, 0.0))
+        found[r.service_month] = (claims + r.total_claims, paid + float(r.total_paid))
+    return found
+
+
+def test_a_corrected_day_arrives_everywhere(spark, tmp_path, dims):
+    layout = day_layout(tmp_path)
+    for lines in ([claim("c1", paid="80")], [claim("c1", paid="33"), claim("c2", paid="7", day="2024-03-01")]):
+        land(layout.raw, "2024-02-01", *lines)
+        run_day(spark, layout, "2024-02-01", *dims, env="test", as_of="2024-02-01 05:00:00")
+    assert mart_sums(spark, layout) == {1: (1, 33.0), 3: (1, 7.0)}
+    fact = {r.claim_id: r.paid_amount for r in readers.fact_claims(spark, layout.fact).collect()}
+    assert fact == {"c1": 33.0, "c2": 7.0}
+
+
+def test_a_late_run_adds_and_replaces_nothing_newer(spark, tmp_path, dims):
+    layout = day_layout(tmp_path)
+    land(layout.raw, "2024-02-02", claim("c1", paid="20"))
+    land(layout.raw, "2024-02-01", claim("c1", paid="10"), claim("c2", paid="5", day="2024-04-01"))
+    for run_date in ("2024-02-02", "2024-02-01"):
+        run_day(spark, layout, run_date, *dims, env="test", as_of="2024-02-03 05:00:00")
+    assert mart_sums(spark, layout) == {1: (1, 20.0), 4: (1, 5.0)}
+    assert readers.fact_claims(spark, layout.fact).count() == 2
+
+
+def test_touched_months_equal_a_full_rebuild(spark, tmp_path, dims):
+    layout = day_layout(tmp_path)
+    runs = {
+        "2024-02-01": [claim("c1"), claim("c2", day="2024-02-10", paid="1"), claim("c3", day="2024-03-10")],
+        # c1 leaves January, its only claim there; March stays untouched.
+        "2024-02-02": [claim("c1", day="2024-02-03", paid="2")],
+    }
+    for run_date, lines in runs.items():
+        land(layout.raw, run_date, *lines)
+        run_day(spark, layout, run_date, *dims, env="test", as_of="2024-02-03 05:00:00")
+    kept = sorted(map(str, readers.mart_claims(spark, layout.mart).collect()))
+    assert sorted(mart_sums(spark, layout)) == [2, 3]
+    fact = readers.fact_claims(spark, layout.fact)
+    dim_members, dim_providers = mask_members(dims[2]), dims[3]
+    run_models(
+        spark, fact, dim_members, dim_providers, layout.enriched, layout.mart, "2024-02-03 05:00:00",
+        run_date="2024-02-02", rebuild_mart=True,
+    )
+    assert sorted(map(str, readers.mart_claims(spark, layout.mart).collect())) == kept
+
+
+def test_failing_checks_and_low_loads_stop_the_day(spark, tmp_path, dims):
+    layout = day_layout(tmp_path)
+    land(layout.raw, "2024-02-01", claim("c1", kind="hospice"), claim("c2"), claim("c3"))
+    with pytest.raises(CheckFailed, match="claim_type accepted_values: 1"):
+        run_day(spark, layout, "2024-02-01", *dims, env="test")
+    stored = {(r.rule, r.column_name): r.failures for r in spark.read.parquet(layout.checks).collect()}
+    assert stored["accepted_values", "claim_type"] == 1 and len(stored) == 10
+    lenient = SEVERITY | {"accepted_values": "warn"}
+    land(layout.raw, "2024-02-02", claim("c4"))
+    run_day(spark, layout, "2024-02-02", *dims, env="test", severity=lenient, min_share=0.3)
+    land(layout.raw, "2024-02-03", claim("c5"))
+    with pytest.raises(CheckFailed, match="1 rows loaded for 2024-02-03"):
+        run_day(spark, layout, "2024-02-03", *dims, env="test", severity=lenient, min_share=0.6)
+    with pytest.raises(CheckFailed, match="nothing loaded"):
+        gate_load(spark, layout, "2024-02-09", 0.5)
+
+
+def test_odd_amounts_are_dropped_and_counted(spark, tmp_path):
+    lines = [claim(f"c{i}", billed=b) for i, b in enumerate(("NaN", "Infinity", "1e20", "100", "-1", "x"))]
+    land(tmp_path, "2024-06-01", *lines)
+    report = run_extract(spark, str(tmp_path), str(tmp_path / "staging"), "2024-06-01", "test")
+    assert report == {"rows_in": 6, "rows_valid": 1, "rows_dropped": 5}
+
+
+def test_a_header_in_another_order_is_an_error(spark, tmp_path):
+    land(tmp_path, "2024-06-01", claim("c1"))
+    path = f"{readers.raw_path(str(tmp_path), '2024-06-01')}/claims.csv"
+    with open(path) as lines:
+        text = lines.read().replace("claim_id,member_id", "member_id,claim_id")
+    with open(path, "w") as out:
+        out.write(text)
+    with pytest.raises(Exception, match="does not conform to the schema"):
+        readers.raw_claims(spark, readers.raw_path(str(tmp_path), "2024-06-01")).collect()
+
+
+def test_layer_types(spark, tmp_path, dims):
+    layout = day_layout(tmp_path)
+    land(layout.raw, "2024-02-01", claim("c1"))
+    members = dims[2].withColumn("risk_score", F.lit(1.0345))
+    run_day(spark, layout, "2024-02-01", *dims[:2], members, dims[3], env="test")
+    mart = readers.mart_claims(spark, layout.mart)
+    assert mart.first().avg_member_risk_score == 1.0345
+    assert {f.name: f.dataType for f in mart.schema} == {f.name: f.dataType for f in MART_CLAIMS}
+    enriched = {f.name: f.dataType.simpleString() for f in spark.read.parquet(layout.enriched).schema}
+    assert (enriched["risk_score"], enriched["paid_amount"], enriched["cost_ratio"]) == (
+        "decimal(18,6)", "decimal(18,2)", "decimal(8,4)",
+    )
+    again = dims[2].unionByName(dims[2])
+    with pytest.raises(ValueError, match="dim_members is not unique"):
+        run_day(spark, layout, "2024-02-01", *dims[:2], again, dims[3], env="test")
+
+
 def test_repeated_dimension_key_is_refused(spark, tmp_path, dims):
     layout = Layout(*[str(tmp_path / name) for name in ("raw", "staging", "conformed", "fact", "int", "mart")])
     land(layout.raw, "2024-02-01", claim("c1"))
@@ -284,8 +448,8 @@ def test_mart_layout(spark, tmp_path):
     writers.write_mart(mart, path)
     by_file = {}
     for row in spark.read.parquet(path).withColumn("f", F.input_file_name()).collect():
-        by_file.setdefault(row.f, []).append((row.service_year, row.service_month))
-    assert all(periods == sorted(periods) for periods in by_file.values())
+        by_file.setdefault(row.f, []).append((row.service_year, row.service_month, row.plan_id))
+    assert all(rows == sorted(rows) and len({r[:2] for r in rows}) == 1 for rows in by_file.values())
     assert sum(map(len, by_file.values())) == 1000
 
 
@@ -299,6 +463,14 @@ def test_sql_views(spark, table, dims):
     publish_views(readers.conformed_claims(spark, table).select(*FACT_COLUMNS), *dims[2:], "2024-02-01 00:00:00")
     # No member ids in this table, so the staging filter leaves nothing.
     assert spark.sql("select count(*) as n from mart_claims_summary").first().n == 0
+    rows = readers.conformed_claims(spark, table).where("claim_id = 'a'").withColumns(
+        {"member_id": F.lit("M1"), "billed_amount": F.lit(90.0), "service_date": F.lit("2024-01-10").cast("date")}
+    )
+    twice = rows.withColumn("paid_amount", F.lit(80.0)).unionByName(
+        rows.withColumns({"paid_amount": F.lit(10.0), "run_date": F.lit("r2")})
+    )
+    publish_views(twice.select(*FACT_COLUMNS), *dims[2:], "2024-02-01 00:00:00")
+    assert [float(r.total_paid) for r in spark.sql("select total_paid from mart_claims_summary").collect()] == [10.0]
     register_mask(spark)
     expected = "ca978112ca1bbdcafac231b39a23dc4da786eff8147c4e72b9807785afee48bb"
     assert spark.sql("select pii_mask('a') as m").first().m == expected

@@ -71,7 +71,8 @@ def repeated_words(words: Column, width: int = WINDOW) -> Column:
 def base_measures(docs: DataFrame) -> DataFrame:
     """``docs`` with the measures of the whole text (null: empty).
 
-    ``n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words``.
+    ``n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words`` and
+    ``n_again``, the words equal to the word before.
     """
     text = text_or_empty()
     words = words_of(text)
@@ -83,6 +84,9 @@ def base_measures(docs: DataFrame) -> DataFrame:
             F.size(w).cast("long").alias("n_words"),
             chars.alias("word_chars"),
             repeated_words(w).alias("n_repeat_words"),
+            F.size(F.filter(w, lambda word, i: (i > 0) & (word == F.get(w, F.greatest(i - 1, F.lit(0))))))
+            .cast("long")
+            .alias("n_again"),
         )
 
     def in_lines(found: Column) -> Column:
@@ -115,7 +119,8 @@ def rules() -> dict[str, Column]:
         "symbols": 10 * F.col("n_symbols") > F.col("n_words"),
         "word_length": (F.col("word_chars") < 2 * F.col("n_words"))
         | (F.col("word_chars") > 25 * F.col("n_words")),
-        "lines": 10 * F.col("n_dup_lines") > 3 * F.col("n_lines"),
+        "lines": (F.col("n_dup_lines") >= 3) & (10 * F.col("n_dup_lines") > 3 * F.col("n_lines")),
+        "again": 5 * F.col("n_again") > F.col("n_words"),
         "capitals": 2 * capitals > letters,
         "letters": 2 * letters < F.col("word_chars"),
         "exclamations": 5 * loud > F.col("n_words"),
@@ -161,7 +166,7 @@ def judge(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     ``docs`` that are named like a measure are dropped. ``rejected_by`` is the first
     rule in this run's order; ``kept`` is the same in every run.
     """
-    names = {"n_words", "word_chars", "n_repeat_words", "n_lines", "n_dup_lines", "n_symbols",
+    names = {"n_words", "word_chars", "n_repeat_words", "n_lines", "n_dup_lines", "n_symbols", "n_again",
              "base_failed", "kept", "rejected_by", "_words", "_lines"}
     docs = docs.drop(*[name for name in docs.columns if name.lower() in names])
     tests = rules()
@@ -202,6 +207,7 @@ m AS (
          length(text) - length(translate(text, '#*$%&|<>', '')) AS n_symbols,
          len(lines) - len(list_distinct(lines)) AS n_dup_lines,
          coalesce(n, 0) AS n_repeat_words,
+         len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) AS n_again,
          length(regexp_replace(text, '[^\p{L}]', '', 'g')) AS letters,
          length(regexp_replace(text, '[^\p{Lu}]', '', 'g')) AS capitals,
          length(text) - length(translate(text, '!?', '')) AS loud
@@ -209,7 +215,7 @@ m AS (
 b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT (base_failed OR 10 * n_symbols > n_words OR word_chars < 2 * n_words OR word_chars > 25 * n_words
-            OR 10 * n_dup_lines > 3 * n_lines OR 2 * capitals > letters OR 2 * letters < word_chars
+            OR (n_dup_lines >= 3 AND 10 * n_dup_lines > 3 * n_lines) OR 5 * n_again > n_words OR 2 * capitals > letters OR 2 * letters < word_chars
             OR 5 * loud > n_words) AS kept
 FROM b
 """

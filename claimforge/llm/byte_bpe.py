@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimforge.llm.shared import table
+from claimforge.llm.shared import arrow_batches, table
 from claimforge.session import scratch_dir
 
 # Characters of a block; a longer document is a block of its own.
@@ -197,7 +197,8 @@ def encode(
     split = split_words(docs.select(F.col("doc_id").cast("long"), "text"), pattern, block_chars)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     write = split.write.option("compression", "zstd").option("path", path).partitionBy("kind")
-    write.bucketBy(buckets, "block").saveAsTable(name)
+    with arrow_batches(spark, 1000):
+        write.bucketBy(buckets, "block").saveAsTable(name)
     split = spark.table(name)
     words = split.where(F.col("kind") == WORD).select("place", "data")
     return assemble(split, encode_words(words, ranks, pattern))

@@ -144,22 +144,23 @@ def row_count_trend(
 ) -> DataFrame:
     """Each day's count beside the average of the counted days among the ``days`` before it.
 
-    A day's count is sent to the days that look back on it and averaged there, so
-    no ordered pass over all days is needed. ``min_share`` sets ``suspicious`` when
-    the count is below that share of the average.
+    A day's count is sent to itself and to the days that look back on it and summed up
+    there, so ``counts`` is read once and no ordered pass over all days is needed.
+    ``min_share`` sets ``suspicious`` when the count is below that share of the average.
     """
-    targets = F.sequence(F.date_add("day", 1), F.date_add("day", days))
-    average = F.try_divide(F.sum("rows").cast("double"), F.count("rows"))
-    before = (
-        counts.where(F.col("day").isNotNull())
-        .select(F.explode(targets).alias("day"), "rows")
-        .groupBy("day")
-        .agg(F.round(average, 4).alias("avg_before"))
+    later = F.explode(F.sequence(F.lit(0), F.lit(days))).alias("later")
+    sent = counts.select("day", F.col("rows").alias("n"), later).where("later = 0 or day is not null")
+    own, before = F.when(F.col("later") == 0, F.col("n")), F.when(F.col("later") > 0, F.col("n"))
+    average = F.try_divide(F.sum(before).cast("double"), F.count(before))
+    found = (
+        sent.groupBy(F.date_add("day", F.col("later")).alias("day"))
+        .agg(F.max(own).alias("rows"), F.round(average, 4).alias("avg_before"))
+        .where(F.col("rows").isNotNull())
     )
     low = F.lit(None).cast("boolean")
     if min_share is not None:
         low = F.col("rows") < F.lit(min_share) * F.col("avg_before")
-    return counts.join(before, "day", "left").withColumn("suspicious", low)
+    return found.withColumn("suspicious", low)
 
 
 def validation_counts(raw: DataFrame) -> DataFrame:

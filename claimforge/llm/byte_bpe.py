@@ -34,6 +34,7 @@ from claimforge.session import scratch_dir
 # Characters of a block; a longer document is a block of its own.
 BLOCK_CHARS = 32 << 20
 DOCUMENT, WORD = 0, 1
+BYTES, DIGESTS = ("ids", "decoded"), ("ids_sha256", "decoded_sha256")
 SPLIT = "kind int, block long, place long, id long, data binary"
 CODED = "block long, items binary, sizes binary, ids binary"
 # Encoded words that a task holds before it hands them on.
@@ -164,8 +165,17 @@ def _piece_encoder(ranks: dict[bytes, int], pattern: str) -> Callable[[bytes], l
     return encoding._encode_single_piece
 
 
-def assemble(split: DataFrame, coded: DataFrame) -> DataFrame:
-    """``doc_id, ids`` (little-endian 32-bit) of every document, block by block."""
+def assemble(
+    split: DataFrame,
+    coded: DataFrame,
+    finish: Callable[[pa.Array, pa.Array], dict[str, pa.Array]] | None = None,
+    schema: str = "doc_id long, ids binary",
+) -> DataFrame:
+    """``doc_id, ids`` (little-endian 32-bit) of every document, block by block.
+
+    ``finish`` may turn a block's ids and documents into other columns in the same task;
+    a further Python step would need a second worker beside this one.
+    """
 
     def run(docs: pa.Table, words: pa.Table) -> pa.Table:
         items = [np.cumsum(unpack(x), dtype=np.int64) for x in words["items"].to_pylist()]
@@ -176,10 +186,11 @@ def assemble(split: DataFrame, coded: DataFrame) -> DataFrame:
         starts = offsets(sizes[order])
         codes = docs["data"].to_pylist()
         ids = [gather(unpack(x).astype(np.int64), starts, values).astype("<u4").tobytes() for x in codes]
-        return pa.table({"doc_id": docs["id"], "ids": pa.array(ids, pa.binary())})
+        doc_ids, ids = docs["id"].combine_chunks(), pa.array(ids, pa.binary())
+        return pa.table(finish(doc_ids, ids) if finish else {"doc_id": doc_ids, "ids": ids})
 
     docs = split.where(F.col("kind") == DOCUMENT).select("block", "id", "data").groupBy("block")
-    return docs.cogroup(coded.groupBy("block")).applyInArrow(run, "doc_id long, ids binary")
+    return docs.cogroup(coded.groupBy("block")).applyInArrow(run, schema)
 
 
 def encode(
@@ -191,6 +202,13 @@ def encode(
     empty table gives an empty result. Ids are little-endian unsigned 32-bit integers.
     Each match of ``pattern`` is encoded by ``ranks`` alone; there are no special tokens.
     """
+    return assemble(*_coded_blocks(docs, ranks, pattern, block_chars))
+
+
+def _coded_blocks(
+    docs: DataFrame, ranks: dict[bytes, int], pattern: str, block_chars: int
+) -> tuple[DataFrame, DataFrame]:
+    """The stored blocks, and their words' ids."""
     spark = docs.sparkSession
     path = scratch_dir(spark, "bpe")
     name = path.rsplit("/", 1)[1].replace("-", "_")
@@ -201,50 +219,61 @@ def encode(
         write.bucketBy(buckets, "block").saveAsTable(name)
     split = spark.table(name)
     words = split.where(F.col("kind") == WORD).select("place", "data")
-    return assemble(split, encode_words(words, ranks, pattern))
+    return split, encode_words(words, ranks, pattern)
+
+
+def token_table(ranks: dict[bytes, int]) -> tuple[np.ndarray, bytes]:
+    """Where each id's bytes begin, and the bytes of all ids; as large as the vocabulary."""
+    tokens = [b""] * (max(ranks.values()) + 1)
+    for token, rank in ranks.items():
+        tokens[rank] = token
+    return offsets(map(len, tokens)), b"".join(tokens)
+
+
+def _decoded(
+    doc_ids: pa.Array, ids: pa.Array, tokens: tuple[np.ndarray, bytes], digests: bool
+) -> dict[str, pa.Array]:
+    """Columns of ``decode`` for some documents."""
+    starts, blob = tokens[0], np.frombuffer(tokens[1], np.uint8)
+    counts, first, second = [], [], []
+    for data in ids:
+        data = data.as_py() or b""
+        decoded = gather(np.frombuffer(data, "<u4").astype(np.int64), starts, blob).tobytes()
+        counts.append(len(data) // 4)
+        first.append(hashlib.sha256(data).hexdigest() if digests else data)
+        second.append(hashlib.sha256(decoded).hexdigest() if digests else decoded)
+    kind, names = (pa.string(), DIGESTS) if digests else (pa.binary(), BYTES)
+    columns = doc_ids, pa.array(counts, pa.int64()), pa.array(first, kind), pa.array(second, kind)
+    return dict(zip(["doc_id", "n_tokens", *names], columns, strict=True))
 
 
-def decode(encoded: DataFrame, ranks: dict[bytes, int], digests: bool = False) -> DataFrame:
-    """``doc_id, ids`` with ``n_tokens`` and ``decoded`` bytes, or the digests of both.
+def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
+    """``doc_id, ids`` with ``n_tokens`` and ``decoded`` bytes.
 
     The token-byte table is the vocabulary, whose size does not depend on the data: it
     is broadcast, and a batch of ids is looked up in it at once. An id that the table
     doesn't have is an error.
     """
-    top = max(ranks.values()) + 1
-    tokens = [b""] * top
-    for token, rank in ranks.items():
-        tokens[rank] = token
-    shared = encoded.sparkSession.sparkContext.broadcast((offsets(map(len, tokens)), b"".join(tokens)))
+    shared = encoded.sparkSession.sparkContext.broadcast(token_table(ranks))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        starts, blob = shared.value
-        blob = np.frombuffer(blob, np.uint8)
         for batch in batches:
-            counts, first, second = [], [], []
-            for data in batch.column(1):
-                data = data.as_py() or b""
-                decoded = gather(np.frombuffer(data, "<u4").astype(np.int64), starts, blob).tobytes()
-                counts.append(len(data) // 4)
-                first.append(hashlib.sha256(data).hexdigest() if digests else data)
-                second.append(hashlib.sha256(decoded).hexdigest() if digests else decoded)
-            kind = pa.string() if digests else pa.binary()
-            yield pa.record_batch(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(first, kind), pa.array(second, kind)],
-                names=names,
-            )
+            columns = _decoded(batch.column(0), batch.column(1), shared.value, False)
+            yield pa.record_batch(list(columns.values()), names=list(columns))
 
-    names = ["doc_id", "n_tokens", *(["ids_sha256", "decoded_sha256"] if digests else ["ids", "decoded"])]
-    kind = "string" if digests else "binary"
-    return encoded.mapInArrow(run, f"doc_id long, n_tokens long, {names[2]} {kind}, {names[3]} {kind}")
+    return encoded.mapInArrow(run, "doc_id long, n_tokens long, ids binary, decoded binary")
 
 
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded_digests(table(spark, sf_dir, "documents"))
 
 
-def encoded_digests(docs: DataFrame) -> DataFrame:
+def encoded_digests(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """``doc_id, n_tokens`` and the digests of each row's ids and of the bytes they decode to."""
     import public_tokenizers
 
     ranks = read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    return decode(encode(docs, ranks, public_tokenizers.PATTERN), ranks, digests=True)
+    shared = docs.sparkSession.sparkContext.broadcast(token_table(ranks))
+    blocks = _coded_blocks(docs, ranks, public_tokenizers.PATTERN, block_chars)
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return assemble(*blocks, lambda doc_ids, ids: _decoded(doc_ids, ids, shared.value, True), schema)

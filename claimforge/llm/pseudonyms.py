@@ -25,22 +25,47 @@ FIRST_DAY, DAYS = "1900-01-01", 73_045  # 7 * 10,435 days, to the end of 2099
 
 # Names of secrets that an assignment may follow.
 SECRETS = r"(?:password|passwd|pwd|passphrase|secret|token|api[_-]?key|access[_-]?key|auth)"
+# Lengths of account numbers in the IBAN registry, and in the list of countries that use
+# the format without being in it.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "AO CV GW LY MZ PT ST", 26: "DZ IR IS TR", 27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD",
+    28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban_of(length: int, countries: str) -> str:
+    """Numbers of that length, in groups of four or without spaces."""
+    groups, rest = divmod(length - 4, 4)
+    tail = rf" ?[A-Z0-9]{{{rest}}}" if rest else ""
+    return rf"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{groups}}}{tail}(?![A-Za-z0-9])"
+
+
+KNOWN_IBAN = f"(?:{'|'.join(_iban_of(length, countries) for length, countries in IBAN_LENGTHS.items())})"
 # Patterns of one kind each, tried in this order at every place of a text. All repetitions
 # are bounded or possessive, so the search is linear in the text.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}+\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])",
-    "secret": rf"(?<![A-Za-z])(?i:{SECRETS})[ \t]{{0,3}}[=:][ \t]{{0,3}}[\"']?[A-Za-z0-9_+/=-]{{8,200}}+[\"']?",
+    "secret": rf"(?<![A-Za-z])(?i:{SECRETS})[ \t]{{0,3}}[=:][ \t]{{0,3}}[\"']?[A-Za-z0-9_+/=-]{{8,}}+[\"']?",
     "key": r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])",
     "ip": r"(?<![\w.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9])(?!\.[0-9])",
-    "phone": r"(?<![\w+])(?:\+[0-9]{1,3}[ .-]?)?\([0-9]{2,4}\)[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}(?![0-9])"
+    # North American numbers, other area codes in brackets, then up to the 15 digits of
+    # E.164 in groups of any size: a number ends where a group does.
+    "phone": r"(?<![\w+])(?:\+1[ .-]?)?\([0-9]{3}\)[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])"
+    r"|(?<![\w+])(?:\+[0-9]{1,3}[ .-]?)?\([0-9]{1,5}\)(?:[ .-]?[0-9]){6,12}(?![0-9])"
+    r"|(?<![\w+])\+[0-9](?:[ .-]?[0-9]){8,14}(?![0-9])"
+    r"|(?<![\w+])\+[0-9]{1,3}(?=[ .-])(?:[ .-]?[0-9]){6,13}(?![0-9])"
     r"|(?<![\w+])\+[0-9]{1,3}(?:[ .-][0-9]{2,8}){1,4}(?![0-9])"
-    r"|(?<![\w+])\+[0-9]{9,14}(?![0-9])"
     r"|(?<![\w.-])[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}(?![0-9-])",
     "card": r"(?<![0-9])(?:[0-9]{4}-[0-9]{4}-[0-9]{4}-[0-9]{4}|[0-9]{4} [0-9]{4} [0-9]{4} [0-9]{4}"
     r"|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5}|[0-9]{13,19})(?![0-9])",
     "ssn": r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])",
     "date": r"(?<![\w/.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![\w/-])",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    # A number of a known country has its length; any other takes no group that begins one.
+    "iban": rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?:{KNOWN_IBAN}"
+    rf"|[A-Z]{{2}}[0-9]{{2}}(?:(?! {KNOWN_IBAN}) ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?(?![A-Za-z0-9]))",
 }
 PATTERN = "|".join(f"(?:{pattern})" for pattern in PATTERNS.values())
 # No text without one of these has a match.
@@ -92,7 +117,7 @@ def day_number(value: Column) -> Column:
 def kind_of(match: Column) -> Column:
     """The kind of a matched text whose value is valid, null otherwise."""
     valid = {
-        "secret": match.rlike("[=:].*[0-9]"),
+        "secret": match.rlike("^[^=:]*[=:][^0-9]*[0-9]"),
         "ip": F.forall(F.split(match, r"\."), lambda octet: (octet.cast("int") <= 255) & ~octet.rlike("^0[0-9]")),
         "card": F.pmod(luhn_sum(digits_of(match)), F.lit(10)) == 0,
         "ssn": ~match.rlike("^(?:000|666|9)") & ~match.rlike("-00-|-0000$"),
@@ -129,15 +154,21 @@ def places(match: Column, kind: Column) -> Column:
     """The value as an array of ``value, radix, base``; a radix of 1 is a fixed place."""
     first, behind = _span(match, kind)
     # Lower-case hexadecimal secrets stay hexadecimal.
-    letters = F.when((kind == "secret") & match.rlike("[=:][ \t\"']*[0-9a-f]+[\"']?$"), F.lit(6)).otherwise(F.lit(26))
+    letters = F.when(
+        (kind == "secret") & match.rlike("^[^=:]*[=:][ \t\"']*[0-9a-f]+[\"']?$"), F.lit(6)
+    ).otherwise(F.lit(26))
+    frame = F.struct(first.alias("first"), behind.alias("behind"), letters.alias("letters"))
 
-    def char(i: Column) -> Column:
-        code = F.ascii(F.substring(match, i, F.lit(1)))
-        inside = (i > first) & (i <= behind)
+    def chars(frame: Column) -> Column:
+        # All matches are ASCII; one split, as a place is not found in a long text at once.
+        return F.transform(F.split(match, ""), lambda c, i: char(F.ascii(c), i, frame))
+
+    def char(code: Column, i: Column, frame: Column) -> Column:
+        inside = (i >= frame["first"]) & (i < frame["behind"])
         base = F.when((code >= 48) & (code <= 57), 48).when((code >= 97) & (code <= 122), 97).when(
             (code >= 65) & (code <= 90), 65
         )
-        radix = F.when(base == 48, F.lit(10)).when(base == 97, letters).otherwise(F.lit(26))
+        radix = F.when(base == 48, F.lit(10)).when(base == 97, frame["letters"]).otherwise(F.lit(26))
         open_ = inside & base.isNotNull()
         return F.struct(
             F.when(open_, code - base).otherwise(0).alias("value"),
@@ -158,40 +189,51 @@ def places(match: Column, kind: Column) -> Column:
     return (
         F.when(kind == "ip", F.transform(F.split(match, r"\."), octet))
         .when(kind == "date", week)
-        .otherwise(F.transform(F.sequence(F.lit(1), F.length(match)), char))
+        .otherwise(let(frame, chars))
     )
 
 
 def feistel(values: Column, radices: Column, secret: Column, rounds: int = ROUNDS) -> Column:
     """Permuted ``values``, each below its radix; ``secret`` is the key and the format's name."""
-    half = F.floor(F.size(radices) / 2).cast("int")
 
-    def one(state: Column, number: Column) -> Column:
-        kept = F.when(number % 2 == 0, F.slice(state, half + 1, F.size(state))).otherwise(F.slice(state, 1, half))
-        text = F.array_join(kept.cast("array<string>"), ",")
-        parts = (secret, number.cast("string"), F.size(state).cast("string"), text)
-        return let(F.sha2(F.concat_ws("|", *parts), 256), lambda digest: turned(state, number, digest))
+    def run(radices: Column) -> Column:
+        half = F.floor(F.size(radices) / 2).cast("int")
+
+        def one(state: Column, number: Column) -> Column:
+            kept = F.when(number % 2 == 0, F.slice(state, half + 1, F.size(state))).otherwise(F.slice(state, 1, half))
+            text = F.array_join(kept.cast("array<string>"), ",")
+            parts = (secret, number.cast("string"), F.size(state).cast("string"), text)
+            return let(F.sha2(F.concat_ws("|", *parts), 256), lambda digest: turned(state, number, digest))
+
+        def turned(state: Column, number: Column, digest: Column) -> Column:
+            def place(x: Column, i: Column) -> Column:
+                radix = F.get(radices, i)
+                more = F.pmod(F.xxhash64(digest, i), radix.cast("long")).cast("int")
+                return F.when((i < half) == (number % 2 == 0), F.pmod(x + more, radix)).otherwise(x)
 
-    def turned(state: Column, number: Column, digest: Column) -> Column:
-        def place(x: Column, i: Column) -> Column:
-            radix = F.get(radices, i)
-            more = F.pmod(F.xxhash64(digest, i), radix.cast("long")).cast("int")
-            return F.when((i < half) == (number % 2 == 0), F.pmod(x + more, radix)).otherwise(x)
+            return F.transform(state, place)
 
-        return F.transform(state, place)
+        return F.aggregate(F.sequence(F.lit(0), F.lit(rounds - 1)), values, one)
 
-    return F.aggregate(F.sequence(F.lit(0), F.lit(rounds - 1)), values, one)
+    return let(radices, run)
 
 
 def respelled(match: Column, kind: Column, all_places: Column, found: Column) -> Column:
     """A match with the permuted values of its free places, and new check digits."""
 
-    def char(x: Column, i: Column) -> Column:
-        # The n-th free place takes the n-th permuted value.
-        number = F.size(F.filter(F.slice(all_places, 1, i), lambda y: y["radix"] > 1))
-        return F.char(F.when(x["radix"] > 1, x["base"] + F.get(found, number)).otherwise(x["base"]))
+    def at(i: Column) -> Column:
+        return F.get(all_places, i)
 
-    chars = F.array_join(F.transform(all_places, char), "")
+    def coded(i: Column, code: Column) -> Column:
+        return F.struct(i.alias("at"), code.alias("code"))
+
+    # The n-th free place takes the n-th permuted value; sorted back between the fixed ones.
+    order = F.sequence(F.lit(0), F.size(all_places) - 1)
+    free = F.zip_with(
+        F.filter(order, lambda i: at(i)["radix"] > 1), found, lambda i, value: coded(i, at(i)["base"] + value)
+    )
+    fixed = F.transform(F.filter(order, lambda i: at(i)["radix"] == 1), lambda i: coded(i, at(i)["base"]))
+    chars = F.array_join(F.transform(F.sort_array(F.concat(free, fixed)), lambda x: F.char(x["code"])), "")
     octets = F.array_join(
         F.transform(all_places, lambda x, i: (x["base"] + F.get(found, i)).cast("string")), "."
     )

@@ -94,3 +94,43 @@ def test_odd_rows(odd, none):
 def test_long_runs_take_linear_time(documents):
     hostile = ["a" * 300_000, "1" * 300_000, "1." * 150_000, "a." * 150_000 + "@", "+1 " * 100_000, "token=" * 50_000]
     assert texts(pseudonymize(documents(enumerate(hostile)))) == hostile
+
+
+def test_account_numbers_end_with_their_country_length(documents):
+    ibans = [
+        "BE68 5390 0754 7034", "AT611904300234573201", "ES91 2100 0418 4502 0005 1332", "PL61 1090 1014 0000 0712 1981 2874",
+        "NO93 8601 1117 947", "DE89 3704 0044 0532 0130 00", "CH93 0076 2011 6238 5295 7",
+    ]
+    words = ["EUR", "IBAN", "BIC", "A", "AB12 CD34", "2024"]
+    rows = [f"from {iban} {word}." for iban in ibans for word in words]
+    rows += [f"XY12 AB34 CD56 {iban}" for iban in ibans] + [f"{a} {b}" for a in ibans for b in ibans]
+    found = pseudonymize(documents(enumerate(rows))).orderBy("doc_id").collect()
+    for row, given in zip(found, rows, strict=True):
+        assert len(row.text) == len(given) and not any(iban in row.text for iban in ibans)
+    for i, row in enumerate(found[: len(ibans) * len(words)]):
+        iban, word = ibans[i // len(words)], words[i % len(words)]
+        assert row.pii_changed == 1 and row.text.endswith(f" {word}.")
+        assert mod97(row.text[5 : 5 + len(iban)]) == 1
+
+
+def test_long_secrets_are_replaced_whole(documents):
+    values = ["a1" * 150, "Zk9_" * 500, "x7" * 60_000, "0f" * 150]
+    found = texts(pseudonymize(documents((i, f"password={v}.") for i, v in enumerate(values))))
+    for text, given in zip(found, values, strict=True):
+        assert len(text) == len(given) + 10 and text.startswith("password=") and text.endswith(".")
+        assert given[:8] not in text and given[-8:] not in text
+    assert re.fullmatch("password=[0-9a-f]{300}[.]", found[3])
+
+
+def test_phones_in_groups_of_any_size(documents):
+    phones = [
+        "+33 1 42 68 53 00", "+45 32 12 34 56", "+1 2 345 678 9012", "+47 2 2 1 2 3 4 5 6", "+49171 1234567", "+442079460958123",
+        "+358 9 123 456", "(030) 123 456 78", "+61 (2) 9374 4000", "+49 30 12 34 56 78 9",
+    ]
+    rows = pseudonymize(documents((i, f"call {p}, now") for i, p in enumerate(phones))).orderBy("doc_id").collect()
+    shape = lambda text: re.sub("[0-9]", "0", text)
+    for row, given in zip(rows, phones, strict=True):
+        assert row.pii_found == row.pii_changed == 1 and shape(row.text) == shape(f"call {given}, now")
+        assert row.text != f"call {given}, now"
+        # The last groups changed too, or by chance kept a digit or two.
+        assert row.text[:-5][-4:] != given[-4:]

@@ -8,6 +8,10 @@ differ in a word or two; sparse ones, which hold a few of a text's terms, still
 when a part of the text was changed. The likeness of two fingerprints is the share of
 equal hashes among the subsets in which either text has a term.
 
+A large group of copies or near copies would push its own terms over the upper end of the
+band. There, a document of such a group counts only as one over the size of the group: it
+is found by the least hashes of its word triples, most of which near copies share.
+
 A term in the band is in at least ``LEAST_SHARE`` of all documents, so the lexicon has at
 most (distinct terms per document) / ``LEAST_SHARE`` terms however large the corpus is.
 It reaches the tasks as a bit map of fixed size: a term outside that falls on a set bit
@@ -16,6 +20,7 @@ counts as a lexicon term, in all texts alike. Terms are 64-bit hashes throughout
 
 from __future__ import annotations
 
+import json
 import math
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,29 +33,90 @@ from claimforge.llm.shared import let, table, text_or_empty
 LEAST_SHARE, MOST_SHARE = 0.005, 0.1
 MAP_BITS = 16
 SEED = 4242
+# Least hashes of a text's word triples; one is hot if this share of the documents have it,
+# so at most SKETCH / HOT_SHARE are. A document weighs ONE if it is in no hot group.
+SKETCH, HOT_SHARE, ONE = 8, 0.005, 1 << 20
+BUCKETS = 256
 # One subset of all terms, then some of every 8th, 32nd, 64th and 128th term.
 SUBSETS = [0] + [3] * 3 + [5] * 6 + [6] * 6 + [7] * 8
 # Ranges of documents in which each finds the next one.
 RANGE_ROWS, MOST_RANGES = 5_000, 1_024
 
 
-def terms(text: Column) -> Column:
-    """Hashes of the distinct words of a text, lower-cased, without punctuation."""
+def term_hashes(text: Column) -> Column:
+    """Hashes of the words of a text in order, lower-cased, without punctuation."""
     words = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda word: word != F.lit(""))
-    return F.array_distinct(F.transform(words, lambda word: F.xxhash64(F.lit(SEED), word)))
+    return F.transform(words, lambda word: F.xxhash64(F.lit(SEED), word))
+
+
+def terms(text: Column) -> Column:
+    """Hashes of the distinct words of a text."""
+    return F.array_distinct(term_hashes(text))
+
+
+def sketch(text: Column) -> Column:
+    """The least hashes of the word triples of a text, at least one; shorter ones end the text."""
+
+    def least(hashes: Column) -> Column:
+        triples = F.transform(hashes, lambda h, i: F.xxhash64(h, F.get(hashes, i + 1), F.get(hashes, i + 2)))
+        return F.slice(F.sort_array(F.array_distinct(triples)), 1, SKETCH)
+
+    found = let(term_hashes(text), least)
+    return F.when(F.size(found) == 0, F.array(F.lit(0).cast("long"))).otherwise(found)
+
+
+def hot_groups(docs: DataFrame, n: int) -> list[list[dict[str, int]]]:
+    """Hashes of ``sketch`` that a large share of the ``n`` documents have, and how many, in buckets."""
+    found = docs.select(F.explode(sketch(text_or_empty())).alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("c"))
+    buckets: list[list[dict[str, int]]] = [[] for _ in range(BUCKETS)]
+    for row in found.where(F.col("c") >= max(2, math.ceil(HOT_SHARE * n))).collect():
+        buckets[row["h"] % BUCKETS].append({"h": row["h"], "c": row["c"]})
+    return buckets
+
+
+def lost_weight(text: Column, groups: list[list[dict[str, int]]]) -> Column:
+    """What a document weighs less than ``ONE``: a group's size is one that half of its sketch has."""
+    if not any(groups):
+        return F.lit(0).cast("long")
+    buckets = F.from_json(F.lit(json.dumps(groups)), "array<array<struct<h: bigint, c: bigint>>>")
+
+    def size(h: Column) -> Column:
+        bucket = F.get(buckets, F.pmod(h, F.lit(BUCKETS)).cast("int"))
+        return F.coalesce(F.get(F.filter(bucket, lambda x: x["h"] == h), F.lit(0))["c"], F.lit(1).cast("long"))
+
+    def middle(sizes: Column) -> Column:
+        return F.get(sizes, F.floor((F.size(sizes) - 1) / 2).cast("int"))
+
+    group = let(F.sort_array(F.transform(sketch(text), size), asc=False), middle)
+    # Whole numbers, so that sums don't depend on their order.
+    return F.lit(ONE) - F.floor(F.lit(ONE) / group).cast("long")
 
 
 def lexicon_map(docs: DataFrame, least: float = LEAST_SHARE, most: float = MOST_SHARE) -> list[int]:
     """Bit map of the terms in the band, as 64-bit words; all documents are counted.
 
-    Document frequencies are pre-aggregated per task, then shuffled by term. The driver
-    receives the words of the map that have a bit, at most 2 ** (MAP_BITS - 6).
+    ``least`` is a share of the rows, ``most`` one of the documents' weight, where a large
+    group of copies or near copies counts about once. Document frequencies are pre-aggregated
+    per task, then shuffled by term. The driver receives the words of the map that have a
+    bit, at most 2 ** (MAP_BITS - 6), and the hot groups.
     """
     text = text_or_empty()
     n = docs.count()
-    found = docs.select(F.explode(terms(text)).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    groups = hot_groups(docs, n)
+    lost = lost_weight(text, groups)
+    all_lost = docs.select(F.sum(lost)).first()[0] if any(groups) else 0
+    found = (
+        # Two steps: beside the explode the weight would be computed for every term.
+        docs.select(terms(text).alias("terms"), lost.alias("lost"))
+        .select(F.explode("terms").alias("term"), "lost")
+        .groupBy("term")
+        .agg(F.count(F.lit(1)).alias("df"), F.sum("lost").alias("lost"))
+    )
+    weight = F.col("df") * F.lit(ONE) - F.col("lost")
     # A term of one document alone tells nothing, however small the corpus.
-    band = found.where((F.col("df") >= max(2, math.ceil(least * n))) & (F.col("df") <= max(2, most * n)))
+    band = found.where(
+        (F.col("df") >= max(2, math.ceil(least * n))) & (weight <= max(2 * ONE, int(most * (n * ONE - all_lost))))
+    )
     place = F.pmod(F.col("term"), F.lit(1 << MAP_BITS))
     words = (
         band.select(F.shiftright(place, 6).alias("word"), F.expr("shiftleft(1L, cast(pmod(term, 64L) as int))").alias("bit"))

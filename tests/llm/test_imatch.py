@@ -1,8 +1,11 @@
 from __future__ import annotations
 
+import random
 import re
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from claimforge.llm import imatch
 
 
@@ -64,3 +67,28 @@ def test_edited_texts(spark):
         edited = text[: len(text) - half] + after[:half]
         assert r.n_chars == len(text) and r.edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
         assert 0 <= r.near_next <= 1 and 0 <= r.near_edited <= 1
+
+
+def test_a_hot_group_keeps_its_own_terms(spark, documents):
+    """A third of the rows are copies and near copies, of one long and one short text."""
+    rng = random.Random(5)
+    fill = [f"fill{i}" for i in range(3000)]
+    bases = [[f"{name}{i}" for i in range(size)] for name, size in (("long", 60), ("short", 10))]
+    texts = [" ".join(["common", *rng.choices(fill, k=30)]) for _ in range(800)]
+    for base in bases:
+        for k in range(200):
+            near = list(base)
+            if k % 4:
+                near[rng.randrange(len(near))] = f"edit{rng.randrange(10**9)}"
+            texts.append(" ".join(["common", *near]))
+    docs = documents(enumerate(texts))
+    bits = imatch.lexicon_map(docs)
+    words = [w for base in bases for w in base] + ["common"]
+    row = spark.range(1).select(*[imatch.terms(F.lit(w))[0].alias(w) for w in words]).first()
+    known = {w: bits[(row[w] % (1 << imatch.MAP_BITS)) // 64] >> row[w] % 64 & 1 for w in words}
+    assert not known.pop("common") and all(known.values())
+    found = imatch.fingerprints(docs).orderBy("doc_id").select("hashes").collect()
+    # A near copy agrees with the text itself in some subset, as few as its terms are.
+    for start in (800, 1000):
+        pairs = [zip(found[start].hashes, row.hashes, strict=True) for row in found[start : start + 200]]
+        assert sum(any(a is not None and a == b for a, b in pair) for pair in pairs) > 150

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimforge.llm.shared import fold, labelled_sample, table
+from claimforge.llm.shared import class_weights, fold, labelled_sample, table
 
 # Labelled rows of each class that the space is fitted on and that vote.
 TRAIN_ROWS = 2000
@@ -90,6 +90,8 @@ class Space:
     axes: np.ndarray
     vectors: np.ndarray
     labels: np.ndarray
+    # How many labelled rows each vector stands for.
+    stands_for: np.ndarray
     prior: float
 
     def project(self, rows: np.ndarray) -> np.ndarray:
@@ -107,7 +109,7 @@ class Space:
         for rows in counts([texts[i] for i in whole]):
             cosines = self.project(rows) @ self.vectors.T
             near = np.argpartition(-cosines, k - 1, axis=1)[:, :k]
-            votes = np.maximum(np.take_along_axis(cosines, near, 1), 1e-3) ** SHARPNESS
+            votes = np.maximum(np.take_along_axis(cosines, near, 1), 1e-3) ** SHARPNESS * self.stands_for[near]
             scores[whole[at : at + len(rows)]] = (votes * self.labels[near]).sum(1) / votes.sum(1)
             at += len(rows)
         return np.clip(scores, 0, 1)
@@ -120,39 +122,46 @@ def weighted(rows: np.ndarray) -> np.ndarray:
     return np.hstack([pairs, rows[:, PAIRS:]])
 
 
-def fit_space(texts: list[str], labels: list[int]) -> Space:
-    """Latent space of labelled texts; empty ones are left out."""
+def fit_space(texts: list[str], labels: list[int], weights: tuple[float, float] = (1.0, 1.0)) -> Space:
+    """Latent space of labelled texts; empty ones are left out.
+
+    In votes and in the prior a text of label 0 or 1 counts ``weights`` times.
+    """
     used = [(text, label) for text, label in zip(texts, labels, strict=True) if text and text.strip()]
-    prior = float(np.mean([label for _, label in used])) if used else 0.5
+    stands_for = np.array([weights[label] for _, label in used], np.float32)
+    prior = float(np.average([label for _, label in used], weights=stands_for)) if used else 0.5
     if not used:
         none = np.zeros((0, 0), np.float32)
-        return Space(none, none, none, none, none, prior)
+        return Space(none, none, none, none, none, stands_for, prior)
     rows = weighted(np.vstack(list(counts([text for text, _ in used]))))
     n = len(rows)
     frequency = np.log((1 + n) / (1 + (rows[:, :PAIRS] > 0).sum(0))) + 1
-    weights = np.concatenate((frequency, np.full(FORMS, FORM_WEIGHT / FORMS**0.5))).astype(np.float32)
-    rows = rows * weights
+    term_weights = np.concatenate((frequency, np.full(FORMS, FORM_WEIGHT / FORMS**0.5))).astype(np.float32)
+    rows = rows * term_weights
     mean = rows.mean(0)
     spread = (rows - mean).astype(np.float64)
     _, axes = np.linalg.eigh(spread.T @ spread)
     axes = axes[:, ::-1][:, :RANK].astype(np.float32)
-    space = Space(weights, mean, axes, rows[:0], rows[:0], prior)
     latent = (spread @ axes).astype(np.float32)
     latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-9)
-    return Space(space.weights, mean, axes, latent, np.array([y for _, y in used], np.float32), prior)
+    return Space(term_weights, mean, axes, latent, np.array([y for _, y in used], np.float32), stands_for, prior)
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Space:
-    """The space of at most ``rows`` labelled documents of each class, held-out ones excluded."""
-    sample = labelled_sample(docs, labels, "quality", fold("doc_id", 5) != 0, rows)
-    found = sample.orderBy("doc_id").toPandas()
-    return fit_space(found["text"].tolist(), found["label"].astype(int).tolist())
+    """The space of at most ``rows`` labelled documents of each class, held-out ones excluded.
+
+    The classes vote with their shares of all labels that are not held out.
+    """
+    keep = fold("doc_id", 5) != 0
+    found = labelled_sample(docs, labels, "quality", keep, rows).orderBy("doc_id").toPandas()
+    weights = class_weights(labels, "quality", keep, rows)
+    return fit_space(found["text"].tolist(), found["label"].astype(int).tolist(), weights)
 
 
 def rate(docs: DataFrame, space: Space) -> DataFrame:
     """``doc_id, score, predicted`` for every row of ``docs`` (``doc_id, text``).
 
-    Null, empty and blank texts have the label share of the sample as score; repeated
+    Null, empty and blank texts have the share of label 1 as score; repeated
     rows and null ids get a row each; an empty table gives an empty result. Other
     columns are ignored. Without labelled rows every score is 0.5.
     """

@@ -65,6 +65,17 @@ def fold(doc_id: str, folds: int) -> Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % folds
 
 
+def class_weights(labels: DataFrame, label: str, keep: Column, per_class: int) -> tuple[float, float]:
+    """How many labels that pass ``keep`` a row of ``labelled_sample`` stands for, for label 0 and 1.
+
+    With these weights the classes have their shares of all labels, whether or not
+    ``per_class`` binds; 1 where it does not.
+    """
+    usable = labels.where(keep & F.col("doc_id").isNotNull())
+    counts = usable.agg(*[F.count_if(F.col(label) == value) for value in (0, 1)]).first()
+    return max(1.0, counts[0] / per_class), max(1.0, counts[1] / per_class)
+
+
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, label: str, keep: Column, per_class: int
 ) -> DataFrame:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimforge.llm.shared import fold, labelled_sample, table
+from claimforge.llm.shared import class_weights, fold, labelled_sample, table
 
 # Labelled rows of each class that the lexicon is learned from, and their longest text.
 TRAIN_ROWS = 4000
@@ -176,9 +176,11 @@ def one_per_family(texts: list[str], labels: list[int]) -> tuple[list[str], list
     return list(kept), list(kept.values())
 
 
-def learn(texts: list[str], labels: list[int]) -> Grammar:
+def learn(texts: list[str], labels: list[int], weights: tuple[float, float] = (1.0, 1.0)) -> Grammar:
     """Words and word beginnings that tell toxic texts from clean ones, with log-odds weights.
 
+    A clean and a toxic text stand for ``weights`` texts in the calibration.
+
     Copies and near copies count once, else their shared words would look telling. Of
     candidates that extend each other the most specific one is taken that loses no
     more than a tenth of the toxic texts.
@@ -213,28 +215,35 @@ def learn(texts: list[str], labels: list[int]) -> Grammar:
         taken[best] = math.log(odds)
     words = {c[:-1]: weight for c, weight in taken.items() if c.endswith("$")}
     stems = {c: weight for c, weight in taken.items() if not c.endswith("$")}
-    return calibrated(Grammar(dict.fromkeys(THREATS, THREAT_WEIGHT) | words, stems), texts, labels)
+    return calibrated(Grammar(dict.fromkeys(THREATS, THREAT_WEIGHT) | words, stems), texts, labels, weights)
 
 
-def calibrated(grammar: Grammar, texts: list[str], labels: list[int]) -> Grammar:
-    """Logistic regression of the label on log(1 + total), a little regularised."""
+def calibrated(
+    grammar: Grammar, texts: list[str], labels: list[int], weights: tuple[float, float] = (1.0, 1.0)
+) -> Grammar:
+    """Logistic regression of the label on log(1 + total), weighted by label, a little regularised."""
     reader = Reader(grammar)
     x = np.log1p([reader.total(text)[0] for text in texts])
     rows, y = np.column_stack([x, np.ones_like(x)]), np.array(labels, float)
     beta, pull = np.zeros(2), np.diag([0.05, 0.05])
+    count = np.where(y > 0, weights[1], weights[0])
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(rows @ beta, -30, 30)))
-        hessian = (rows * (p * (1 - p))[:, None]).T @ rows + pull
-        beta = beta + np.linalg.solve(hessian, rows.T @ (y - p) - pull @ beta)
+        hessian = (rows * (count * p * (1 - p))[:, None]).T @ rows + pull
+        beta = beta + np.linalg.solve(hessian, rows.T @ (count * (y - p)) - pull @ beta)
     return Grammar(grammar.words, grammar.stems, float(beta[0]), float(beta[1]))
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Grammar:
-    """Learn from at most ``rows`` labelled documents of each class, held-out ones excluded."""
+    """Learn from at most ``rows`` labelled documents of each class, held-out ones excluded.
+
+    The classes are calibrated with their shares of all labels that are not held out.
+    """
     keep = fold("doc_id", 4) != 2
     sample = labelled_sample(docs, labels, "toxic", keep, rows).where(F.length("text") <= TRAIN_CHARS)
     found = sample.select("text", "label").toPandas()
-    return learn(found["text"].tolist(), found["label"].astype(int).tolist())
+    weights = class_weights(labels, "toxic", keep, rows)
+    return learn(found["text"].tolist(), found["label"].astype(int).tolist(), weights)
 
 
 def rate(docs: DataFrame, grammar: Grammar) -> DataFrame:

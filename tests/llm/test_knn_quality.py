@@ -54,3 +54,18 @@ def test_odd_rows(spark, space, odd, none):
     assert knn_quality.rate(none, space).collect() == []
     blank = knn_quality.fit_space(["", " "], [1, 0])
     assert blank.score(["some text", None]).tolist() == [0.5, 0.5]
+
+
+def test_prior_and_votes_do_not_drift_with_a_capped_sample(spark, space):
+    docs, labels = (spark.read.parquet(f"{CHECKED}/{name}.parquet") for name in ("documents", "labels"))
+    capped = knn_quality.fit(docs, labels, 60)
+    assert len(capped.labels) <= 120 and abs(capped.prior - space.prior) < 0.03
+    texts = [r.text for r in docs.orderBy("doc_id").take(300)]
+    assert abs(capped.score(texts).mean() - space.score(texts).mean()) < 0.05
+
+
+def test_votes_count_what_they_stand_for():
+    texts, labels = ["same words here"] * 4, [0, 0, 1, 1]
+    assert knn_quality.fit_space(texts, labels).score(texts[:1]) == pytest.approx(0.5)
+    found = knn_quality.fit_space(texts, labels, (1.0, 6.0))
+    assert found.prior == pytest.approx(6 / 7) and found.score(["", texts[0]]) == pytest.approx(6 / 7)

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 from claimforge.llm import toxicity
+from claimforge.llm.shared import class_weights, fold
 from claimforge.llm.toxicity import Grammar, Reader
 
 CHECKED = "/root/testdata/sf0.01"
@@ -65,3 +66,21 @@ def test_odd_rows(odd, none):
     assert toxicity.rate(none, grammar).collect() == []
     empty = toxicity.learn([], [])
     assert Reader(empty).total("what an idiot")[0] == 0 and Reader(Grammar({}, {})).total("x") == (0.0, 0)
+
+
+def test_calibration_does_not_drift_with_a_capped_sample():
+    grammar = Grammar({"idiot": 5.0}, {})
+    clean = ["a fine day"] * 760 + ["he is not an idiot"] * 40
+    toxic = ["fine again"] * 10 + ["you idiot"] * 90
+    whole = toxicity.calibrated(grammar, clean + toxic, [0] * 800 + [1] * 100)
+    # Every eighth clean text, as under a cap of 100 rows a class.
+    capped = toxicity.calibrated(grammar, clean[::8] + toxic, [0] * 100 + [1] * 100, (8.0, 1.0))
+    assert capped.slope == pytest.approx(whole.slope, abs=0.05) and capped.shift == pytest.approx(whole.shift, abs=0.05)
+
+
+def test_class_weights_are_counted_over_all_training_labels(spark):
+    rows = [(i, int(i % 10 == 0)) for i in range(1000)] + [(None, 1)]
+    labels = spark.createDataFrame(rows, "doc_id long, toxic int")
+    keep = fold("doc_id", 4) != 2
+    n = [labels.where(keep & labels.doc_id.isNotNull() & (labels.toxic == value)).count() for value in (0, 1)]
+    assert class_weights(labels, "toxic", keep, 100) == (n[0] / 100, 1.0)

@@ -28,12 +28,13 @@ from claimforge.llm.shared import class_weights, fold, labelled_sample, table
 TRAIN_ROWS = 4000
 TRAIN_CHARS = 200_000
 THRESHOLD = 0.3
-MAX_STEMS = 256
 PREFIXES = (3, 4, 5, 6, 7)
 # A candidate's share of clean texts, against toxic ones, stays below this.
 LEAK = 0.03
-# It is in three toxic texts at least, and in this share of them.
+# It is in three toxic texts at least, and either in this share of them or so often that the
+# count has less than this chance if toxic and clean texts had it alike.
 SUPPORT = 0.02
+CHANCE = 1e-6
 
 THREATS = "kill murder stab shoot strangle hurt töten umbringen erschießen tuer tuerai matar mataré asesinar".split()
 TARGETS = (
@@ -176,6 +177,18 @@ def one_per_family(texts: list[str], labels: list[int]) -> tuple[list[str], list
     return list(kept), list(kept.values())
 
 
+def chance(toxic: int, clean: int, share: float) -> float:
+    """Probability that at most ``clean`` of ``toxic + clean`` texts are clean, if ``share`` are toxic."""
+    n = toxic + clean
+    return sum(
+        math.exp(
+            math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1)
+            + (n - i) * math.log(share) + i * math.log1p(-share)
+        )
+        for i in range(clean + 1)
+    )
+
+
 def learn(texts: list[str], labels: list[int], weights: tuple[float, float] = (1.0, 1.0)) -> Grammar:
     """Words and word beginnings that tell toxic texts from clean ones, with log-odds weights.
 
@@ -195,7 +208,9 @@ def learn(texts: list[str], labels: list[int], weights: tuple[float, float] = (1
     good = {
         c: k
         for c, k in toxic.items()
-        if k >= max(3, SUPPORT * n[1]) and (clean[c] + 0.5) / n[0] <= LEAK * k / n[1]
+        if k >= 3
+        and (clean[c] + 0.5) / n[0] <= LEAK * k / n[1]
+        and (k >= SUPPORT * n[1] or chance(k, clean[c], n[1] / sum(n)) <= CHANCE)
     }
     longer = defaultdict(list)
     for c in good:
@@ -204,8 +219,6 @@ def learn(texts: list[str], labels: list[int], weights: tuple[float, float] = (1
                 longer[c[:size]].append(c)
     taken: dict[str, float] = {}
     for c in sorted(good, key=lambda c: (-good[c], c)):
-        if len(taken) == MAX_STEMS:
-            break
         if any(c[:size] in taken for size in range(PREFIXES[0], len(c) + 1)):
             continue
         if any(e in taken and good[e] >= 0.8 * good[c] for e in longer[c]):

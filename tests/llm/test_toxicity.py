@@ -84,3 +84,22 @@ def test_class_weights_are_counted_over_all_training_labels(spark):
     keep = fold("doc_id", 4) != 2
     n = [labels.where(keep & labels.doc_id.isNotNull() & (labels.toxic == value)).count() for value in (0, 1)]
     assert class_weights(labels, "toxic", keep, 100) == (n[0] / 100, 1.0)
+
+
+def test_rare_insults_have_a_weight_by_count():
+    rng = np.random.default_rng(2)
+    word = lambda: "".join(rng.choice(list("bcdfghjk"), 6))
+    text = lambda *more: " ".join([*(word() for _ in range(8)), *more])
+    clean = [text() for _ in range(2500)]
+    toxic = [text("scumbag") for _ in range(2400)] + [text("rotter") for _ in range(25)] + [text("seldom") for _ in range(5)]
+    grammar = toxicity.learn(clean + toxic, [0] * len(clean) + [1] * len(toxic))
+    # In about 1% of the toxic texts; five texts of an even sample may be chance.
+    assert grammar.weight("rotter") > 0 and grammar.weight("scumbag") > 0 and grammar.weight("seldom") == 0
+
+
+def test_the_lexicon_has_no_greatest_size():
+    names = [a + b + c + "x" * 3 for a in "abcdefgh" for b in "ijklmnop" for c in "qrstu"]
+    clean = [f"plain{i} day{i} here{i}" for i in range(320)]
+    toxic = [f"what{i}{k} {name} now{i}{k}" for i, name in enumerate(names) for k in range(25)]
+    grammar = toxicity.learn(clean + [f"more{i} calm{i} words{i}" for i in range(8000)] + toxic, [0] * 8320 + [1] * len(toxic))
+    assert all(grammar.weight(name) > 0 for name in names)

@@ -1,0 +1,87 @@
+from __future__ import annotations
+
+import hashlib
+import math
+
+import numpy as np
+import pytest
+
+from claimforge.llm import pivot_clusters as lib
+from tests.compare import connect, differences
+
+SMALL = "/root/testdata/sf0.001"
+KIND = "vec_id long, embedding array<float>, label int, cluster int, distance long, data string"
+
+
+def plain(rows, size, count, rounds):
+    """Every distance of every vector, in whole Python numbers."""
+    kept = [
+        (i, tuple(math.floor(64 * x) for x in v))
+        for i, v in rows
+        if v is not None and len(v) == size and all(x is not None and math.isfinite(x) for x in v)
+    ]
+    def place(row):
+        return hashlib.sha256(f"1:{'' if row[0] is None else row[0]}".encode()).hexdigest(), row[0] or 0
+    centroids = [v for _, v in sorted(kept, key=place)[:count]]
+
+    def assign():
+        return [min((sum((a - b) ** 2 for a, b in zip(v, c)), j) for j, c in enumerate(centroids)) for _, v in kept]
+
+    for _ in range(rounds):
+        found = assign()
+        for j in range(len(centroids)):
+            own = [v for (_, v), (_, k) in zip(kept, found) if k == j]
+            if own:
+                centroids[j] = tuple(sum(x) // len(own) for x in zip(*own))
+    return sorted(((i or -1), j, d) for (i, _), (d, j) in zip(kept, assign())), centroids
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(i, v, 1, 2, 3, "x") for i, v in rows], KIND)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_equals_all_distances(spark, seed):
+    draw = np.random.default_rng(seed)
+    # Coarse values make ties, far groups make bounds that prune.
+    rows = [(i, (draw.integers(-2, 3, 4) / 64 + 3 * (i % 5)).tolist()) for i in range(300)]
+    rows += [(i, v) for i, v in rows[:20]]
+    found, centroids = lib.cluster(frame(spark, rows), size=4, count=7, rounds=3, pivots=3)
+    expected, means = plain(rows, 4, 7, 3)
+    assert sorted((r.id, r.cluster, r.distance) for r in found.collect()) == expected
+    assert [tuple(c) for c in centroids.tolist()] == means
+
+
+def test_unusable_and_odd_rows(spark):
+    rows = [
+        (1, None), (2, []), (3, [1.0, 2.0]), (4, [1.0, None, 2.0]), (5, [1.0, float("nan"), 2.0]),
+        (6, [float("inf"), 0.0, 0.0]), (7, [-0.01, 0.0, 0.01]), (7, [-0.01, 0.0, 0.01]), (None, [5.0, 5.0, 5.0]),
+        (8, [1.0, 2.0, 3.0, 4.0]), (9, [0.5, 0.25, 0.125]),
+    ]
+    found, _ = lib.cluster(frame(spark, rows), size=3, count=16, rounds=3)
+    expected, _ = plain(rows, 3, 16, 3)
+    assert sorted((-1 if r.id is None else r.id, r.cluster, r.distance) for r in found.collect()) == expected
+    assert len(expected) == 4
+
+
+def test_empty_table_and_too_large_numbers(spark):
+    found, centroids = lib.cluster(frame(spark, []))
+    assert found.collect() == [] and len(centroids) == 0
+    with pytest.raises(Exception, match="lies beyond"):
+        lib.cluster(frame(spark, [(1, [3e8])]), size=1)
+
+
+def test_bounds_spare_distances_and_keep_ties():
+    draw = np.random.default_rng(3)
+    centers = draw.integers(-2000, 2000, (16, 64))
+    vectors = np.concatenate([c + draw.integers(-9, 9, (50, 64)) for c in centers])
+    centroids = np.concatenate([centers, centers[:2]])
+    pivots = lib.spread_out(vectors[:200], 8)
+    cluster, distance, spent = lib.nearest(vectors, lib.squared(vectors, pivots), centroids, pivots)
+    every = lib.squared(vectors, centroids)
+    assert (cluster == every.argmin(axis=1)).all() and (distance == every.min(axis=1)).all()
+    assert spent < 0.3 * every.size
+
+
+def test_query_equals_sql(spark):
+    assert differences(lib.op11_pivot_clusters(spark, SMALL), connect(SMALL), lib.OP11_SQL) == []

@@ -1,0 +1,114 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import zlib
+
+import pytest
+import xxhash
+
+from claimforge.llm import prefix_trie as lib
+from tests.compare import connect, differences
+
+SMALL = "/root/testdata/sf0.001"
+KIND = "conv_id long, turn long, role string, text string, depth long, part string, length int"
+
+
+def content(seed, role, text):
+    value = xxhash.xxh64_intdigest(seed.to_bytes(4, "little"), 42)
+    for part in (role, text):
+        value = xxhash.xxh64_intdigest(part.encode(), value)
+    return value - (value >> 63 << 64)
+
+
+def plain(rows):
+    own = {}
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            role, text = role or "", text or ""
+            order = (turn is not None, turn or 0, content(1, role, text), content(2, role, text))
+            own.setdefault(conv, []).append((order, (role, text)))
+    own = {c: [said for _, said in sorted(turns)] for c, turns in own.items()}
+    sequences = {}
+    for c, turns in own.items():
+        h = zlib.crc32(str(c).encode()) % 9
+        base = c - (abs(c) % 5 if c >= 0 else -(abs(c) % 5))
+        sequences[c] = tuple(own.get(base, [])[:h] + turns[h:])
+    members = {}
+    for c, s in sequences.items():
+        for d in range(len(s) + 1):
+            members.setdefault(s[:d], []).append(c)
+    children = {}
+    for path in members:
+        if path:
+            children.setdefault(path[:-1], []).append(path)
+
+    out, sums = [], {}
+    for path in sorted(members, key=len, reverse=True):
+        below = children.get(path, [])
+        saved = (len(members[path]) - 1) * len(path[-1][1].encode()) if path else 0
+        leaves = sum(sums[x][0] for x in below) if below else 1
+        sums[path] = (leaves, saved + sum(sums[x][1] for x in below))
+        ends = ",".join(map(str, sorted(c for c in members[path] if len(sequences[c]) == len(path))))
+        out.append(
+            (min(members[path]), len(path), min(members[path[:-1]]) if path else None, len(members[path]), len(below),
+             *sums[path], hashlib.sha256(ends.encode()).hexdigest())
+        )
+    return sorted(out, key=str)
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(*row, 1, "x", 2) for row in rows], KIND)
+
+
+def found(spark, rows):
+    return sorted((tuple(r) for r in lib.nodes(*lib.rebuilt(frame(spark, rows))).collect()), key=str)
+
+
+def talk(seed, count, texts=3, longest=12):
+    draw = random.Random(seed)
+    rows = [
+        (c, None if i == 0 and c % 7 == 0 else i, draw.choice(["user", None]), draw.choice(["", None, "hé", "long " * 9][: texts + 1]))
+        for c in range(-12, count)
+        if c % 11
+        for i in range(draw.randrange(1, longest))
+    ]
+    draw.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_equals_a_plain_trie(spark, seed):
+    rows = talk(seed, 60)
+    assert found(spark, rows) == plain(rows)
+
+
+def test_small_sketches_and_pieces_change_nothing(spark, monkeypatch):
+    rows = talk(3, 40, longest=20) + [(3, i, "user", f"turn {i}") for i in range(300)]
+    expected = plain(rows)
+    monkeypatch.setattr(lib, "PIECE", 3)
+    monkeypatch.setattr(lib, "CHUNK_BYTES", 5)
+    for cells in (16, 1 << 13):
+        monkeypatch.setattr(lib, "LEAST_CELLS", cells)
+        monkeypatch.setattr(lib, "MOST_CELLS", cells)
+        assert found(spark, rows) == expected
+
+
+def test_odd_rows(spark):
+    # Repeated and null turns, rows without an id, an id without turns left, equal conversations.
+    rows = [(1, 0, "a", "x")] * 3 + [(1, None, None, None), (None, 0, "a", "x"), (2, 5, "b", ""), (2, 5, "a", "")]
+    rows += [(c, i, "user", "same") for c in range(100, 180) for i in range(10)]
+    assert found(spark, rows) == plain(rows)
+    assert found(spark, []) == [] and found(spark, [(None, 1, "a", "b")]) == []
+    lonely = [(c, 0, "a", "b") for c in (1, 2, 3, 4)]
+    assert found(spark, lonely) == plain(lonely)
+
+
+def test_singletons_are_not_grouped(spark):
+    rows = frame(spark, [(5 * c, i, "user", f"{c} {i}") for c in range(200) for i in range(5)])
+    marked = lib.screened(lib.prefixes(lib.rebuilt(rows)[0]))
+    assert marked.where("single").count() > 0.95 * marked.count()
+
+
+def test_query_equals_sql(spark):
+    assert differences(lib.op13_prefix_trie(spark, SMALL), connect(SMALL), lib.OP13_SQL) == []

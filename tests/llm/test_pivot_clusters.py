@@ -33,7 +33,7 @@ def plain(rows, size, count, rounds):
             own = [v for (_, v), (_, k) in zip(kept, found) if k == j]
             if own:
                 centroids[j] = tuple(sum(x) // len(own) for x in zip(*own))
-    return sorted(((i or -1), j, d) for (i, _), (d, j) in zip(kept, assign())), centroids
+    return sorted((-1 if i is None else i, j, d) for (i, _), (d, j) in zip(kept, assign())), centroids
 
 
 def frame(spark, rows):

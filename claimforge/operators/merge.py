@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -18,16 +18,18 @@ def merge_by_key(
     leaves a target row alone when the source row for it is older.
     """
     if only_if_newer:
-        held = target.select(key, F.col(only_if_newer).alias("_held"))
-        source = (
-            source.join(held, key, "left")
-            .where(F.col("_held").isNull() | (F.col(only_if_newer) >= F.col("_held")))
-            .drop("_held")
-        )
+        source = newer_rows(target, source, key, only_if_newer)
     kept = target.join(source.select(key), key, "left_anti")
     return kept.unionByName(source.select(*target.columns))
 
 
+def newer_rows(target: DataFrame, source: DataFrame, key: str, column: str) -> DataFrame:
+    """Source rows whose key is new to the target or whose ``column`` is no less than there."""
+    held = target.select(key, F.col(column).alias("_held"))
+    joined = source.join(held, key, "left")
+    return joined.where(F.col("_held").isNull() | (F.col(column) >= F.col("_held"))).select(*source.columns)
+
+
 def merge_actions(target: DataFrame, source: DataFrame, key: str = "claim_id") -> DataFrame:
     """What a merge does with each key: updated, inserted or kept. Reads only the key."""
     held = target.select(key, F.lit(True).alias("_held"))
@@ -54,7 +56,13 @@ def past_mark(
     """
     if target is None:
         return claims
-    mark = target.agg(F.max(column)).scalar()
+    return past_value(claims, target.agg(F.max(column)).scalar(), column, inclusive, all_when_empty)
+
+
+def past_value(
+    claims: DataFrame, mark: Column, column: str = "run_date", inclusive: bool = False, all_when_empty: bool = False
+) -> DataFrame:
+    """Rows beyond a mark that is known already, for instance from a table's record."""
     value = F.col(column)
     passes = value >= mark if inclusive else value > mark
     return claims.where(passes | mark.isNull() if all_when_empty else passes)

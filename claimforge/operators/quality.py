@@ -96,9 +96,14 @@ def require_unique(df: DataFrame, key: str, name: str) -> None:
         raise ValueError(f"{name} is not unique on {key}: {sample[0][key]!r}")
 
 
-def integrity_report(claims: DataFrame, mart: DataFrame) -> DataFrame:
-    """All table checks: one row per rule and column."""
-    repeated = duplicates(claims).agg(
+def integrity_report(claims: DataFrame, mart: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
+    """All table checks: one row per rule and column.
+
+    ``repeated`` has a row per claim id that is not unique, where that is known without
+    grouping all of ``claims``.
+    """
+    repeated = duplicates(claims) if repeated is None else repeated
+    repeated = repeated.agg(
         F.lit("unique").alias("rule"),
         F.lit("claim_id").alias("column_name"),
         F.count(F.lit(1)).alias("failures"),

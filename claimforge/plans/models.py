@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,11 +13,21 @@ from claimforge.functions.amounts import stored_ratio
 from claimforge.operators.enrich import attach_dimensions, categorize
 from claimforge.operators.latest import latest_per_key
 from claimforge.operators.lookup import hot_keys
-from claimforge.operators.merge import past_mark
+from claimforge.operators.merge import past_value
 from claimforge.operators.quality import require_unique
 from claimforge.operators.summary import monthly_summary
-from claimforge.schemas import CATEGORIZED, DIM_MEMBERS, DIM_PROVIDERS, FACT_COLUMNS, MART_PARTITION
-from claimforge.sources import files, writers
+from claimforge.schemas import CATEGORIZED, DIM_MEMBERS, DIM_PROVIDERS, FACT_COLUMNS
+from claimforge.sources import versions, writers
+
+
+def usable() -> Column:
+    """A fact row that is no obvious garbage; reads stored columns, so it reaches the scan."""
+    return (
+        F.col("claim_id").isNotNull()
+        & F.col("member_id").isNotNull()
+        & (F.col("billed_amount") >= 0)
+        & F.col("service_date").isNotNull()
+    )
 
 
 def stg_claims(fact: DataFrame) -> DataFrame:
@@ -34,14 +44,7 @@ def stg_claims(fact: DataFrame) -> DataFrame:
         "claim_type": fold_lower("claim_type"),
         "cost_ratio": stored_ratio("cost_ratio"),
     }
-    # The filter reads stored columns, so it reaches the scan.
-    usable = (
-        F.col("claim_id").isNotNull()
-        & F.col("member_id").isNotNull()
-        & (F.col("billed_amount") >= 0)
-        & F.col("service_date").isNotNull()
-    )
-    return fact.where(usable).select(
+    return fact.where(usable()).select(
         *[changed.get(name, F.col(name)).alias(name) for name in FACT_COLUMNS]
     )
 
@@ -92,29 +95,40 @@ def run_models(
     inclusive: bool = False,
     run_date: str | None = None,
     rebuild_mart: bool = False,
-) -> None:
-    """Merge new fact rows into the enriched claims and rebuild the mart's touched months.
+) -> list[str] | None:
+    """Merge new fact rows into the enriched claims and rebuild the mart's changed months.
 
     With ``run_date`` the batch is that run's slice, so a run that is corrected or
     loaded late arrives too; rows of a newer run are left alone. Without, it is all
     runs past the greatest one that the enriched claims hold. A claim sent in several
     runs has one fact row per run: the latest run in the batch goes into the merge.
     Both dimensions must be unique on their key. The mart is partitioned by month, and
-    so are the enriched claims: only months that the merge touched are aggregated,
-    unless ``rebuild_mart`` asks for all.
+    so are the enriched claims: only months that changed are aggregated, unless
+    ``rebuild_mart`` asks for all. Returns their folders, or None for all.
     """
+    schema = merge_enriched(spark, fact, dim_members, dim_providers, int_path, as_of, inclusive, run_date)
+    return refresh_mart(spark, int_path, mart_path, schema, as_of, rebuild_mart)
+
+
+def merge_enriched(
+    spark: SparkSession,
+    fact: DataFrame,
+    dim_members: DataFrame,
+    dim_providers: DataFrame,
+    int_path: str,
+    as_of: dt.datetime | str | None = None,
+    inclusive: bool = False,
+    run_date: str | None = None,
+) -> T.StructType:
+    """The merge alone. The step that publishes it also lists the months that it changed."""
     require_unique(dim_members, "member_id", "dim_members")
     require_unique(dim_providers, "provider_npi", "dim_providers")
     stg = stg_claims(fact)
     schema = int_schema(stg)
-    writers.finish_upsert(spark, int_path)
     if run_date is not None:
         fresh = stg.where(F.col("run_date") == run_date)
     else:
-        target = None
-        if files.exists(spark, int_path):
-            target = spark.read.schema(schema).parquet(int_path)
-        fresh = past_mark(stg, target, inclusive=inclusive, all_when_empty=True)
+        fresh = past_value(stg, F.lit(stored_mark(spark, int_path)), inclusive=inclusive, all_when_empty=True)
     today = None if as_of is None else str(as_of)[:10]
     batch = int_claims(
         latest_per_key(fresh, newest="run_date"),
@@ -123,11 +137,39 @@ def run_models(
         today,
         hot_keys(fresh, "member_id", "provider_npi"),
     )
-    touched = writers.upsert(spark, batch, int_path, schema, only_if_newer="run_date")
+    figures = {"rows": F.count(F.lit(1)), "mark": F.max("run_date")}
+    writers.upsert(spark, batch, int_path, schema, only_if_newer="run_date", figures=figures, mark_changed=True)
+    return schema
+
+
+def stored_mark(spark: SparkSession, int_path: str) -> str | None:
+    """The greatest run date in the enriched claims, from their record."""
+    marks = [row.mark for row in versions.ledger(spark, int_path, mark="string").collect() if row.mark is not None]
+    return max(marks, default=None)
+
+
+def refresh_mart(
+    spark: SparkSession,
+    int_path: str,
+    mart_path: str,
+    schema: T.StructType,
+    as_of: dt.datetime | str | None = None,
+    rebuild: bool = False,
+) -> list[str] | None:
+    """Aggregate the months of the enriched claims that the mart has not seen, or all (None).
+
+    A month is struck off once the mart has it, so the months of a call that was
+    interrupted after its merge are made up for by the next call.
+    """
+    record = versions.current(spark, int_path)
+    months = list(record.changed)
     # The merge key is unique in the stored table, so distinct claims are plain counts.
-    base = spark.read.schema(schema).parquet(int_path)
-    if rebuild_mart or not files.exists(spark, mart_path):
+    everything = rebuild or not versions.current(spark, mart_path).number
+    if everything:
+        base = versions.read(spark, int_path, schema, record)
         writers.write_mart(monthly_summary(base, as_of, claims_unique=True), mart_path)
-    else:
-        months = base.where(writers.folder_of(MART_PARTITION).isin(touched))
-        writers.write_mart_months(monthly_summary(months, as_of, claims_unique=True), mart_path, touched)
+    elif months:
+        base = versions.read(spark, int_path, schema, record, months)
+        writers.write_mart_months(monthly_summary(base, as_of, claims_unique=True), mart_path, months)
+    versions.settle(spark, int_path, months)
+    return None if everything else months

@@ -28,14 +28,32 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop, True)
 
 
-def move_into(spark: SparkSession, path: str, destination: str) -> None:
-    """Put a folder where another one may be."""
-    fs, source = _open(spark, path)
-    _, target = _open(spark, destination)
-    fs.delete(target, True)
-    fs.mkdirs(target.getParent())
-    if not fs.rename(source, target):
-        raise OSError(f"could not move {path} to {destination}")
+def names(spark: SparkSession, path: str) -> list[str]:
+    """What a folder holds; nothing if there is none."""
+    fs, hadoop = _open(spark, path)
+    return [status.getPath().getName() for status in fs.listStatus(hadoop)] if fs.exists(hadoop) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, hadoop = _open(spark, path)
+    stream = fs.open(hadoop)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that appears with its whole content, and must not be there yet."""
+    fs, hadoop = _open(spark, path)
+    _, beside = _open(spark, f"{path}.writing")
+    stream = fs.create(beside, True)
+    try:
+        stream.write(text.encode())
+    finally:
+        stream.close()
+    if fs.exists(hadoop) or not fs.rename(beside, hadoop):
+        raise OSError(f"{path} was written by somebody else")
 
 
 def partition_dirs(spark: SparkSession, path: str, depth: int) -> list[str]:

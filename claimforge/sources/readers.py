@@ -21,6 +21,7 @@ from claimforge.schemas import (
     RAW_CLAIMS,
     STAGED_CLAIMS,
 )
+from claimforge.sources import versions
 
 
 def raw_path(root: str, run_date: str) -> str:
@@ -50,15 +51,15 @@ def staged_claims(spark: SparkSession, path: str) -> DataFrame:
 
 
 def conformed_claims(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(CONFORMED_CLAIMS).parquet(path)
+    return versions.read(spark, path, CONFORMED_CLAIMS)
 
 
 def fact_claims(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(FACT_CLAIMS).parquet(path)
+    return versions.read(spark, path, FACT_CLAIMS)
 
 
 def mart_claims(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(MART_CLAIMS).parquet(path)
+    return versions.read(spark, path, MART_CLAIMS)
 
 
 def _columns(df: DataFrame, schema: T.StructType) -> DataFrame:

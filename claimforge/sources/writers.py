@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Mapping, Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from claimforge.operators.merge import merge_by_key
+from claimforge.operators.merge import merge_by_key, newer_rows
 from claimforge.operators.quality import require_unique
 from claimforge.schemas import CONFORMED_PARTITION, MART_PARTITION, STAGING_PARTITION
-from claimforge.sources import files
+from claimforge.sources import files, key_index, versions
+
 
 def compacted(df: DataFrame, *columns: str) -> DataFrame:
     """Rows of one partition value together, as few files as their bytes need.
@@ -43,12 +45,71 @@ def write_staging_by_month(df: DataFrame, path: str) -> None:
     write_staging(df.withColumn("service_month", month), path, ["service_month"], compact=True)
 
 
-def load_slice(df: DataFrame, path: str, column: str, value: str) -> None:
+def load_slice(
+    df: DataFrame,
+    path: str,
+    column: str,
+    value: str,
+    figures: Mapping[str, Column] | None = None,
+    key: str | None = None,
+    indexed: Column | None = None,
+) -> dict:
     """Replace one partition of ``path`` by ``df``, also when ``df`` is empty; a re-run adds nothing.
 
     ``df`` holds the rows of that partition; the column itself lives in the folder name.
+    Readers see the old rows until the new ones are complete. ``figures`` are aggregates
+    of the stored rows, which the table's record keeps; they are returned. ``key`` adds
+    the keys of the slice's rows that are ``indexed`` (all by default) to the key index.
     """
-    compacted(df.drop(column)).write.mode("overwrite").parquet(f"{path.rstrip('/')}/{column}={value}")
+    spark, path = df.sparkSession, path.rstrip("/")
+    record = versions.current(spark, path)
+    folder = f"{column}={value}"
+    rows = df.drop(column)
+    target = f"{path}/version={record.number + 1}/{folder}"
+    compacted(rows).write.mode("overwrite").parquet(target)
+    stored = spark.read.schema(rows.schema).parquet(target)
+    found = {}
+    if figures:
+        found = stored.agg(*[total.alias(name) for name, total in figures.items()]).first().asDict()
+    after = record.with_parts({folder: found})
+    if key:
+        if not record.buckets:
+            after = replace(after, buckets=key_index.buckets_for(stored.count()))
+        chosen = F.col(key).isNotNull() if indexed is None else F.col(key).isNotNull() & indexed
+        entries = stored.where(chosen).select(F.col(key).alias("key"), F.lit(folder).alias("folder")).distinct()
+        after = key_index.appended(entries, path, after, after.number, key_index.current_only)
+    versions.publish(spark, path, after)
+    return found
+
+
+def load_slices(
+    df: DataFrame, path: str, partition_by: Sequence[str], figures: Mapping[str, Column] | None = None
+) -> None:
+    """Replace all partitions that ``df`` has rows of, in one switch."""
+    spark = df.sparkSession
+    record = versions.current(spark, path)
+    written = versions.write(compacted(df, *partition_by), path, record, partition_by)
+    _publish_written(spark, path, df.schema, record, written, (), partition_by, figures or {})
+
+
+def _publish_written(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    record: versions.Record,
+    written: Sequence[str],
+    gone: Collection[str],
+    partition_by: Sequence[str],
+    figures: Mapping[str, Column],
+    **changes,
+) -> None:
+    """Publish the record after ``record``: partitions just written, others gone."""
+    found = {}
+    if figures and written:
+        stored = versions.read(spark, path, schema, record.with_parts(dict.fromkeys(written)), written)
+        found = versions.measured(stored, partition_by, figures)
+    after = record.with_parts({name: found.get(name) for name in written}, gone)
+    versions.publish(spark, path, replace(after, **changes))
 
 
 def load_jdbc(df: DataFrame, url: str, table: str, **options: str) -> None:
@@ -58,32 +119,23 @@ def load_jdbc(df: DataFrame, url: str, table: str, **options: str) -> None:
 
 def write_mart(df: DataFrame, path: str) -> None:
     """Full rebuild, one folder per month, clustered by plan."""
-    _mart_files(df).mode("overwrite").parquet(path)
+    record = versions.current(df.sparkSession, path)
+    written = versions.write(_mart_rows(df), path, record, MART_PARTITION)
+    _publish_written(df.sparkSession, path, df.schema, record, written, list(record.parts), MART_PARTITION, {})
 
 
 def write_mart_months(df: DataFrame, path: str, months: Sequence[str]) -> None:
     """Replace the month folders named in ``months`` by ``df``, which holds no other month.
 
-    Months that ``df`` has no row of are removed. A month is replaced by the rename of a
-    complete folder.
+    Months that ``df`` has no row of are removed. All months are switched at once.
     """
-    spark = df.sparkSession
-    pending = f"{path.rstrip('/')}__pending"
-    files.remove(spark, pending)
-    _mart_files(df).parquet(pending)
-    written = set(files.partition_dirs(spark, pending, len(MART_PARTITION)))
-    for month in months:
-        if month in written:
-            files.move_into(spark, f"{pending}/{month}", f"{path}/{month}")
-        else:
-            files.remove(spark, f"{path}/{month}")
-    files.remove(spark, pending)
-    spark.catalog.refreshByPath(path)
+    record = versions.current(df.sparkSession, path)
+    written = versions.write(_mart_rows(df), path, record, MART_PARTITION)
+    _publish_written(df.sparkSession, path, df.schema, record, written, months, MART_PARTITION, {})
 
 
-def _mart_files(df: DataFrame):
-    laid_out = compacted(df, *MART_PARTITION).sortWithinPartitions(*MART_PARTITION, "plan_id")
-    return laid_out.write.partitionBy(*MART_PARTITION)
+def _mart_rows(df: DataFrame) -> DataFrame:
+    return compacted(df, *MART_PARTITION).sortWithinPartitions(*MART_PARTITION, "plan_id")
 
 
 def register_table(
@@ -99,8 +151,7 @@ def register_table(
         f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
         f"PARTITIONED BY ({', '.join(partition_by)}) LOCATION '{path}'"
     )
-    spark.catalog.recoverPartitions(name)
-    spark.catalog.refreshTable(name)
+    versions.register(spark, name, path)
 
 
 def analyze(spark: SparkSession, table: str, partition: dict[str, str] | None = None) -> None:
@@ -135,82 +186,69 @@ def upsert(
     partition_by: Sequence[str] = tuple(CONFORMED_PARTITION),
     cluster_by: str = "run_date",
     only_if_newer: str | None = None,
+    figures: Mapping[str, Column] | None = None,
+    mark_changed: bool = False,
 ) -> list[str]:
-    """Key upsert into a Parquet folder partitioned by calendar columns; returns the touched folders.
-
-    Only touched partitions are rewritten: those of the source rows, and those that
-    hold a row to be replaced, which may be others because the partition follows the
-    service date. The source is cast to ``schema`` and must be unique on ``key``, also
-    on the first write; a refused source leaves nothing behind. The new partitions are
-    written in full next to the table and then moved in, so losing an executor or the
-    driver while writing leaves the table as it was. Once the new partitions and the
-    list of emptied ones are complete, an interrupted move is finished by the next
-    call. There is one writer at a time, and a reader sees the partitions change one
-    by one.
+    """Key upsert into a Parquet table partitioned by calendar columns; returns the touched folders.
+
+    The key index names the partitions that hold the batch's keys, so nothing of the
+    table is read but those partitions and the ones the batch goes to. They are written
+    in full beside the old ones, and one switch publishes them together with the index
+    (see ``versions``): losing an executor or the driver at any time leaves the table as
+    it was or as it will be. The source is cast to ``schema`` and must be unique on
+    ``key``, also on the first write; a refused source leaves nothing behind.
+
+    ``figures`` are aggregates that the record keeps of each partition. ``mark_changed``
+    lists the touched folders in the record until ``versions.settle`` is called.
     """
-    pending = f"{path.rstrip('/')}__pending"
-    finish_upsert(spark, path, partition_by)
+    path = path.rstrip("/")
+    work = f"{path}__pending"
+    record = versions.current(spark, path)
+    if not record.number and any(not name.startswith(("version=", "_")) for name in files.names(spark, path)):
+        raise ValueError(f"{path} holds files that no upsert wrote")
     # The batch is needed for its keys, its partitions and its rows: compute it once.
     typed = source.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
-    typed.write.mode("overwrite").parquet(f"{pending}/source")
-    source = spark.read.schema(schema).parquet(f"{pending}/source")
+    typed.write.mode("overwrite").parquet(f"{work}/source")
+    source = spark.read.schema(schema).parquet(f"{work}/source")
     try:
         require_unique(source, key, "upsert source")
     except ValueError:
-        files.remove(spark, pending)
+        files.remove(spark, work)
         raise
-    folder = folder_of(partition_by).alias("folder")
-    found = source.select(folder)
-    if files.exists(spark, path):
-        target = spark.read.schema(schema).parquet(path)
-        held = target.join(source.select(key), key, "left_semi").select(folder)
-        # One short text per month of data, whatever the number of rows.
-        touched = {row.folder for row in found.unionByName(held).distinct().collect()}
-        # Reads partition columns only, so the other partitions are not listed as input.
-        affected = target.where(folder.isin(list(touched)))
-        source = merge_by_key(affected, source, key, only_if_newer)
-    else:
-        touched = {row.folder for row in found.distinct().collect()}
-    (
-        compacted(source, *partition_by)
-        # Row groups clustered by run let the load step skip most of a partition.
-        .sortWithinPartitions(*partition_by, cluster_by, key)
-        .write.mode("overwrite")
-        .partitionBy(*partition_by)
-        .parquet(f"{pending}/data")
+    if not record.number:
+        record = replace(record, buckets=key_index.buckets_for(source.count()))
+    folder = versions.folder_of(partition_by).alias("folder")
+    keys = F.col(key).alias("key")
+    # Written, as it is read three times; no larger than the batch.
+    key_index.located(source.select(keys), path, record).write.mode("overwrite").parquet(f"{work}/held")
+    held = spark.read.schema(T.StructType([T.StructField("key", schema[key].dataType), T.StructField("folder", T.StringType())]))
+    held = held.parquet(f"{work}/held")
+
+    def names(sent: DataFrame) -> set[str]:
+        """The folders that rows go to or come from; one short text per month of data."""
+        own = held.join(sent.select("key"), "key", "left_semi").select("folder")
+        return {row.folder for row in sent.select("folder").unionByName(own).distinct().collect()}
+
+    touched = names(source.select(keys, folder))
+    if only_if_newer:
+        target = versions.read(spark, path, schema, record, touched) if record.number else None
+        if target is not None:
+            newer_rows(target, source, key, only_if_newer).write.mode("overwrite").parquet(f"{work}/newer")
+            source = spark.read.schema(schema).parquet(f"{work}/newer")
+            touched = names(source.select(keys, folder))
+    rows = source
+    if record.number:
+        rows = merge_by_key(versions.read(spark, path, schema, record, touched), source, key)
+    # Row groups clustered by run let the load step skip most of a partition.
+    laid_out = compacted(rows, *partition_by).sortWithinPartitions(*partition_by, cluster_by, key)
+    written = versions.write(laid_out, path, record, partition_by)
+    moved = source.select(keys, folder).join(held.withColumnRenamed("folder", "before"), "key", "left")
+    moved = moved.where(F.col("before").isNull() | (F.col("before") != F.col("folder"))).drop("before")
+    indexed = key_index.appended(moved, path, record, record.number + 1)
+    changed = sorted({*record.changed, *touched}) if mark_changed else list(record.changed)
+    _publish_written(
+        spark, path, schema, record, written, touched, partition_by, figures or {},
+        index=indexed.index, buckets=record.buckets, changed=changed,
     )
-    kept = set(files.partition_dirs(spark, f"{pending}/data", len(partition_by)))
-    emptied = [(name,) for name in sorted(touched - kept)]
-    spark.createDataFrame(emptied, "folder string").write.parquet(f"{pending}/emptied")
-    finish_upsert(spark, path, partition_by)
+    files.remove(spark, work)
     return sorted(touched)
-
-
-def finish_upsert(
-    spark: SparkSession, path: str, partition_by: Sequence[str] = tuple(CONFORMED_PARTITION)
-) -> None:
-    """Move complete pending partitions in; throw incomplete ones away."""
-    pending = f"{path.rstrip('/')}__pending"
-    if not files.exists(spark, pending):
-        return
-    if files.exists(spark, f"{pending}/emptied/_SUCCESS"):
-        for row in spark.read.schema("folder string").parquet(f"{pending}/emptied").collect():
-            files.remove(spark, f"{path}/{row.folder}")
-        for folder in files.partition_dirs(spark, f"{pending}/data", len(partition_by)):
-            files.move_into(spark, f"{pending}/data/{folder}", f"{path}/{folder}")
-        # A table whose first batch is empty exists all the same.
-        files.ensure(spark, path)
-    files.remove(spark, pending)
-    spark.catalog.refreshByPath(path)
-
-
-def folder_of(partition_by: Sequence[str]) -> Column:
-    """A row's partition folder, for integer and date partition columns."""
-    parts = [
-        F.concat(
-            F.lit(f"{name}="),
-            F.coalesce(F.col(name).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__")),
-        )
-        for name in partition_by
-    ]
-    return F.concat_ws("/", *parts)

@@ -16,11 +16,11 @@ from claimforge.operators.lookup import lookup
 from claimforge.plans import models
 from claimforge.plans.daily import SEVERITY, Layout, run_day
 from claimforge.plans.extract import run_extract, stage
-from claimforge.plans.load import fact_rows, run_load
+from claimforge.plans.load import fact_rows, ledger_figures, run_ledger, run_load
 from claimforge.plans.transform import run_transform
-from claimforge.schemas import CONFORMED_CLAIMS, MART_KEYS
+from claimforge.schemas import CONFORMED_CLAIMS, CONFORMED_PARTITION, MART_KEYS
 from claimforge.session import scratch_dir
-from claimforge.sources import readers, writers
+from claimforge.sources import readers, versions, writers
 from claimforge.testtables import claims as src
 
 # Pinned clock and run, so that results do not depend on the day they are computed.
@@ -456,7 +456,7 @@ def upserted(
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in batches[0].schema.fields])
     for batch in batches:
         writers.upsert(spark, batch, path, schema, only_if_newer=newer)
-    return spark.read.schema(schema).parquet(path)
+    return versions.read(spark, path, schema)
 
 
 @query
@@ -484,8 +484,12 @@ def merge_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def incremental_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mark comes from the record of a stored table, kept per month."""
     rows = src.claims(spark, sf_dir, "claim_id", "run_date")
-    return merge.past_mark(rows, rows.where(F.col("run_date") < HALF))
+    path = scratch_dir(spark, "mark")
+    target = rows.where(F.col("run_date") < HALF).withColumn("month", F.substring("run_date", 1, 7))
+    writers.load_slices(target, path, ["month"], {"mark": F.max("run_date")})
+    return merge.past_value(rows, F.lit(models.stored_mark(spark, path)))
 
 
 @query
@@ -515,7 +519,7 @@ def int_incremental_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     for part in (fact.where(F.col("run_date") < HALF), fact):
         models.run_models(spark, part, *dims, f"{root}/int", f"{root}/mart", NOW)
     schema = models.int_schema(models.stg_claims(fact))
-    return spark.read.schema(schema).parquet(f"{root}/int").select(
+    return versions.read(spark, f"{root}/int", schema).select(
         "claim_id",
         "run_date",
         "claim_category",
@@ -650,7 +654,11 @@ def dq_mart_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dq_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = src.claims(spark, sf_dir, "ingested_at")
+    path = scratch_dir(spark, "freshness")
+    claims = src.claims(spark, sf_dir, "claim_id", "ingested_at")
+    claims = claims.withColumn("year", F.coalesce(F.year("ingested_at"), F.lit(0)))
+    writers.load_slices(claims, path, ["year"], ledger_figures())
+    rows = run_ledger(spark, path).withColumnRenamed("newest", "ingested_at")
     # 12, 30 and 60 hours after the last day of the tables.
     moments = ("2001-11-04 12:00:00", "2001-11-05 06:00:00", "2001-11-06 12:00:00")
     first, *rest = [
@@ -663,7 +671,10 @@ def dq_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dq_row_count_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = quality.daily_counts(src.table(spark, sf_dir, "events"), "ts")
+    path = scratch_dir(spark, "trend")
+    events = src.table(spark, sf_dir, "events").withColumn("run_date", F.col("ts").cast("date").cast("string"))
+    writers.load_slices(events, path, ["run_date"], {"rows": F.count(F.lit(1))})
+    counts = run_ledger(spark, path).select(F.col("run_date").cast("date").alias("day"), "rows")
     return quality.row_count_trend(counts, min_share=0.95)
 
 
@@ -802,6 +813,31 @@ def daily_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.mart_claims(spark, layout.mart)
 
 
+@query
+def daily_interrupted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A day whose claims move to other months: lost in a write, lost before the mart, and repeated."""
+    layout = new_layout(spark)
+    rows = src.raw_claims(spark, sf_dir)
+    early = F.coalesce(F.col("service_date") < HALF, F.lit(False))
+    landed(spark, sf_dir, layout.raw, rows=rows.where(~early))
+    run_one(spark, sf_dir, layout)
+    landed(spark, sf_dir, layout.raw, rows=rows.where(early), run_date=LATE_RUN)
+    run_extract(spark, layout.raw, layout.staging, LATE_RUN, "test", NOW)
+    reference = cleaning.mask_members(src.members(spark, sf_dir)), src.providers(spark, sf_dir)
+    run_transform(spark, layout.staging, layout.conformed, LATE_RUN, *reference, "run_date")
+    run_load(spark, layout.conformed, layout.fact, LATE_RUN)
+    fact = readers.fact_claims(spark, layout.fact)
+    dims = cleaning.mask_members(src.dim_members(spark, sf_dir)), src.dim_providers(spark, sf_dir)
+    # Folders of a merge that never came to its switch.
+    record = versions.current(spark, layout.enriched)
+    schema = models.int_schema(models.stg_claims(fact))
+    half_done = versions.read(spark, layout.enriched, schema, record).where("service_month < 6")
+    versions.write(half_done, layout.enriched, record, CONFORMED_PARTITION)
+    models.merge_enriched(spark, fact, *dims, layout.enriched, NOW, run_date=LATE_RUN)
+    run_one(spark, sf_dir, layout, LATE_RUN)
+    return readers.mart_claims(spark, layout.mart)
+
+
 @query
 def load_fact_emptied(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All claims of a loaded run are resubmitted with another: the first one's slice goes."""

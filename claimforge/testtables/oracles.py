@@ -629,6 +629,7 @@ ORACLES = {
     "daily_run": sql(TO_DAY, MART),
     "daily_rerun": sql(TO_DAY, MART),
     "daily_backfill": sql(TO_BACKFILL, MART),
+    "daily_interrupted": sql(TO_BACKFILL, MART),
     "load_fact_emptied": sql(
         [*TO_CONFORMED, f"""moved as (select * replace ('{RUN_DATE}' as run_date) from conformed
         where run_date = '{LOADED_RUN}')"""],

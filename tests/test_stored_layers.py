@@ -14,16 +14,22 @@ from claimforge.plans.daily import (
     Layout,
     check_day,
     check_freshness,
+    check_run,
+    gate_freshness,
     gate_load,
     load_trend,
+    repeated_claims,
     run_day,
 )
+from claimforge.operators import quality
+from claimforge.plans import models
 from claimforge.plans.extract import run_extract
-from claimforge.plans.load import run_load
+from claimforge.plans.load import run_ledger, run_load
 from claimforge.plans.models import publish_views, run_models
+from claimforge.plans.transform import conform
 from claimforge.schemas import CONFORMED_CLAIMS, FACT_COLUMNS, MART_CLAIMS, RAW_CLAIMS
 from claimforge.session import scratch_dir
-from claimforge.sources import files, readers, writers
+from claimforge.sources import files, key_index, readers, versions, writers
 
 HEADER = ",".join(RAW_CLAIMS.names)
 
@@ -126,12 +132,12 @@ def test_upsert_moves_rows_between_partitions(spark, table):
         writers.upsert(spark, batch(spark, *SECOND, run="r2"), table, CONFORMED_CLAIMS)
         assert held(spark, table) == MERGED
     # The February folder lost its only row.
-    assert files.partition_dirs(spark, table, 2).count("service_year=2024/service_month=2") == 0
+    assert "service_year=2024/service_month=2" not in versions.current(spark, table).parts
     assert not files.exists(spark, f"{table}__pending")
 
 
 def test_untouched_partitions_are_not_rewritten(spark, table):
-    null_folder = f"{table}/service_year=__HIVE_DEFAULT_PARTITION__"
+    null_folder = f"{table}/version=1/service_year=__HIVE_DEFAULT_PARTITION__"
     before = {name: os.path.getmtime(f"{root}/{name}") for root, _, names in os.walk(null_folder) for name in names}
     writers.upsert(spark, batch(spark, *SECOND), table, CONFORMED_CLAIMS)
     after = {name: os.path.getmtime(f"{root}/{name}") for root, _, names in os.walk(null_folder) for name in names}
@@ -154,7 +160,6 @@ def test_older_rows_stay_out(spark, table):
 def test_repeated_source_key_is_refused(spark, table):
     with pytest.raises(ValueError, match="upsert source is not unique"):
         writers.upsert(spark, batch(spark, SECOND[0], SECOND[0]), table, CONFORMED_CLAIMS)
-    writers.finish_upsert(spark, table)
     assert len(held(spark, table)) == 4
 
 
@@ -205,35 +210,138 @@ class Lost(Exception):
     pass
 
 
-@pytest.mark.parametrize("moves", [0, 1, 2])
-def test_interrupted_move_is_finished(spark, table, monkeypatch, moves):
-    done = []
-    move = files.move_into
+@pytest.mark.parametrize("step", ["write", "appended", "publish"])
+def test_an_interrupted_upsert_leaves_the_table_and_is_repeated(spark, table, monkeypatch, step):
+    before = held(spark, table)
+    place = {"write": versions, "appended": key_index, "publish": versions}[step]
+    work = getattr(place, step)
 
     def breaking(*args):
-        if len(done) == moves:
-            raise Lost
-        done.append(move(*args))
+        if step == "write":
+            work(*args)
+        raise Lost
 
-    monkeypatch.setattr(files, "move_into", breaking)
-    if moves < 2:
-        with pytest.raises(Lost):
-            writers.upsert(spark, batch(spark, *SECOND), table, CONFORMED_CLAIMS)
-    monkeypatch.undo()
-    if moves == 2:
+    monkeypatch.setattr(place, step, breaking)
+    with pytest.raises(Lost):
         writers.upsert(spark, batch(spark, *SECOND), table, CONFORMED_CLAIMS)
-    writers.finish_upsert(spark, table)
+    monkeypatch.undo()
+    assert held(spark, table) == before
+    writers.upsert(spark, batch(spark, *SECOND), table, CONFORMED_CLAIMS)
     assert held(spark, table) == MERGED
 
 
-def test_interrupted_write_leaves_the_table(spark, table, monkeypatch):
-    before = held(spark, table)
-    monkeypatch.setattr(files, "partition_dirs", lambda *args: (_ for _ in ()).throw(Lost()))
+def test_an_interrupted_first_upsert_is_repeated(spark, monkeypatch):
+    path = scratch_dir(spark, "first")
+    monkeypatch.setattr(versions, "publish", lambda *args: (_ for _ in ()).throw(Lost()))
     with pytest.raises(Lost):
-        writers.upsert(spark, batch(spark, *SECOND), table, CONFORMED_CLAIMS)
+        writers.upsert(spark, batch(spark, *FIRST, *SECOND[2:]), path, CONFORMED_CLAIMS)
     monkeypatch.undo()
-    writers.finish_upsert(spark, table)
-    assert held(spark, table) == before
+    writers.upsert(spark, batch(spark, *FIRST), path, CONFORMED_CLAIMS)
+    assert len(held(spark, path)) == 4
+
+
+def test_a_reader_sees_old_or_new_rows_at_every_step(spark, table, monkeypatch):
+    before = held(spark, table)
+    begun = readers.conformed_claims(spark, table)
+    seen = []
+    for place, name in ((files, "partition_dirs"), (files, "write_text"), (files, "remove")):
+        work = getattr(place, name)
+        monkeypatch.setattr(place, name, lambda *args, work=work: (seen.append(held(spark, table)), work(*args), seen.append(held(spark, table)))[1])
+    writers.upsert(spark, batch(spark, *SECOND), table, CONFORMED_CLAIMS)
+    monkeypatch.undo()
+    assert len(seen) >= 6 and seen[0] == before and seen[-1] == MERGED
+    switch = seen.index(MERGED)
+    assert set(map(str, seen[:switch])) == {str(before)} and set(map(str, seen[switch:])) == {str(MERGED)}
+    # A reader that began before the switch ends with the rows it began with.
+    assert begun.count() == 4
+
+
+def test_old_versions_go(spark, table):
+    for i in range(versions.KEPT + 2):
+        writers.upsert(spark, batch(spark, ("a", 2024, 1, float(i), 1)), table, CONFORMED_CLAIMS)
+    assert ("a", 2024, 1, float(versions.KEPT + 1)) in held(spark, table) and len(held(spark, table)) == 4
+    folders = [n for n in files.partition_dirs(spark, table, 3) if n.endswith("service_year=2024/service_month=1")]
+    assert len(folders) == versions.KEPT
+    assert len(files.names(spark, f"{table}/_published")) == versions.KEPT
+
+
+def test_a_lost_record_name_is_not_written_twice(spark, table):
+    with pytest.raises(OSError, match="somebody else"):
+        versions.publish(spark, table, versions.current(spark, table))
+
+
+def test_files_of_others_are_refused(spark, tmp_path):
+    path = str(tmp_path / "plain")
+    batch(spark, *FIRST).write.parquet(path)
+    assert readers.conformed_claims(spark, path).count() == 4
+    with pytest.raises(ValueError, match="no upsert wrote"):
+        writers.upsert(spark, batch(spark, *FIRST), path, CONFORMED_CLAIMS)
+
+
+# Key index ----------------------------------------------------------------
+
+
+def many(spark, low, high, month):
+    items = [(f"k{i}", 2024, month, float(i), 1) for i in range(low, high)]
+    return batch(spark, *items)
+
+
+def paths_read(df):
+    return {name.split("?")[0] for name in df.inputFiles()}
+
+
+def test_a_lookup_reads_only_the_buckets_of_its_keys(spark):
+    path = scratch_dir(spark, "index")
+    writers.upsert(spark, many(spark, 0, 400, 1), path, CONFORMED_CLAIMS)
+    record = versions.current(spark, path)
+    keys = spark.createDataFrame([("k7",), ("k8",), ("none",)], "key string")
+    found = key_index.located(keys, path, record)
+    assert {r.key: r.folder for r in found.collect()} == dict.fromkeys(["k7", "k8"], "service_year=2024/service_month=1")
+    buckets = {r.b for r in keys.select(key_index.bucket_of(F.col("key"), record.buckets).alias("b")).collect()}
+    read = {name for name in paths_read(found) if path in name}
+    assert read and {name.split("bucket=")[1].split("/")[0] for name in read} <= set(map(str, buckets))
+    assert len(buckets) < record.buckets
+
+
+def test_an_upsert_reads_no_other_partition_of_the_table(spark, monkeypatch):
+    path = scratch_dir(spark, "index")
+    for month in (1, 2, 3):
+        writers.upsert(spark, many(spark, 100 * month, 100 * month + 50, month), path, CONFORMED_CLAIMS)
+    asked = []
+    read = versions.read
+    monkeypatch.setattr(versions, "read", lambda *args: (asked.append(args[4]), read(*args))[1])
+    writers.upsert(spark, batch(spark, ("k110", 2024, 5, 1.0, 2)), path, CONFORMED_CLAIMS)
+    monkeypatch.undo()
+    assert asked == [{"service_year=2024/service_month=1", "service_year=2024/service_month=5"}]
+    assert ("k110", 2024, 5, 1.0) in held(spark, path) and len(held(spark, path)) == 150
+
+
+def test_index_after_moves_compaction_and_rebuild(spark, monkeypatch):
+    path = scratch_dir(spark, "index")
+    monkeypatch.setattr(key_index, "MOST_ENTRIES", 2)
+    place = {}
+    for turn in range(6):
+        items = [(f"k{i}", 2024, 1 + (i + turn) % 5, 1.0, 1) for i in range(turn * 7, turn * 7 + 30)]
+        place |= {name: f"service_year=2024/service_month={month}" for name, _, month, *_ in items}
+        writers.upsert(spark, batch(spark, *items), path, CONFORMED_CLAIMS)
+    keys = spark.createDataFrame([(name,) for name in place], "key string")
+
+    def index():
+        record = versions.current(spark, path)
+        return {r.key: r.folder for r in key_index.located(keys, path, record).collect()}, record
+
+    found, record = index()
+    assert found == place and max(map(len, record.index.values())) <= 2
+    assert {name: f"service_year={y}/service_month={m}" for name, y, m, _ in held(spark, path)} == place
+    key_index.rebuild(spark, path, CONFORMED_CLAIMS, "claim_id", ["service_year", "service_month"], 4)
+    found, record = index()
+    assert found == place and (record.buckets, set(record.index)) == (4, {f"bucket={i}" for i in range(4)})
+    writers.upsert(spark, batch(spark, ("k3", 2024, 9, 1.0, 1)), path, CONFORMED_CLAIMS)
+    assert index()[0]["k3"] == "service_year=2024/service_month=9"
+
+
+def test_number_of_buckets():
+    assert [key_index.buckets_for(n) for n in (0, 10**6, 10**8, 10**12)] == [16, 16, 128, 4096]
 
 
 def test_load_replaces_its_slice(spark, table, tmp_path):
@@ -316,7 +424,9 @@ def test_two_days(spark, tmp_path, dims):
     assert sum(row.total_claims for row in mart.values()) == 4
 
     # Both runs of c1 are fact rows, which the uniqueness check reports.
-    report = {(r.table_name, r.rule, r.column_name): r.failures for r in check_day(spark, layout).collect()}
+    for checked in (check_day(spark, layout), check_run(spark, layout, "2024-02-02")):
+        report = {(r.table_name, r.rule, r.column_name): r.failures for r in checked.collect()}
+        assert report[("stg_claims", "unique", "claim_id")] == 1
     assert report.pop(("stg_claims", "unique", "claim_id")) == 1
     assert set(report.values()) == {0} and len(report) == 9
 
@@ -379,6 +489,95 @@ def test_touched_months_equal_a_full_rebuild(spark, tmp_path, dims):
     assert sorted(map(str, readers.mart_claims(spark, layout.mart).collect())) == kept
 
 
+@pytest.mark.parametrize("lost_at", ["write_mart_months", "settle", "mart", "upsert"])
+def test_an_interrupted_day_is_made_up_for(spark, tmp_path, dims, monkeypatch, lost_at):
+    layout = day_layout(tmp_path)
+    when = "2024-02-03 05:00:00"
+    land(layout.raw, "2024-02-01", claim("c1", day="2024-03-01"), claim("c2", day="2024-03-02"), claim("c3", day="2024-04-02"))
+    run_day(spark, layout, "2024-02-01", *dims, env="test", as_of=when)
+    land(layout.raw, "2024-02-02", claim("c1", day="2024-05-01", paid="20"))
+    publish = versions.publish
+
+    def lost(*args, **options):
+        raise Lost
+
+    def lost_for_the_mart(spark, path, record):
+        if path == layout.mart:
+            raise Lost
+        publish(spark, path, record)
+
+    if lost_at == "mart":
+        monkeypatch.setattr(versions, "publish", lost_for_the_mart)
+    elif lost_at == "upsert":
+        # Lost inside the merge's own switch, after its folders were written.
+        monkeypatch.setattr(versions, "publish", lambda s, p, r: lost() if p == layout.enriched else publish(s, p, r))
+    else:
+        monkeypatch.setattr({"settle": versions}.get(lost_at, writers), lost_at, lost)
+    with pytest.raises(Lost):
+        run_day(spark, layout, "2024-02-02", *dims, env="test", as_of=when)
+    monkeypatch.undo()
+    run_day(spark, layout, "2024-02-02", *dims, env="test", as_of=when)
+    assert mart_sums(spark, layout) == {3: (1, 80.0), 4: (1, 80.0), 5: (1, 20.0)}
+    assert list(versions.current(spark, layout.enriched).changed) == []
+    kept = sorted(map(str, readers.mart_claims(spark, layout.mart).collect()))
+    run_day(spark, layout, "2024-02-02", *dims, env="test", as_of=when, rebuild_mart=True)
+    assert sorted(map(str, readers.mart_claims(spark, layout.mart).collect())) == kept
+
+
+def test_the_ledger_equals_a_scan(spark, tmp_path, dims):
+    layout = day_layout(tmp_path)
+    for day, lines in (("2024-02-01", [claim("c1"), claim("c2")]), ("2024-02-02", [claim("c1", paid="1")]), ("2024-02-01", [claim("c2")])):
+        land(layout.raw, day, *lines)
+        run_day(spark, layout, day, *dims, env="test", as_of=f"{day} 05:00:00", severity=SEVERITY | {"freshness": "warn"})
+    fact = readers.fact_claims(spark, layout.fact)
+    scanned = fact.groupBy("run_date").agg(F.count(F.lit(1)).alias("rows"), F.max("ingested_at").alias("newest"))
+    assert sorted(run_ledger(spark, layout.fact).collect()) == sorted(scanned.collect())
+    assert not [name for name in run_ledger(spark, layout.fact).inputFiles() if "fact" in name]
+    moment = "2024-02-03 06:00:00"
+    assert check_freshness(spark, layout, moment).collect() == quality.freshness(fact, moment).collect()
+    counted = quality.row_count_trend(quality.daily_counts(fact, "run_date"), min_share=0.6)
+    assert sorted(load_trend(spark, layout, 0.6).collect()) == sorted(counted.collect())
+    schema = models.int_schema(models.stg_claims(fact))
+    assert models.stored_mark(spark, layout.enriched) == versions.read(spark, layout.enriched, schema).agg(F.max("run_date")).first()[0]
+
+
+def test_an_old_load_stops_the_day(spark, tmp_path, dims):
+    layout = day_layout(tmp_path)
+    land(layout.raw, "2024-02-01", claim("c1"))
+    # The clock that stamps rows is pinned; a later one judges them.
+    run_day(spark, layout, "2024-02-01", *dims, env="test", as_of="2024-02-01 05:00:00")
+    gate_freshness(spark, layout, "2024-02-03 04:00:00")
+    with pytest.raises(CheckFailed, match="newest row"):
+        gate_freshness(spark, layout, "2024-02-03 06:00:00")
+    gate_freshness(spark, layout, "2024-02-03 06:00:00", {"freshness": "warn"})
+
+
+def test_uniqueness_of_a_run_equals_a_scan(spark, tmp_path, dims):
+    layout = day_layout(tmp_path)
+    runs = [
+        ("2024-02-01", ["c1", "c2", "c3"]), ("2024-02-02", ["c2", "c4"]), ("2024-02-03", ["c2", "c3", "c5"]),
+        # The first run again, without c3: c3 is in one run now.
+        ("2024-02-01", ["c1", "c2"]),
+    ]
+    for day, names in runs:
+        land(layout.raw, day, *[claim(name) for name in names])
+        # The conformed layer keeps one run per claim; fact slices of runs loaded before keep theirs.
+        run_extract(spark, layout.raw, layout.staging, day, "test", "2024-02-03 05:00:00")
+        rows = conform_for_test(spark, layout, day, dims)
+        rows.write.mode("overwrite").parquet(f"{layout.conformed}-{day}")
+        run_load(spark, f"{layout.conformed}-{day}", layout.fact, day)
+    for day, expected in (("2024-02-01", {"c2"}), ("2024-02-02", {"c2"}), ("2024-02-03", {"c2"})):
+        found = repeated_claims(spark, layout.fact, day)
+        assert {r.claim_id for r in found.collect()} == expected
+        slices = {name.split("run_date=")[1].split("/")[0] for name in found.inputFiles() if "run_date=" in name}
+        assert slices == {day}
+
+
+def conform_for_test(spark, layout, day, dims):
+    staged = readers.staged_claims(spark, readers.staging_path(layout.staging, day))
+    return conform(staged, mask_members(dims[0]), dims[1])
+
+
 def test_failing_checks_and_low_loads_stop_the_day(spark, tmp_path, dims):
     layout = day_layout(tmp_path)
     land(layout.raw, "2024-02-01", claim("c1", kind="hospice"), claim("c2"), claim("c3"))

@@ -102,6 +102,19 @@ CONFORMED_CLAIMS = T.StructType(
     STAGED_CLAIMS.fields + MEMBERS.fields[1:] + PROVIDERS.fields[1:] + DERIVED_CLAIMS.fields
 )
 
+# The extract's two routes, and what its quarantine adds: rules that a row breaks.
+STAGED, REJECTED = "staged", "rejected"
+_BROKEN = T.ArrayType(_schema(rule=TEXT, column_name=TEXT, cell=TEXT))
+NOTED = _schema(noted=_BROKEN)
+REJECTED_CLAIMS = T.StructType(
+    [
+        *STAGED_CLAIMS.fields,
+        *_schema(
+            rejected=_BROKEN, noted=_BROKEN, file=TEXT, sent=_schema(service_date=TEXT, discharge_date=TEXT)
+        ).fields,
+    ]
+)
+
 # The warehouse fact table, in column order.
 FACT_COLUMNS = [
     "claim_id",

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from claimforge.operators.merge import merge_by_key, newer_rows
 from claimforge.operators.quality import require_unique
-from claimforge.schemas import CONFORMED_PARTITION, MART_PARTITION, STAGING_PARTITION
+from claimforge.schemas import CONFORMED_PARTITION, MART_PARTITION, REJECTED, STAGED, STAGING_PARTITION
 from claimforge.sources import files, key_index, versions
 
 
@@ -39,6 +39,23 @@ def write_staging(
     out.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
+def write_routed(df: DataFrame, staging: str, quarantine: str) -> None:
+    """Write valid and rejected rows in one pass, then put each kind where it belongs.
+
+    A run that is repeated replaces both folders; one without rejected rows leaves an
+    empty quarantine.
+    """
+    spark = df.sparkSession
+    pending = f"{staging.rstrip('/')}__pending"
+    df.write.mode("overwrite").partitionBy("route", *STAGING_PARTITION).parquet(pending)
+    for route, target in ((STAGED, staging), (REJECTED, quarantine)):
+        files.ensure(spark, f"{pending}/route={route}")
+        files.move_into(spark, f"{pending}/route={route}", target)
+    files.remove(spark, pending)
+    spark.catalog.refreshByPath(staging)
+    spark.catalog.refreshByPath(quarantine)
+
+
 def write_staging_by_month(df: DataFrame, path: str) -> None:
     """The documented staging layout: one folder per service month."""
     month = F.date_format("service_date", "yyyy-MM")

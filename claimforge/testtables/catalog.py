@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,6 +15,7 @@ from claimforge.operators.latest import latest_per_key
 from claimforge.operators.lookup import lookup
 from claimforge.plans import models
 from claimforge.plans.daily import SEVERITY, Layout, run_day
+from claimforge.plans.extract import quarantine_report as count_rules
 from claimforge.plans.extract import run_extract, stage
 from claimforge.plans.load import fact_rows, ledger_figures, run_ledger, run_load
 from claimforge.plans.transform import run_transform
@@ -753,6 +754,51 @@ def extract_odd_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return totals.select("*", *[F.lit(count).cast("long").alias(name) for name, count in report.items()])
 
 
+def landed_odd(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """Files with cells that are no amounts, no dates and no claim types."""
+    texts = {"service_date": "service_text", "discharge_date": "discharge_text"}
+    rows = src.claims(spark, sf_dir, *[texts.get(name, name) for name in src.RAW], "quantity")
+    rows = rows.withColumnsRenamed({text: name for name, text in texts.items()})
+
+    def odd(name: str, *cells: object) -> Column:
+        sent = F.create_map(*[F.lit(x) for x in cells])
+        return F.coalesce(F.get(F.array(sent), F.lit(0))[F.col("quantity").cast("int")], F.col(name).cast("string"))
+
+    changed = {
+        "billed_amount": odd("billed_amount", 6, "NaN", 7, "Infinity", 8, "1e20", 9, "12x"),
+        "paid_amount": odd("paid_amount", 9, "?", 10, "-0.5"),
+        "allowed_amount": odd("allowed_amount", 11, "much"),
+        "claim_type": F.when(F.col("claim_status") == "VOID", "hospice").otherwise(F.col("claim_type")),
+    }
+    landed(spark, sf_dir, root, rows=rows.withColumns(changed).select(*src.RAW))
+
+
+@query
+def quarantine_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected and noted rows by rule, beside the extract's own count of dropped rows."""
+    root = scratch_dir(spark, "quarantine")
+    landed_odd(spark, sf_dir, f"{root}/raw")
+    report = run_extract(
+        spark, f"{root}/raw", f"{root}/staging", RUN_DATE, "test", NOW, quarantine_root=f"{root}/quarantine"
+    )
+    held = f"{root}/quarantine/run_date={RUN_DATE}"
+    found = count_rules(spark, readers.staging_path(f"{root}/staging", RUN_DATE), held)
+    kept = readers.rejected_claims(spark, held).agg(F.count(F.lit(1)).alias("rows"))
+    total = kept.select(F.lit("rejected").alias("route"), F.lit("any").alias("rule"), F.lit("any").alias("column_name"), "rows")
+    return found.unionByName(total).withColumn("rows_dropped", F.lit(report["rows_dropped"]).cast("long"))
+
+
+@query
+def quarantined_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rejected rows themselves, with the cells as they were sent."""
+    root = scratch_dir(spark, "quarantine")
+    landed_odd(spark, sf_dir, f"{root}/raw")
+    run_extract(spark, f"{root}/raw", f"{root}/staging", RUN_DATE, "test", NOW, quarantine_root=f"{root}/quarantine")
+    rows = readers.rejected_claims(spark, f"{root}/quarantine/run_date={RUN_DATE}")
+    rules = F.transform("rejected", lambda b: F.concat_ws(" ", b.rule, b.column_name, F.coalesce(b.cell, F.lit("-"))))
+    return rows.select("claim_id", "member_id", "claim_type", F.array_join(F.array_sort(rules), "; ").alias("rules"), "sent.service_date")
+
+
 def new_layout(spark: SparkSession) -> Layout:
     root = scratch_dir(spark, "day")
     folders = ("raw", "staging", "conformed", "fact", "int", "mart", "checks")

@@ -419,6 +419,18 @@ from (select day, rows, round(cast(sum(rows) over w as double) / nullif(count(*)
   window w as (order by day range between interval 7 days preceding
     and interval 1 day preceding))"""
 
+# Rows of the odd landing that the extract drops, by quantity, with the rules they break.
+REJECTED = """
+rejected as (
+  select *, case quantity when 1 then 'negative billed_amount ' || cast(cast(billed_amount as double) as varchar)
+      when 2 then 'missing member_id -' when 5 then 'missing paid_amount -'
+      when 6 then 'not_finite billed_amount NaN' when 7 then 'not_finite billed_amount Infinity'
+      when 8 then 'too_large billed_amount 1.0E20'
+      when 9 then 'malformed billed_amount 12x; malformed paid_amount ?'
+      when 10 then 'negative paid_amount -0.5' end as rules
+  from (select * replace (case when claim_status = 'VOID' then 'hospice' else claim_type end as claim_type) from claims)
+)"""
+
 ORACLES = {
     "scan_csv_roundtrip": from_claims(
         f"""select claim_id, member_id, provider_npi, service_text as service_date,
@@ -644,6 +656,22 @@ ORACLES = {
         (select count(*) from claims) - count(*) filter (where quantity not in (6, 7, 8)) as rows_dropped
         from clean""",
     ),
+    "quarantined_claims": sql(
+        [*BASE, REJECTED],
+        """select claim_id, sha256(member_id) as member_id, claim_type, rules, service_text as service_date
+        from rejected where rules is not null""",
+    ),
+    "quarantine_report": sql(
+        [*BASE, REJECTED],
+        """select *, (select count(*) from rejected where rules is not null) as rows_dropped from (
+          select 'rejected' as route, split_part(r, ' ', 1) as rule, split_part(r, ' ', 2) as column_name, count(*) as rows
+          from (select unnest(string_split(rules, '; ')) as r from rejected) group by all
+          union all select 'rejected', 'any', 'any', count(*) from rejected where rules is not null
+          union all select 'staged', 'malformed', 'service_date', count(*) from rejected where rules is null and quantity = 3
+          union all select 'staged', 'malformed', 'allowed_amount', count(*) from rejected where rules is null and quantity = 11
+          union all select 'staged', 'unknown', 'claim_type', count(*) from rejected
+            where rules is null and claim_type = 'hospice') where rows > 0""",
+    ),
     "model_views": sql(
         [*TO_INT_COPIES[:-1], INT.replace("int_claims as", "int_all as"), LATEST_RUN], MART
     ),

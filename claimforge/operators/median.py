@@ -1,21 +1,26 @@
-"""Exact median per group without holding a group in one task.
+"""Exact median per group without holding a group in one task, from counts per cent.
 
-The built-in median keeps every distinct value of a group in one aggregation
-buffer. Here the amounts become whole cents and are counted per cent value. The
-middle ranks are then located in three steps: among blocks of 2**40 cents, within
+The built-in median keeps every distinct value of a group in one aggregation buffer.
+Here the amounts become whole cents and are counted per cent value: these counts can be
+added, taken from and stored (``cent_counts``), and the median is located in them. A
+group of at most ``MOST_VALUES`` distinct values is ordered in one window. The middle
+ranks of a larger one are located in three steps: among blocks of 2**40 cents, within
 the found block among blocks of 2**20 cents, and within that among cents. Rows are
-combined map-side before the shuffle and a large group is spread by value. A task
-orders at most 2**21 entries of one group and step, whatever the amounts are.
+combined map-side before the shuffle, and a large group is spread by value. A task orders
+at most 2**21 entries of one group and step, whatever the amounts are.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Low bits of a cent value that a step leaves open.
 STEPS = (40, 20, 0)
+MOST_VALUES = 1 << 21
 
 
 def exact_median(df: DataFrame, group: str, amount: str, scale: int = 2) -> DataFrame:
@@ -27,17 +32,53 @@ def exact_median(df: DataFrame, group: str, amount: str, scale: int = 2) -> Data
     result. All steps read the shuffled counts of the first aggregation; ``df`` is
     computed once.
     """
+    return located_median(cent_counts(df, [group], amount, scale), group, scale)
+
+
+def cent_counts(
+    df: DataFrame, keys: Sequence[str], amount: str, scale: int = 2, weight: Column | None = None
+) -> DataFrame:
+    """``keys``, ``cent`` and ``n``: how often each group has each amount.
+
+    ``weight`` counts a row otherwise than once: -1 takes it away. Counts of several
+    frames add up; entries that add up to nothing are left out.
+    """
     _require_exact(df.schema[amount].dataType, amount, scale)
     units = (F.col(amount).cast(f"decimal(18,{scale})") * 10**scale).cast("bigint")
-    cents = (
-        df.where(F.col(amount).isNotNull())
-        .groupBy(group, units.alias("cent"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    totals = cents.groupBy(group).agg(F.sum("n").alias("total"))
-    # The two middle ranks, counted from 1; the same rank when the total is odd.
-    low, high = F.expr("(total + 1) div 2"), F.expr("(total + 2) div 2")
+    counts = df.where(F.col(amount).isNotNull()).groupBy(*keys, units.alias("cent"))
+    if weight is None:
+        return counts.agg(F.count(F.lit(1)).alias("n"))
+    return counts.agg(F.sum(weight).cast("bigint").alias("n")).where("n <> 0")
+
+
+def located_median(cents: DataFrame, group: str, scale: int = 2) -> DataFrame:
+    """``group``, ``median`` of counts per cent, with at most one row per group and cent."""
+    totals = cents.groupBy(group).agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("values"))
+    # At most one group in MOST_VALUES entries: few, whatever the number of groups is.
+    large = totals.where(F.col("values") > MOST_VALUES).drop("values")
+    small = cents.join(large.select(group), group, "left_anti")
+    found = _in_one_window(small, group).unionByName(_in_steps(cents, large, group))
+    both = F.sum(F.col("place") * F.col("hits")).cast("double")
+    return found.groupBy(group).agg((both / (2 * 10**scale)).alias("median"))
+
+
+def _hits(first: Column, upto: Column, total: Column) -> Column:
+    """How many of the two middle ranks, counted from 1, lie in (first, upto]; they are equal if the total is odd."""
+    low, high = F.shiftright(total + 1, 1), F.shiftright(total + 2, 1)
+    return sum([((rank > first) & (rank <= upto)).cast("int") for rank in (low, high)], F.lit(0))
+
+
+def _in_one_window(cents: DataFrame, group: str) -> DataFrame:
+    whole = Window.partitionBy(group)
+    upto = F.sum("n").over(whole.orderBy("cent").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    placed = cents.select(group, F.col("cent").alias("place"), "n", upto.alias("upto"), F.sum("n").over(whole).alias("total"))
+    hits = _hits(F.col("upto") - F.col("n"), F.col("upto"), F.col("total"))
+    return placed.select(group, "place", hits.alias("hits")).where("hits > 0")
+
+
+def _in_steps(cents: DataFrame, totals: DataFrame, group: str) -> DataFrame:
     found = totals.select(group, "total", F.lit(0).cast("bigint").alias("before"), F.lit(0).alias("place"))
+    cents = cents.join(totals.select(group), group, "left_semi")
     last = None
     for step in STEPS:
         place = F.lit(0) if last is None else F.shiftright("cent", last)
@@ -46,19 +87,12 @@ def exact_median(df: DataFrame, group: str, amount: str, scale: int = 2) -> Data
         ordered = Window.partitionBy(group, "place").orderBy("block")
         upto = F.sum("n").over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow))
         counts = counts.withColumn("upto", F.col("before") + upto).withColumn("first", F.col("upto") - F.col("n"))
-        kept = counts.where((low <= F.col("upto")) & (high > F.col("first")))
-        found = kept.select(group, "total", F.col("first").alias("before"), F.col("block").alias("place"), "upto")
-        found = found if step == STEPS[-1] else found.drop("upto")
+        counts = counts.withColumn("hits", _hits(F.col("first"), F.col("upto"), F.col("total"))).where("hits > 0")
+        found = counts.select(group, "total", F.col("first").alias("before"), F.col("block").alias("place"), "hits")
         last = step
-    hits = F.lit(0)
-    for rank in (low, high):
-        hits = hits + ((rank > F.col("before")) & (rank <= F.col("upto"))).cast("int")
-    both = F.sum(F.col("place") * F.col("hits")).cast("double")
-    return (
-        found.select(group, "place", hits.alias("hits"))
-        .groupBy(group)
-        .agg((both / (2 * 10**scale)).alias("median"))
-    )
+        if step != STEPS[-1]:
+            found = found.drop("hits")
+    return found.select(group, "place", "hits")
 
 
 def _require_exact(kind: T.DataType, name: str, scale: int) -> None:

@@ -120,7 +120,7 @@ def merge_enriched(
     inclusive: bool = False,
     run_date: str | None = None,
 ) -> T.StructType:
-    """The merge alone. The step that publishes it also lists the months that it changed."""
+    """The merge alone; the months it changes have its version, by which the mart finds them."""
     require_unique(dim_members, "member_id", "dim_members")
     require_unique(dim_providers, "provider_npi", "dim_providers")
     stg = stg_claims(fact)
@@ -138,7 +138,7 @@ def merge_enriched(
         hot_keys(fresh, "member_id", "provider_npi"),
     )
     figures = {"rows": F.count(F.lit(1)), "mark": F.max("run_date")}
-    writers.upsert(spark, batch, int_path, schema, only_if_newer="run_date", figures=figures, mark_changed=True)
+    writers.upsert(spark, batch, int_path, schema, only_if_newer="run_date", figures=figures)
     return schema
 
 
@@ -158,18 +158,17 @@ def refresh_mart(
 ) -> list[str] | None:
     """Aggregate the months of the enriched claims that the mart has not seen, or all (None).
 
-    A month is struck off once the mart has it, so the months of a call that was
-    interrupted after its merge are made up for by the next call.
+    The mart's record tells which record of the enriched claims it has seen, so months of
+    a call that was interrupted after its merge are made up for by the next call.
     """
-    record = versions.current(spark, int_path)
-    months = list(record.changed)
+    record, held = versions.current(spark, int_path), versions.current(spark, mart_path)
+    source = int_path, record.number
     # The merge key is unique in the stored table, so distinct claims are plain counts.
-    everything = rebuild or not versions.current(spark, mart_path).number
-    if everything:
+    if rebuild or not held.number:
         base = versions.read(spark, int_path, schema, record)
-        writers.write_mart(monthly_summary(base, as_of, claims_unique=True), mart_path)
-    elif months:
-        base = versions.read(spark, int_path, schema, record, months)
-        writers.write_mart_months(monthly_summary(base, as_of, claims_unique=True), mart_path, months)
-    versions.settle(spark, int_path, months)
-    return None if everything else months
+        writers.write_mart(monthly_summary(base, as_of, claims_unique=True), mart_path, source)
+        return None
+    newer, gone = versions.unseen(record, held, int_path)
+    base = versions.read(spark, int_path, schema, record, newer)
+    writers.write_mart_months(monthly_summary(base, as_of, claims_unique=True), mart_path, [*newer, *gone], source)
+    return newer

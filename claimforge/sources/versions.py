@@ -6,9 +6,11 @@ small file is the only step that readers see. A write that is lost before leaves
 table as it was, and the next one overwrites its folders. A reader keeps the folders of
 the record it began with: those of the last ``KEPT`` records are not removed.
 
-A record also has figures of each partition (rows, greatest value of a column), the
-folders of the key index, and the partitions that changed since a dependent table was
-built. It grows with the number of partitions, not of rows. One writer at a time.
+A record also has figures of each partition (rows, greatest value of a column) and the
+folders of the key index. A table that is built from another names in ``seen`` the record
+it was built from, so the partitions to make up for are those of a greater version: what
+a lost run left behind is found by the next. A record grows with the number of
+partitions, not of rows. One writer at a time.
 """
 
 from __future__ import annotations
@@ -23,8 +25,10 @@ from pyspark.sql import types as T
 
 from claimforge.sources import files
 
-RECORDS, INDEX = "_published", "_index"
+RECORDS, INDEX, CHANGES = "_published", "_index", "_changes"
 KEPT = 3
+# Writes whose changed rows are kept for dependent tables.
+CHANGES_KEPT = 30
 
 
 @dataclass(frozen=True)
@@ -38,8 +42,11 @@ class Record:
     # Key bucket -> versions of the index that hold its entries, and how many buckets there are.
     index: Mapping[str, list[int]] = field(default_factory=dict)
     buckets: int = 0
-    # Partitions that a dependent table has not seen yet.
-    changed: Sequence[str] = ()
+    # Tables this one was built from -> number of their record then.
+    seen: Mapping[str, int] = field(default_factory=dict)
+    # Versions with stored changed rows; every write after record ``changes_from`` has them.
+    changes: Sequence[int] = ()
+    changes_from: int = 0
 
     def with_parts(self, written: Mapping[str, dict | None], gone: Collection[str] = ()) -> Record:
         """The next record: ``written`` partitions (with their figures) are new, ``gone`` ones are no more."""
@@ -115,12 +122,32 @@ def ledger(spark: SparkSession, path: str, **figures: str) -> DataFrame:
     return spark.createDataFrame(rows, f"folder string, {kinds}")
 
 
-def settle(spark: SparkSession, path: str, seen: Collection[str]) -> None:
-    """A dependent table was built from the partitions in ``seen`` as they are now."""
-    record = current(spark, path)
-    left = [name for name in record.changed if name not in seen]
-    if left != list(record.changed):
-        publish(spark, path, replace(record, number=record.number + 1, changed=left))
+def unseen(source: Record, dependent: Record, path: str) -> tuple[list[str], list[str]]:
+    """Partitions of ``source`` (at ``path``) newer than what ``dependent`` saw, and those that are gone.
+
+    Both tables have the same partitions.
+    """
+    seen = dependent.seen.get(path.rstrip("/"), 0)
+    newer = [name for name, held in source.parts.items() if max(held) > seen]
+    return sorted(newer), sorted(dependent.parts.keys() - source.parts.keys())
+
+
+def with_changes(record: Record, stored: bool) -> Record:
+    """A new record that has (or lacks) the rows its write changed."""
+    if not stored:
+        return replace(record, changes=[], changes_from=record.number)
+    changes = [*record.changes, record.number]
+    dropped = changes[:-CHANGES_KEPT]
+    return replace(record, changes=changes[-CHANGES_KEPT:], changes_from=max([record.changes_from, *dropped]))
+
+
+def changed_rows(spark: SparkSession, path: str, schema: T.StructType, record: Record, seen: int) -> DataFrame | None:
+    """Rows that writes after record ``seen`` took away (``sign`` -1) and added (1), or None if not kept."""
+    if seen < record.changes_from:
+        return None
+    schema = T.StructType([*schema.fields, T.StructField("sign", T.IntegerType())])
+    paths = [f"{path.rstrip('/')}/{CHANGES}/version={n}" for n in record.changes if n > seen]
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
 
 def register(spark: SparkSession, table: str, path: str) -> None:
@@ -170,4 +197,5 @@ def _load(spark: SparkSession, path: str, number: int) -> Record:
 
 def _folders(record: Record) -> set[str]:
     data = {f"version={n}/{name}" for name, held in record.parts.items() for n in held}
+    data |= {f"{CHANGES}/version={n}" for n in record.changes}
     return data | {f"{INDEX}/version={n}/{name}" for name, held in record.index.items() for n in held}

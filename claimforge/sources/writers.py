@@ -129,26 +129,40 @@ def _publish_written(
     versions.publish(spark, path, replace(after, **changes))
 
 
+def _seen(record: versions.Record, source: tuple[str, int] | None) -> dict[str, int]:
+    return {**record.seen, **({source[0].rstrip("/"): source[1]} if source else {})}
+
+
 def load_jdbc(df: DataFrame, url: str, table: str, **options: str) -> None:
     """Append to a warehouse table over JDBC, where a driver is on the class path."""
     df.write.format("jdbc").mode("append").options(url=url, dbtable=table, **options).save()
 
 
-def write_mart(df: DataFrame, path: str) -> None:
-    """Full rebuild, one folder per month, clustered by plan."""
-    record = versions.current(df.sparkSession, path)
-    written = versions.write(_mart_rows(df), path, record, MART_PARTITION)
-    _publish_written(df.sparkSession, path, df.schema, record, written, list(record.parts), MART_PARTITION, {})
+def write_mart(df: DataFrame, path: str, source: tuple[str, int] | None = None) -> None:
+    """Full rebuild, one folder per month, clustered by plan.
 
+    ``source`` is the table (and its record's number) that ``df`` was made from.
+    """
+    write_months(_mart_rows(df), path, None, source)
 
-def write_mart_months(df: DataFrame, path: str, months: Sequence[str]) -> None:
-    """Replace the month folders named in ``months`` by ``df``, which holds no other month.
 
-    Months that ``df`` has no row of are removed. All months are switched at once.
-    """
+def write_mart_months(
+    df: DataFrame, path: str, months: Sequence[str], source: tuple[str, int] | None = None
+) -> None:
+    """Replace the month folders named in ``months`` by ``df``, which holds no other month."""
+    write_months(_mart_rows(df), path, months, source)
+
+
+def write_months(
+    df: DataFrame, path: str, months: Sequence[str] | None, source: tuple[str, int] | None = None
+) -> None:
+    """Replace some month folders, or all, by ``df``, in one switch; months without rows go."""
     record = versions.current(df.sparkSession, path)
-    written = versions.write(_mart_rows(df), path, record, MART_PARTITION)
-    _publish_written(df.sparkSession, path, df.schema, record, written, months, MART_PARTITION, {})
+    written = versions.write(df, path, record, MART_PARTITION)
+    gone = list(record.parts) if months is None else months
+    _publish_written(
+        df.sparkSession, path, df.schema, record, written, gone, MART_PARTITION, {}, seen=_seen(record, source)
+    )
 
 
 def _mart_rows(df: DataFrame) -> DataFrame:
@@ -204,7 +218,7 @@ def upsert(
     cluster_by: str = "run_date",
     only_if_newer: str | None = None,
     figures: Mapping[str, Column] | None = None,
-    mark_changed: bool = False,
+    change_columns: Sequence[str] = (),
 ) -> list[str]:
     """Key upsert into a Parquet table partitioned by calendar columns; returns the touched folders.
 
@@ -215,8 +229,9 @@ def upsert(
     it was or as it will be. The source is cast to ``schema`` and must be unique on
     ``key``, also on the first write; a refused source leaves nothing behind.
 
-    ``figures`` are aggregates that the record keeps of each partition. ``mark_changed``
-    lists the touched folders in the record until ``versions.settle`` is called.
+    ``figures`` are aggregates that the record keeps of each partition.
+    ``change_columns`` stores these columns of the rows taken away and added, for tables
+    that are kept up to date by differences.
     """
     path = path.rstrip("/")
     work = f"{path}__pending"
@@ -262,10 +277,16 @@ def upsert(
     moved = source.select(keys, folder).join(held.withColumnRenamed("folder", "before"), "key", "left")
     moved = moved.where(F.col("before").isNull() | (F.col("before") != F.col("folder"))).drop("before")
     indexed = key_index.appended(moved, path, record, record.number + 1)
-    changed = sorted({*record.changed, *touched}) if mark_changed else list(record.changed)
+    if change_columns:
+        added = source.select(*change_columns, F.lit(1).alias("sign"))
+        if record.number:
+            old = versions.read(spark, path, schema, record, touched).join(source.select(key), key, "left_semi")
+            added = added.unionByName(old.select(*change_columns, F.lit(-1).alias("sign")))
+        added.write.mode("overwrite").parquet(f"{path}/{versions.CHANGES}/version={record.number + 1}")
+    kept = versions.with_changes(replace(record, number=record.number + 1), bool(change_columns))
     _publish_written(
         spark, path, schema, record, written, touched, partition_by, figures or {},
-        index=indexed.index, buckets=record.buckets, changed=changed,
+        index=indexed.index, buckets=record.buckets, changes=kept.changes, changes_from=kept.changes_from,
     )
     files.remove(spark, work)
     return sorted(touched)

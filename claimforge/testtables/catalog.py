@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +13,7 @@ from claimforge.functions.amounts import stored_ratio
 from claimforge.operators import cleaning, enrich, merge, quality, scd2, summary
 from claimforge.operators.latest import latest_per_key
 from claimforge.operators.lookup import lookup
-from claimforge.plans import models
+from claimforge.plans import measures, models
 from claimforge.plans.daily import SEVERITY, Layout, run_day
 from claimforge.plans.extract import quarantine_report as count_rules
 from claimforge.plans.extract import run_extract, stage
@@ -565,6 +565,43 @@ def agg_median(spark: SparkSession, sf_dir: str) -> DataFrame:
     return measured(spark, sf_dir, "median_paid_per_claim")
 
 
+def in_three_batches(spark: SparkSession, sf_dir: str, path: str, *columns: str) -> Iterator[T.StructType]:
+    """The enriched claims by three upserts; after each, the table's schema.
+
+    The first sends two thirds with wrong amounts, half of them to wrong months; the
+    second and third send every claim once as it is.
+    """
+    names = [*MART_KEYS, "claim_id", "paid_amount", "run_date", *columns]
+    rows = stored(spark, mart_base(spark, sf_dir, False).select(*names), "int")
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema.fields])
+    part = F.pmod(F.xxhash64("claim_id"), F.lit(6))
+    moved = F.when(part % 2 == 0, 13 - F.col("service_month")).otherwise(F.col("service_month"))
+    wrong = rows.withColumns({"paid_amount": F.col("paid_amount") + 10, "service_month": moved.cast("int")})
+    for batch in (wrong.where(part < 4), rows.where(part >= 2), rows.where(part < 2)):
+        writers.upsert(spark, batch, path, schema, change_columns=measures.FOLLOWED)
+        yield schema
+
+
+@query
+def agg_median_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The median located in counts that three batches added to and took from."""
+    root = scratch_dir(spark, "median")
+    for schema in in_three_batches(spark, sf_dir, f"{root}/int"):
+        measures.refresh_medians(spark, f"{root}/int", schema, f"{root}/cents", f"{root}/medians")
+    found = versions.read(spark, f"{root}/medians", measures.median_schema(schema))
+    return found.select(*MART_KEYS, F.round("median", 4).alias("median_paid_per_claim"))
+
+
+@query
+def agg_distinct_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Members and providers by plan and year, from monthly bitmaps kept over three batches."""
+    root = scratch_dir(spark, "distinct")
+    for schema in in_three_batches(spark, sf_dir, f"{root}/int", "member_id", "provider_npi"):
+        measures.refresh_distinct(spark, f"{root}/int", schema, f"{root}/distinct")
+    found = measures.distinct_counts(spark, f"{root}/distinct", schema, ["plan_id", "service_year"])
+    return found.withColumnsRenamed({"distinct_member_id": "unique_members", "distinct_provider_npi": "unique_providers"})
+
+
 @query
 def agg_conditional_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return measured(spark, sf_dir, "denied_claims", "high_cost_claims", "out_of_network_claims")

@@ -601,6 +601,12 @@ ORACLES = {
         grouped(["avg_paid_per_claim", "avg_los_days", "avg_cost_ratio", "avg_member_risk_score"]),
     ),
     "agg_median": sql(TO_INT, grouped(["median_paid_per_claim"])),
+    "agg_median_merged": sql(TO_INT, grouped(["median_paid_per_claim"])),
+    "agg_distinct_rollup": sql(
+        TO_INT,
+        """select plan_id, cast(service_year as bigint) as service_year, count(distinct member_id) as unique_members,
+        count(distinct provider_npi) as unique_providers from int_claims group by all""",
+    ),
     "agg_conditional_counts": sql(
         TO_INT, grouped(["denied_claims", "high_cost_claims", "out_of_network_claims"])
     ),

@@ -35,6 +35,8 @@ PIECE = 1 << 16
 SKETCH_ROWS, LEAST_CELLS, MOST_CELLS, SLICE = 3, 1 << 12, 1 << 24, 1 << 12
 # Bytes of one piece of a node's list of ids.
 CHUNK_BYTES = 1 << 20
+# A parent with more than one child in so many is one of so many at most.
+HEAVY = 1000
 NOTHING = hashlib.sha256(b"").hexdigest()
 NAME = ["d1", "d2"]
 PARENT = ["p1", "p2"]
@@ -281,6 +283,24 @@ def id_digests(members: DataFrame) -> DataFrame:
     return pieces.mapInArrow(digest, "d1 long, d2 long, ends string")
 
 
+def with_parents(rows: DataFrame, children: DataFrame, members: DataFrame) -> DataFrame:
+    """``rows`` with ``parent_conv_id``, the smallest member of their parent.
+
+    Parents with many children, at most ``HEAVY`` of them, are broadcast: their children
+    would meet in one task. A parent that was not grouped is of one conversation: the
+    row's own.
+    """
+    total = children.agg(F.sum("n_children")).first()[0] or 0
+    names = members.join(children, NAME).withColumn("heavy", F.col("n_children") * HEAVY > total)
+    names = stored(names.select(F.col("d1").alias("p1"), F.col("d2").alias("p2"), "parent", "heavy"), "parents")
+    placed = rows.join(F.broadcast(names.where("heavy").drop("heavy")), PARENT, "left")
+    placed = stored(placed, "placed")
+    easy = placed.where("parent is not null").withColumnRenamed("parent", "parent_conv_id")
+    rest = placed.where("parent is null").drop("parent").join(names.where("not heavy").drop("heavy"), PARENT, "left")
+    rest = rest.withColumn("parent_conv_id", F.coalesce("parent", "conv_id")).drop("parent")
+    return easy.unionByName(rest)
+
+
 def nodes(turns: DataFrame, convs: DataFrame) -> DataFrame:
     """The trie's nodes from ``turns`` and ``convs`` as ``rebuilt`` returns them.
 
@@ -321,6 +341,7 @@ def nodes(turns: DataFrame, convs: DataFrame) -> DataFrame:
     ends = stored(id_digests(ending.unionByName(turnless)), "ends")
     root_ends = ends.where("d1 = 0 and d2 = 0").first()
 
+    smallest_member = found.select(*NAME, F.col("conv_id").alias("parent"))
     found = found.join(below, NAME, "left").join(ends, NAME, "left").select(
         "conv_id", "depth", *PARENT, "n_convs", "n_children",
         F.coalesce("n_leaves", zero).alias("n_leaves"),
@@ -336,11 +357,7 @@ def nodes(turns: DataFrame, convs: DataFrame) -> DataFrame:
     inner = single.where("parent_single").drop("parent_single").withColumn("parent_conv_id", F.col("conv_id"))
     outer = found.unionByName(single.where("not parent_single").drop("parent_single"))
     top = outer.where("depth = 1").withColumn("parent_conv_id", F.lit(root.conv_id).cast("long"))
-    # A parent that was not grouped is of one conversation: this one.
-    names = shared.groupBy(*NAME).agg(F.min("conv_id").alias("parent"))
-    names = names.select(F.col("d1").alias("p1"), F.col("d2").alias("p2"), "parent")
-    deep = outer.where("depth > 1").join(names, PARENT, "left")
-    deep = deep.withColumn("parent_conv_id", F.coalesce("parent", "conv_id"))
+    deep = with_parents(outer.where("depth > 1"), kept, smallest_member)
     columns = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
     n_children = at_root.n_children if at_root else 0
     first = [] if root.conv_id is None else [

@@ -350,23 +350,28 @@ def file_starts(files: DataFrame) -> DataFrame:
 
 
 def read_tokens(files: DataFrame, row: Callable[[np.ndarray], object], kind: str) -> DataFrame:
-    """``doc_id, start, n_tokens, value`` per document, ``value`` being ``row(its ids)``."""
+    """``doc_id, start, n_tokens, value`` per document, ``value`` being ``row(its ids)``.
+
+    Files are read where they lie; where a document starts in its file is then moved by
+    the start of the file, so that no file's bytes are shuffled.
+    """
     arrow = {"long": pa.int64(), "binary": pa.binary()}[kind]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            for part, file, data in zip(*(batch.column(i).to_pylist() for i in (0, 1)), batch.column(2), strict=True):
                 ids, lengths, values = read_file(data.as_py())
                 ends = offsets(lengths)
                 found = [row(values[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
                 yield pa.record_batch(
-                    [pa.array(ids, pa.int64()), pa.array(ends[:-1] + at), pa.array(lengths.astype(np.int64)),
-                     pa.array(found, arrow)],
-                    names=["doc_id", "start", "n_tokens", "value"],
+                    [pa.array(np.full(len(ids), part)), pa.array(np.full(len(ids), file)), pa.array(ids, pa.int64()),
+                     pa.array(ends[:-1]), pa.array(lengths.astype(np.int64)), pa.array(found, arrow)],
+                    names=["part", "file", "doc_id", "inside", "n_tokens", "value"],
                 )
 
-    placed = files.join(file_starts(files), ["part", "file"]).select("start", "data")
-    return placed.mapInArrow(run, f"doc_id long, start long, n_tokens long, value {kind}")
+    kinds = f"part long, file long, doc_id long, inside long, n_tokens long, value {kind}"
+    found = files.select("part", "file", "data").mapInArrow(run, kinds).join(file_starts(files), ["part", "file"])
+    return found.select("doc_id", (F.col("start") + F.col("inside")).alias("start"), "n_tokens", "value")
 
 
 def crc_of(ids: np.ndarray) -> int:

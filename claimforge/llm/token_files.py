@@ -39,6 +39,8 @@ FILE_IDS = 4 << 20
 # Distinct chunks and pre-tokens whose ids a worker keeps before it starts afresh, and the
 # characters it cuts into chunks at a time.
 MAX_CHUNKS, MAX_PIECES, SLICE_CHARS = 400_000, 800_000, 4 << 20
+# Characters of a text by which rows of one doc_id are dealt.
+RANGE_CHARS = 64
 HEADER = "<8sQQQ"
 FILES = "part long, file long, n_docs long, n_ids long, data binary"
 
@@ -331,7 +333,9 @@ def write_tokens(
             yield flush()
 
     ordered = docs.select(F.col("doc_id").cast("long"), "text")
-    ordered = ordered.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # The head of the text splits rows without an id, or of one id, in the same order.
+    head = F.substring("text", 1, RANGE_CHARS)
+    ordered = ordered.repartitionByRange("doc_id", head).sortWithinPartitions("doc_id", "text")
     return stored(ordered.mapInArrow(run, FILES), "tokens")
 
 

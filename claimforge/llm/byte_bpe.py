@@ -33,6 +33,9 @@ from claimforge.session import scratch_dir
 
 # Characters of a block; a longer document is a block of its own.
 BLOCK_CHARS = 32 << 20
+# A place is 63 bits: the partition, the block in it, the word or document in the block. More
+# of any is an error, not a mixed-up text.
+PART_BITS, PART_BLOCK_BITS, PLACE_BITS = 20, 15, 28
 DOCUMENT, WORD = 0, 1
 BYTES, DIGESTS = ("ids", "decoded"), ("ids_sha256", "decoded_sha256")
 SPLIT = "kind int, block long, place long, id long, data binary"
@@ -79,15 +82,20 @@ def split_words(docs: DataFrame, pattern: str, block_chars: int = BLOCK_CHARS) -
         find = regex.compile(pattern).findall
         schema = pa.schema([("kind", pa.int32()), ("block", pa.int64()), ("place", pa.int64()),
                             ("id", pa.int64()), ("data", pa.binary())])
-        block = TaskContext.get().partitionId() << 10
+        part = TaskContext.get().partitionId()
+        first = block = part << PART_BLOCK_BITS
+        if part >> PART_BITS:
+            raise ValueError(f"more than {1 << PART_BITS} partitions of documents")
 
         def flush(ids: list, codes: list, numbers: dict) -> pa.RecordBatch:
             n, m = len(ids), len(numbers)
+            if block - first >> PART_BLOCK_BITS or max(n, m) >> PLACE_BITS:
+                raise ValueError("a partition has too many blocks, or a block too many words, to number them")
             return pa.record_batch(
                 [
                     pa.array(np.repeat(np.int32([DOCUMENT, WORD]), [n, m])),
                     pa.array(np.full(n + m, block)),
-                    pa.array((block << 32) + np.concatenate((np.arange(n), np.arange(m)))),
+                    pa.array((block << PLACE_BITS) + np.concatenate((np.arange(n), np.arange(m)))),
                     pa.array(ids + [None] * m, pa.int64()),
                     pa.array(codes + [word.encode() for word in numbers], pa.binary()),
                 ],
@@ -126,10 +134,10 @@ def encode_words(words: DataFrame, ranks: dict[bytes, int], pattern: str) -> Dat
         order = np.argsort(places)
         places, which = places[order], np.array(which)[order]
         starts, values = offsets(map(len, codes)), np.fromiter(itertools.chain.from_iterable(codes), np.uint32)
-        blocks, first = np.unique(places >> 32, return_index=True)
+        blocks, first = np.unique(places >> PLACE_BITS, return_index=True)
         rows = []
         for block, a, b in zip(blocks, first, [*first[1:], len(places)], strict=True):
-            items, own = places[a:b] & 0xFFFFFFFF, which[a:b]
+            items, own = places[a:b] & (1 << PLACE_BITS) - 1, which[a:b]
             steps, sizes = np.diff(items, prepend=0), np.diff(starts)[own]
             rows.append((block, pack(steps), pack(sizes), pack(gather(own, starts, values))))
         columns = zip(*rows, strict=True)

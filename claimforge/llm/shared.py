@@ -82,7 +82,8 @@ def labelled_sample(
     """``doc_id, text, label`` of at most ``per_class`` rows of each label 0 and 1.
 
     The rows with the least hashes of their id among the labels that pass ``keep``; the
-    chosen ids, at most twice ``per_class``, are broadcast to one scan of the texts.
+    chosen ids, at most twice ``per_class``, are broadcast to one scan of the texts. Of
+    several rows of one id the least text counts.
     """
     usable = labels.where(keep & F.col("doc_id").isNotNull()).select("doc_id", F.col(label).alias("label"))
     place = F.xxhash64(F.lit(11), "doc_id")
@@ -90,4 +91,5 @@ def labelled_sample(
         usable.where(F.col("label") == value).orderBy(place, "doc_id").limit(per_class) for value in (0, 1)
     ]
     chosen = parts[0].unionByName(parts[1]).dropDuplicates(["doc_id"])
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    return found.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("label").alias("label"))

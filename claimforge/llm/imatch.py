@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from claimforge.llm.shared import let, table, text_or_empty
+from claimforge.llm.shared import let, stored, table, text_or_empty
 
 # Band of document shares: idf = -ln(share) between 2.3 and 5.3.
 LEAST_SHARE, MOST_SHARE = 0.005, 0.1
@@ -97,21 +97,24 @@ def lexicon_map(docs: DataFrame, least: float = LEAST_SHARE, most: float = MOST_
 
     ``least`` is a share of the rows, ``most`` one of the documents' weight, where a large
     group of copies or near copies counts about once. Document frequencies are pre-aggregated
-    per task, then shuffled by term. The driver receives the words of the map that have a
+    per task, then shuffled by term and stored. The driver receives the words of the map that have a
     bit, at most 2 ** (MAP_BITS - 6), and the hot groups.
     """
     text = text_or_empty()
     n = docs.count()
     groups = hot_groups(docs, n)
-    lost = lost_weight(text, groups)
-    all_lost = docs.select(F.sum(lost)).first()[0] if any(groups) else 0
+    # A null term per document sums up what all weigh less, in the same pass.
+    every = F.concat(terms(text), F.array(F.lit(None).cast("long")))
     found = (
         # Two steps: beside the explode the weight would be computed for every term.
-        docs.select(terms(text).alias("terms"), lost.alias("lost"))
+        docs.select(every.alias("terms"), lost_weight(text, groups).alias("lost"))
         .select(F.explode("terms").alias("term"), "lost")
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("df"), F.sum("lost").alias("lost"))
     )
+    found = stored(found, "terms")
+    all_lost = next((row.lost for row in found.where("term is null").collect()), 0)
+    found = found.where("term is not null")
     weight = F.col("df") * F.lit(ONE) - F.col("lost")
     # A term of one document alone tells nothing, however small the corpus.
     band = found.where(

@@ -49,6 +49,16 @@ def test_stages_one_by_one(spark):
     assert all(r.n_tokens == len(whole.encode_ordinary(hidden[r.doc_id])) for r in found)
 
 
+def test_rows_that_share_an_id_are_documents_of_their_own(spark, documents):
+    words = [f"w{i}" for i in range(40)]
+    text, near, other = " ".join(words), " ".join([*words[:39], "x"]), " ".join(reversed(words))
+    rows = [(1, other), (1, text), (2, near), (3, near), (4, None), (4, ""), (5, "short"), (5, "short"), (None, text), (None, None)]
+    kept = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, documents(rows), SMALL)
+    found = Counter((r.doc_id, r.text) for r in kept.collect())
+    assert found == Counter([(1, other), (1, text), (4, None), (4, ""), (5, "short"), (None, text), (None, None)])
+    assert kept.columns == documents(rows).columns
+
+
 def test_run_on_odd_rows(spark, odd, tmp_path):
     odd.write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))

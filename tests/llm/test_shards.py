@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import zlib
 from collections import Counter, defaultdict
 
 import pytest
@@ -58,3 +59,17 @@ def test_prefix_starts_over_several_spans(spark, monkeypatch):
             expected[i] = start
             start += i % 5 + 1
     assert {r.bucket: r.start for r in shards.prefix_starts(counts).collect()} == expected
+
+
+def test_query_equals_plain_code(spark):
+    docs = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    found = shards.op2_shards(spark, "/root/testdata/sf0.001").collect()
+    assert len(found) == len(docs) and {r.law for r in found} <= {"rows", "bytes", "key"}
+    slots = {}
+    for r in found:
+        data = (docs[r.doc_id] or "").encode()
+        assert (r.size, r.text_crc32) == (len(data) + 8, zlib.crc32(data))
+        slots.setdefault(r.shard, []).append(r.slot)
+    assert set(slots) == set(range(24)) and all(sorted(x) == list(range(len(x))) for x in slots.values())
+    if found[0].law == "rows":
+        assert max(map(len, slots.values())) - min(map(len, slots.values())) <= 1

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import public_tokenizers
 import pytest
@@ -76,3 +78,30 @@ def test_documents_come_back_in_order(spark, odd, monkeypatch, file_ids):
 def test_empty_table(spark, none):
     files = token_files.write_tokens(none, lambda: token_files.ChunkEncoder(PATH), 1)
     assert token_files.read_tokens(files, len, "long").collect() == []
+
+
+def test_rows_without_an_id_are_spread_in_order(spark, documents):
+    docs = documents([(None if i % 3 else i, f"text {i % 50:03} {i}") for i in range(400)] + [(None, None), (None, "")])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        files = token_files.write_tokens(docs.repartition(8), lambda: token_files.ChunkEncoder(PATH), 1)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    nulls = docs.where("doc_id is null").count()
+    assert files.agg({"n_docs": "max"}).first()[0] < nulls
+    rows = token_files.read_tokens(files, lambda ids: ids.astype("<u4").tobytes(), "binary").orderBy("start").collect()
+    nulls_first = lambda x: (x[0] is not None, x[0] or 0, x[1] is not None, x[1] or "")
+    texts = [t for _, t in sorted(((r.doc_id, r.text) for r in docs.collect()), key=nulls_first)]
+    for row, text in zip(rows, texts, strict=True):
+        assert np.frombuffer(row.value, "<u4").tolist() == [*LIBRARY.encode(text or "", add_special_tokens=False).ids, 1]
+
+
+def test_query_equals_the_library(spark):
+    docs = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    expected, start = set(), 0
+    for doc_id in sorted(docs):
+        ids = np.array([*LIBRARY.encode(docs[doc_id] or "", add_special_tokens=False).ids, 1], "<u4")
+        expected.add((doc_id, start, len(ids), zlib.crc32(ids.tobytes())))
+        start += len(ids)
+    found = token_files.op7_token_files(spark, "/root/testdata/sf0.001").collect()
+    assert {(r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in found} == expected and len(found) == len(docs)

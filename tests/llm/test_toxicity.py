@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import time
+
 import numpy as np
 import pytest
 
@@ -103,3 +105,26 @@ def test_the_lexicon_has_no_greatest_size():
     toxic = [f"what{i}{k} {name} now{i}{k}" for i, name in enumerate(names) for k in range(25)]
     grammar = toxicity.learn(clean + [f"more{i} calm{i} words{i}" for i in range(8000)] + toxic, [0] * 8320 + [1] * len(toxic))
     assert all(grammar.weight(name) > 0 for name in names)
+
+
+def test_long_texts_take_linear_time():
+    reader = toxicity.Reader(toxicity.Grammar({"idiot": 1.0}, {}, 1.0, 0.0))
+    part = "you idiot, and so on without any end of this clause " * 20
+
+    def seconds(times):
+        text = (part + ". ") * times
+        start = time.perf_counter()
+        total, clauses = reader.total(text)
+        assert clauses == times or total >= 0
+        return time.perf_counter() - start
+
+    seconds(20)
+    small, large = (min(seconds(n) for _ in range(3)) for n in (100, 1600))
+    assert large < 60 * small + 0.05
+
+
+def test_clauses_do_not_depend_on_what_was_read_before():
+    reader = toxicity.Reader(toxicity.Grammar({"idiot": 1.0}, {}, 1.0, 0.0))
+    clauses = ["you idiot", "fine day", "not an idiot", "he said you idiot", "", "idiot"]
+    alone = sum(reader.total(c + ".")[0] for c in clauses)
+    assert reader.total(". ".join(clauses) + ".")[0] == pytest.approx(alone)

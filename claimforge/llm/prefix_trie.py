@@ -286,19 +286,24 @@ def id_digests(members: DataFrame) -> DataFrame:
 def with_parents(rows: DataFrame, children: DataFrame, members: DataFrame) -> DataFrame:
     """``rows`` with ``parent_conv_id``, the smallest member of their parent.
 
-    Parents with many children, at most ``HEAVY`` of them, are broadcast: their children
-    would meet in one task. A parent that was not grouped is of one conversation: the
-    row's own.
+    Parents with many children, fewer than ``HEAVY`` of them, are broadcast, and their
+    children keep out of each other's way in the join of the others: all would meet in
+    one task. A parent that was not grouped is of one conversation: the row's own.
     """
+    spark = rows.sparkSession
     total = children.agg(F.sum("n_children")).first()[0] or 0
-    names = members.join(children, NAME).withColumn("heavy", F.col("n_children") * HEAVY > total)
-    names = stored(names.select(F.col("d1").alias("p1"), F.col("d2").alias("p2"), "parent", "heavy"), "parents")
-    placed = rows.join(F.broadcast(names.where("heavy").drop("heavy")), PARENT, "left")
-    placed = stored(placed, "placed")
-    easy = placed.where("parent is not null").withColumnRenamed("parent", "parent_conv_id")
-    rest = placed.where("parent is null").drop("parent").join(names.where("not heavy").drop("heavy"), PARENT, "left")
-    rest = rest.withColumn("parent_conv_id", F.coalesce("parent", "conv_id")).drop("parent")
-    return easy.unionByName(rest)
+    heavy = children.where(F.col("n_children") * HEAVY > total).select(*NAME).collect()
+    names = members.select(F.col("d1").alias("p1"), F.col("d2").alias("p2"), "parent")
+    if not heavy:
+        found = rows.join(names, PARENT, "left").withColumn("parent_conv_id", F.coalesce("parent", "conv_id"))
+        return found.drop("parent")
+    few = F.broadcast(spark.createDataFrame(heavy, "p1 long, p2 long"))
+    known = names.join(few, PARENT).select(*PARENT, F.col("parent").alias("known")).collect()
+    known = F.broadcast(spark.createDataFrame(known, "p1 long, p2 long, known long"))
+    own = F.when(F.col("known").isNull(), F.col("p1")).otherwise(F.xxhash64("conv_id", "depth")).alias("p1")
+    placed = rows.join(known, PARENT, "left").select(*[own if c == "p1" else c for c in rows.columns], "known")
+    found = placed.join(names, PARENT, "left")
+    return found.withColumn("parent_conv_id", F.coalesce("known", "parent", "conv_id")).drop("parent", "known")
 
 
 def nodes(turns: DataFrame, convs: DataFrame) -> DataFrame:

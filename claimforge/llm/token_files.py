@@ -29,11 +29,13 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from claimforge.llm.byte_bpe import gather, offsets
-from claimforge.llm.shared import stored, table
+from claimforge.llm.shared import arrow_batches, stored, table
 
 MAGIC = b"PFOR1\0\0\0"
 BLOCK = 128
 PERCENTILE = 90
+# Blocks that are packed or unpacked at a time: half a million ids, 16 MB as single bits.
+SLAB = 1 << 12
 # Ids of a file; a longer document is a file of its own.
 FILE_IDS = 4 << 20
 # Distinct chunks and pre-tokens whose ids a worker keeps before it starts afresh, and the
@@ -41,6 +43,8 @@ FILE_IDS = 4 << 20
 MAX_CHUNKS, MAX_PIECES, SLICE_CHARS = 400_000, 800_000, 4 << 20
 # Characters of a text by which rows of one doc_id are dealt.
 RANGE_CHARS = 64
+# Texts that a worker is sent at a time.
+BATCH_ROWS = 2000
 HEADER = "<8sQQQ"
 FILES = "part long, file long, n_docs long, n_ids long, data binary"
 
@@ -59,8 +63,33 @@ def pack_blocks(values: np.ndarray) -> bytes:
     blocks = -(-n // BLOCK)
     if not blocks:
         return struct.pack("<Q", 0)
+    parts = [_pack(values[at : at + SLAB * BLOCK]) for at in range(0, n, SLAB * BLOCK)]
+    least, width, packed, rows, places, outliers = zip(*parts, strict=True)
+    width = np.concatenate(width)
+    starts = offsets(width.astype(np.int64) * (BLOCK // 8))
+    exceptions = offsets(np.concatenate(rows))
+    return b"".join(
+        [
+            struct.pack("<Q", n),
+            *least,
+            width.tobytes(),
+            starts.astype("<u8").tobytes(),
+            exceptions.astype("<u8").tobytes(),
+            *packed,
+            *places,
+            *outliers,
+        ]
+    )
+
+
+def _pack(values: np.ndarray) -> tuple[bytes, np.ndarray, bytes, np.ndarray, bytes, bytes]:
+    """Of at most ``SLAB`` blocks: minima, widths, packed bits, and exceptions (a block's count, places, rests).
+
+    Bits are bytes while they are packed, 32 of an id, so few blocks are packed at a time.
+    """
+    blocks = -(-len(values) // BLOCK)
     padded = np.full(blocks * BLOCK, values[-1], np.uint32)
-    padded[:n] = values
+    padded[: len(values)] = values
     padded = padded.reshape(blocks, BLOCK)
     least = padded.min(1)
     rest = padded - least[:, None]
@@ -80,18 +109,9 @@ def pack_blocks(values: np.ndarray) -> bytes:
             bits = bits.reshape(len(own), BLOCK, kind)[:, :, kind - w :]
             data = np.packbits(bits.reshape(len(own), -1), axis=1)
             packed[starts[own][:, None] + np.arange(data.shape[1])] = data
-    exceptions = offsets(np.bincount(rows, minlength=blocks))
-    return b"".join(
-        [
-            struct.pack("<Q", n),
-            least.astype("<u4").tobytes(),
-            width.tobytes(),
-            starts.astype("<u8").tobytes(),
-            exceptions.astype("<u8").tobytes(),
-            packed.tobytes(),
-            places.astype(np.uint8).tobytes(),
-            outliers.astype("<u4").tobytes(),
-        ]
+    return (
+        least.astype("<u4").tobytes(), width, packed.tobytes(), np.bincount(rows, minlength=blocks),
+        places.astype(np.uint8).tobytes(), outliers.astype("<u4").tobytes(),
     )
 
 
@@ -121,10 +141,12 @@ def unpack_blocks(data: memoryview, first: int = 0, last: int | None = None) ->
     low, high = first // BLOCK, -(-last // BLOCK)
     out = np.zeros((high - low, BLOCK), np.uint32)
     for w in np.unique(width[low:high]):
-        if w:
-            own = low + np.nonzero(width[low:high] == w)[0]
-            size = int(w) * BLOCK // 8
-            kind = 16 if w <= 16 else 32
+        if not w:
+            continue
+        size, kind = int(w) * BLOCK // 8, 16 if w <= 16 else 32
+        same = low + np.nonzero(width[low:high] == w)[0]
+        for first_own in range(0, len(same), SLAB):
+            own = same[first_own : first_own + SLAB]
             bits = np.zeros((len(own), BLOCK, kind), np.uint8)
             found = np.unpackbits(packed[starts[own][:, None] + np.arange(size)], axis=1)
             bits[:, :, kind - w :] = found.reshape(len(own), BLOCK, int(w))
@@ -336,7 +358,8 @@ def write_tokens(
     # The head of the text splits rows without an id, or of one id, in the same order.
     head = F.substring("text", 1, RANGE_CHARS)
     ordered = ordered.repartitionByRange("doc_id", head).sortWithinPartitions("doc_id", "text")
-    return stored(ordered.mapInArrow(run, FILES), "tokens")
+    with arrow_batches(docs.sparkSession, BATCH_ROWS):
+        return stored(ordered.mapInArrow(run, FILES), "tokens")
 
 
 # Reading --------------------------------------------------------------------

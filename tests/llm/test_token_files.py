@@ -105,3 +105,18 @@ def test_query_equals_the_library(spark):
         start += len(ids)
     found = token_files.op7_token_files(spark, "/root/testdata/sf0.001").collect()
     assert {(r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in found} == expected and len(found) == len(docs)
+
+
+def test_packing_holds_few_blocks_as_bits(monkeypatch):
+    """The bytes of a file do not depend on how many blocks are packed at a time; memory does not grow with it."""
+    import tracemalloc
+
+    values = np.random.default_rng(3).zipf(1.3, 1 << 20).clip(max=50_000).astype(np.uint32)
+    tracemalloc.start()
+    data = token_files.pack_blocks(values)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20 << 20
+    assert (token_files.unpack_blocks(memoryview(data))[0] == values).all()
+    monkeypatch.setattr(token_files, "SLAB", 1 << 20)
+    assert token_files.pack_blocks(values) == data

@@ -17,7 +17,7 @@ from tests.test_catalog import SMALL as SF
 
 def test_packed_texts_are_shorter_told_apart_and_read_back(spark):
     digest = "0a" * 32
-    texts = [digest, digest.upper(), digest[:-1], "M1", "", "\x01x", "Zoë", None]
+    texts = [digest, digest.upper(), digest[:-1], digest + "\n", "M1", "", "\x01x", "Zoë", None]
     rows = spark.createDataFrame([(x,) for x in texts], "t string").withColumn("b", packed("t"))
     found = rows.select("t", "b", unpacked("b").alias("back")).collect()
     assert all(row.t == row.back for row in found)
@@ -97,3 +97,9 @@ def test_merge_orders_claims_only_where_one_is_sent_twice(spark, tmp_path, monke
     assert not called
     models.merge_enriched(spark, once.unionByName(once), *dims, str(tmp_path / "twice"), catalog.NOW)
     assert called
+
+
+def test_median_of_a_plain_group_keeps_the_group_null(spark):
+    rows = spark.createDataFrame([(None, 1), (None, 3), ("a", 5)], "g string, v int")
+    rows = rows.withColumn("v", F.col("v").cast("decimal(18,2)"))
+    assert {row.g: row["median"] for row in exact_median(rows, "g", "v").collect()} == {None: 2.0, "a": 5.0}

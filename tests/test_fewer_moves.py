@@ -1,8 +1,11 @@
 """Shuffles that are spared, and the results that must not change by it."""
 
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from claimforge.operators import summary
+from claimforge.operators.numbering import bitmaps
+from claimforge.plans import measures, models
 from claimforge.sources import key_index, versions, writers
 from claimforge.testtables import catalog
 from claimforge.testtables import claims as src
@@ -71,3 +74,33 @@ def test_a_first_write_looks_up_no_keys(spark, tmp_path, monkeypatch):
     assert len(writers.upsert(spark, again, path, batch.schema)) == 3
     found = versions.read(spark, path, batch.schema).select("claim_id", "service_month").collect()
     assert sorted(map(tuple, found)) == [("a", 3), ("b", 3)]
+
+
+def test_a_first_upsert_stores_its_batch_once(spark, tmp_path, monkeypatch):
+    rows = [("C1", 2000, 1, "a"), ("C2", 2000, 2, "a"), ("C3", None, None, None)]
+    rows = spark.createDataFrame(rows, "claim_id string, service_year int, service_month int, run_date string")
+    stored, plain = [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path, *a, **k: stored.append(path) or plain(self, path, *a, **k))
+    path = str(tmp_path / "t")
+    assert len(writers.upsert(spark, rows, path, rows.schema)) == 3
+    assert stored == [f"{path}/version=1", f"{path}/_index/version=1"]
+    assert sorted(map(str, versions.read(spark, path, rows.schema).collect())) == sorted(map(str, rows.collect()))
+    # A merge finds the rows of the first write by their keys, also one that moves.
+    again = rows.where("claim_id = 'C2'").withColumn("service_month", F.lit(1))
+    writers.upsert(spark, again, path, rows.schema)
+    found = {row.claim_id: row.service_month for row in versions.read(spark, path, rows.schema).collect()}
+    assert found == {"C1": 1, "C2": 1, "C3": None}
+
+
+def test_a_merge_moves_digests_as_bytes(spark, tmp_path, monkeypatch):
+    members = ["0a" * 32, "0A" * 32, "M1", "", None]
+    rows = [(f"C{n}", member, 2000, 1, "a") for n, member in enumerate(members)]
+    rows = spark.createDataFrame(rows, "claim_id string, member_id string, service_year int, service_month int, run_date string")
+    kinds, plain = [], writers.merge_by_key
+    monkeypatch.setattr(writers, "merge_by_key", lambda old, new, key: kinds.append(dict(old.dtypes)["member_id"]) or plain(old, new, key))
+    path = str(tmp_path / "t")
+    writers.upsert(spark, rows, path, rows.schema)
+    writers.upsert(spark, rows.where("claim_id = 'C0'").withColumn("member_id", F.lit("0b" * 32)), path, rows.schema)
+    assert kinds == ["binary"]
+    found = {row.claim_id: row.member_id for row in versions.read(spark, path, rows.schema).collect()}
+    assert found == {f"C{n}": member for n, member in enumerate(["0b" * 32, *members[1:]])}

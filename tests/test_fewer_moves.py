@@ -104,3 +104,15 @@ def test_a_merge_moves_digests_as_bytes(spark, tmp_path, monkeypatch):
     assert kinds == ["binary"]
     found = {row.claim_id: row.member_id for row in versions.read(spark, path, rows.schema).collect()}
     assert found == {f"C{n}": member for n, member in enumerate(["0b" * 32, *members[1:]])}
+
+
+def test_a_merge_of_claims_joins_members_as_bytes(spark, tmp_path, monkeypatch):
+    kinds, plain = [], models.int_claims
+    monkeypatch.setattr(models, "int_claims", lambda stg, *a: kinds.append(dict(stg.dtypes)["member_id"]) or plain(stg, *a))
+    fact = catalog.spelled(catalog.all_facts(spark, SF))
+    dims = catalog.cleaning.mask_members(src.dim_members(spark, SF)), src.dim_providers(spark, SF)
+    schema = models.merge_enriched(spark, fact, *dims, str(tmp_path / "int"), catalog.NOW)
+    assert kinds == ["binary"]
+    found = versions.read(spark, str(tmp_path / "int"), schema)
+    assert {len(row[0]) for row in found.select("member_id").distinct().collect()} == {64}
+    assert found.where("age_band is not null").count() > 0

@@ -116,3 +116,16 @@ def test_a_merge_of_claims_joins_members_as_bytes(spark, tmp_path, monkeypatch):
     found = versions.read(spark, str(tmp_path / "int"), schema)
     assert {len(row[0]) for row in found.select("member_id").distinct().collect()} == {64}
     assert found.where("age_band is not null").count() > 0
+
+
+def test_rows_reach_their_numbers_in_one_move(spark, tmp_path, monkeypatch):
+    rows = [("C1", "m", "p", 1), ("C2", "m", "p", 1), ("C3", "0a" * 32, None, 1), ("C4", None, "p", 2), ("C5", "m", "q", 2)]
+    rows = spark.createDataFrame(rows, "claim_id string, member_id string, provider_npi string, service_month int")
+    rows = rows.withColumns({"service_year": F.lit(2000), "plan_id": F.lit("x"), "run_date": F.lit("a")})
+    plans = []
+    monkeypatch.setattr(measures, "bitmaps", lambda pairs, groups: plans.append(plan_lines(pairs, "HashAggregate")) or bitmaps(pairs, groups))
+    writers.upsert(spark, rows, str(tmp_path / "int"), rows.schema)
+    measures.refresh_distinct(spark, str(tmp_path / "int"), rows.schema, str(tmp_path / "d"))
+    assert plans == [[], []]
+    found = measures.distinct_counts(spark, str(tmp_path / "d"), rows.schema, ["plan_id", "service_month"])
+    assert {row.service_month: (row.distinct_member_id, row.distinct_provider_npi) for row in found.collect()} == {1: (2, 1), 2: (1, 2)}

@@ -133,8 +133,13 @@ def all_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def with_copies(spark: SparkSession, sf_dir: str, *measures: str) -> DataFrame:
     """Measures over all copies: distinct counts differ from rows, rates may pass 100."""
-    base = models.int_claims(models.stg_claims(all_facts(spark, sf_dir)), None, None, RUN_DATE)
-    return summary.summarize(base, measures=measures)
+    facts = fact_rows(attached(spark, sf_dir, cleaned(spark, sf_dir, *src.BATCH)))
+    rows = models.int_claims(models.stg_claims(facts), None, None, RUN_DATE)
+    if "unique_members" not in measures:
+        return summary.summarize(masked(rows), measures=measures)
+    # One claim of each member and group is marked where the members joined: their count moves nothing.
+    marked = masked(summary.mark_first(rows, "first"))
+    return summary.summarize(marked, measures=measures, member_first="first")
 
 
 def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:

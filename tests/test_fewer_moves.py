@@ -129,3 +129,15 @@ def test_rows_reach_their_numbers_in_one_move(spark, tmp_path, monkeypatch):
     assert plans == [[], []]
     found = measures.distinct_counts(spark, str(tmp_path / "d"), rows.schema, ["plan_id", "service_month"])
     assert {row.service_month: (row.distinct_member_id, row.distinct_provider_npi) for row in found.collect()} == {1: (2, 1), 2: (1, 2)}
+
+
+def test_members_of_copies_are_counted_by_marks(spark, monkeypatch):
+    lines, plain = [], summary.summarize
+    monkeypatch.setattr(summary, "summarize", lambda *a, **options: lines.append(options.get("member_first")) or plain(*a, **options))
+    found = catalog.with_copies(spark, SF, "unique_members")
+    marked = {tuple(row)[:-1]: row.unique_members for row in found.collect()}
+    monkeypatch.undo()
+    assert lines == ["first"]
+    base = models.int_claims(models.stg_claims(catalog.all_facts(spark, SF)), None, None, catalog.RUN_DATE)
+    counted = summary.summarize(base, measures=["unique_members"]).collect()
+    assert marked == {tuple(row)[:-1]: row.unique_members for row in counted}

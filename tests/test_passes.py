@@ -1,10 +1,12 @@
 """Upserts and marts that are written in passes give the rows of one pass."""
 
+from decimal import Decimal
+
 import pytest
 from pyspark.sql import functions as F
 
 from claimforge.operators import merge
-from claimforge.plans import models
+from claimforge.plans import measures, models
 from claimforge.session import RELEASE
 from claimforge.sources import key_index, versions, writers
 from claimforge.testtables import catalog
@@ -95,3 +97,27 @@ def test_a_mart_of_passes_equals_that_of_one(spark, tmp_path, monkeypatch):
         mart = spark.read.parquet(*map(str, (tmp_path / f"mart{rows}").glob("version=*")))
         found.append(sorted(map(repr, mart.collect())))
     assert found[0] == found[1] and len(found[0]) > 50
+
+
+def test_changed_counts_are_aggregated_once(spark, tmp_path, monkeypatch):
+    kinds = "service_year int, service_month int, plan_id string, claim_type string, claim_category string, state string, "
+    kinds += "claim_id string, paid_amount decimal(18,2), run_date string"
+
+    def rows(ids, amount):
+        found = [(2000, 1 + i % 3, "p", "t", "c", None if i % 2 else "s", f"C{i}", Decimal(amount + i), "2024-01-01") for i in ids]
+        return spark.createDataFrame(found, kinds)
+
+    paths = [str(tmp_path / name) for name in ("int", "cents", "medians")]
+    calls, plain = [], measures.cent_counts
+    scans = tmp_path / "cents__changed"
+    monkeypatch.setattr(measures, "_refresh_located", lambda *given, f=measures._refresh_located: calls.append((scans.exists(), given[-1].inputFiles())) or f(*given))
+    for batch in (rows(range(12), 10), rows(range(5, 20), 70)):
+        writers.upsert(spark, batch, paths[0], batch.schema, change_columns=measures.FOLLOWED)
+        measures.refresh_medians(spark, paths[0], batch.schema, *paths[1:])
+    assert len(calls) == 1 and calls[0][0] and all("cents__changed" in name for name in calls[0][1])
+    assert not scans.exists()
+    stored = versions.read(spark, paths[0], batch.schema)
+    whole = measures._medians(plain(stored, catalog.MART_KEYS, "paid_amount")).collect()
+    found = versions.read(spark, paths[2], measures.median_schema(batch.schema)).collect()
+    key = lambda row: repr([row[name] for name in (*catalog.MART_KEYS, "median")])
+    assert sorted(map(key, found)) == sorted(map(key, whole)) and len(found) == 6
